@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, tokens
+from siltstone.llm import leaks, syntax, tokens
 from siltstone.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,27 @@ def p5_items(spark: SparkSession, folder: str) -> DataFrame:
     """Per leaked item: documents that hold it, and the largest part of it in one document."""
     found = _leaks(spark, folder).dropDuplicates(["item_id", "document_id"])
     return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("run_words").alias("longest_run"), F.max("item_share").alias("largest_share"))
+
+
+# 1. Source files that do not parse
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    checked = syntax.check_files(table(spark, folder, "code_documents"), ["document_id"])
+    return checked.where(syntax.is_invalid(F.col("verdict"))).select("document_id").distinct()
+
+
+def _checked_once(spark: SparkSession, folder: str) -> DataFrame:
+    checked = syntax.check_files(table(spark, folder, "code_documents"), ["document_id", "repo_id", "language"])
+    return checked.withColumn("language", F.lower("language")).dropDuplicates(["document_id"])
+
+
+@query
+def p1_rates_by_repo(spark: SparkSession, folder: str) -> DataFrame:
+    return syntax.rates(_checked_once(spark, folder), "repo_id")
+
+
+@query
+def p1_rates_by_language(spark: SparkSession, folder: str) -> DataFrame:
+    return syntax.rates(_checked_once(spark, folder), "language")
