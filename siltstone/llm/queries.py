@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, syntax, tokens
+from siltstone.llm import leaks, origin, syntax, tokens
 from siltstone.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,30 @@ def p1_rates_by_repo(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p1_rates_by_language(spark: SparkSession, folder: str) -> DataFrame:
     return syntax.rates(_checked_once(spark, folder), "language")
+
+
+# 2. Generated, minified or vendored source files
+
+
+def _origins(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    files = table(spark, folder, "code_documents")
+    return origin.classify(origin.measure(files, ["document_id", "repo_id", "file_path", "is_vendor", *more]))
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _origins(spark, folder).where(~F.col("hand_written")).select("document_id").distinct()
+
+
+@query
+def p2_by_repo(spark: SparkSession, folder: str) -> DataFrame:
+    """Files per repository by where they come from; a file counts once, however often delivered."""
+    flags = ["generated", "minified", "literal_data", "third_party", "hand_written"]
+    once = _origins(spark, folder).select("document_id", "repo_id", *flags).distinct()
+    return once.groupBy("repo_id").agg(F.count("*").alias("n_files"), *[F.count_if(c).alias(f"n_{c}") for c in flags])
+
+
+@query
+def p2_shared_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Grammar rules met in several repositories: copied texts and parts of texts."""
+    return origin.shared_rules(_origins(spark, folder).dropDuplicates(["document_id"]))
