@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, origin, syntax, tokens
+from siltstone.llm import leaks, licences, origin, syntax, tokens
 from siltstone.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,21 @@ def p2_by_repo(spark: SparkSession, folder: str) -> DataFrame:
 def p2_shared_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Grammar rules met in several repositories: copied texts and parts of texts."""
     return origin.shared_rules(_origins(spark, folder).dropDuplicates(["document_id"]))
+
+
+# 4. License of each code file and repository
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    files = table(spark, folder, "code_documents")
+    repos = licences.repo_evidence(table(spark, folder, "repositories"))
+    evidence = licences.file_evidence(files, ["document_id", "repo_id", "license_type"]).distinct()
+    of_files = licences.file_verdicts(evidence, repos).select(F.lit("file").alias("level"), F.col("document_id").alias("entity_id"), "verdict")
+    of_repos = licences.repo_verdicts(files, repos).select(F.lit("repo").alias("level"), F.col("repo_id").alias("entity_id"), "verdict")
+    return of_files.distinct().unionByName(of_repos)
+
+
+@query
+def p4_by_verdict(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_found(spark, folder).groupBy("level", "verdict").agg(F.count("*").alias("n"))
