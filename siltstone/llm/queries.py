@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, licences, origin, syntax, tokens
+from siltstone.llm import leaks, licences, origin, pairs, syntax, tokens
+from siltstone.session import cut
 from siltstone.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +129,25 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p4_by_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return p4_found(spark, folder).groupBy("level", "verdict").agg(F.count("*").alias("n"))
+
+
+# 6. Broken prompt and response pairs
+
+
+def _pairs(spark: SparkSession, folder: str) -> DataFrame:
+    records = table(spark, folder, "synthetic_documents").where("method in ('codeqa', 'codedev')")
+    seen = cut(pairs.inspect(records, ["document_id", "method", "model"]).distinct())
+    return pairs.defects(seen, pairs.end_counts(records))
+
+
+@query
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _pairs(spark, folder).where("defect is not null").select("document_id", "defect").distinct()
+
+
+@query
+def p6_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Records, and the share of each defect, per method and model."""
+    kinds = ["empty", "truncated", "refusal", "copied", "language"]
+    shares = [(F.count_if(F.col("defect") == k) / F.count("*")).alias(f"{k}_share") for k in kinds]
+    return _pairs(spark, folder).groupBy("method", "model").agg(F.count("*").alias("n_records"), *shares)
