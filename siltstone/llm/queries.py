@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, licences, origin, pairs, syntax, tokens
+from siltstone.llm import leaks, licences, origin, pairs, secrets, syntax, tokens
 from siltstone.session import cut
 from siltstone.sources.tables import table
 
@@ -151,3 +151,26 @@ def p6_rates(spark: SparkSession, folder: str) -> DataFrame:
     kinds = ["empty", "truncated", "refusal", "copied", "language"]
     shares = [(F.count_if(F.col("defect") == k) / F.count("*")).alias(f"{k}_share") for k in kinds]
     return _pairs(spark, folder).groupBy("method", "model").agg(F.count("*").alias("n_records"), *shares)
+
+
+# 7. Credentials embedded in source code
+
+
+def _candidates(spark: SparkSession, folder: str) -> DataFrame:
+    files = table(spark, folder, "code_documents")
+    return cut(secrets.find_candidates(files, ["document_id", "file_path"]))
+
+
+@query
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = _candidates(spark, folder)
+    scored = secrets.score(found, secrets.train(found))
+    return scored.where(F.col("score") >= secrets.THRESHOLD).select("document_id", "line_no").distinct()
+
+
+@query
+def p7_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with a credential, their text with every credential taken out."""
+    model = secrets.train(_candidates(spark, folder))
+    done = secrets.redact(table(spark, folder, "code_documents"), ["document_id", "repo_id"], model)
+    return done.where("n_redacted > 0").dropDuplicates(["document_id"])
