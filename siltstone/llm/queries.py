@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, licences, origin, pairs, secrets, syntax, tokens
+from siltstone.llm import leaks, licences, origin, pairs, personal, secrets, syntax, tokens
 from siltstone.session import cut
 from siltstone.sources.tables import table
 
@@ -174,3 +174,20 @@ def p7_redacted(spark: SparkSession, folder: str) -> DataFrame:
     model = secrets.train(_candidates(spark, folder))
     done = secrets.redact(table(spark, folder, "code_documents"), ["document_id", "repo_id"], model)
     return done.where("n_redacted > 0").dropDuplicates(["document_id"])
+
+
+# 10. Personal information inside free text
+
+
+@query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = personal.find(documents, ["doc_id"], personal.train(documents))
+    return found.select("doc_id", "kind", "start_pos").distinct()
+
+
+@query
+def p10_masked(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text with typed placeholders for its personal data."""
+    documents = table(spark, folder, "documents")
+    return personal.mask(documents, ["doc_id"], personal.train(documents))
