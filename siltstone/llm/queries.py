@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import leaks, licences, origin, pairs, personal, secrets, syntax, tokens
+from siltstone.llm import leaks, licences, mixing, origin, packing, pairs, personal, secrets, syntax, tokens
 from siltstone.session import cut
 from siltstone.sources.tables import table
 
@@ -191,3 +191,34 @@ def p10_masked(spark: SparkSession, folder: str) -> DataFrame:
     """Every text with typed placeholders for its personal data."""
     documents = table(spark, folder, "documents")
     return personal.mask(documents, ["doc_id"], personal.train(documents))
+
+
+# 8. Filling fixed-capacity containers with items, 9. Mixing sources to target weights
+
+
+def _sized(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, source, n_tokens of every document, counted once."""
+    sizes = tokens.token_sizes(table(spark, folder, "documents"), "text", ["doc_id", "source"])
+    return cut(sizes.select("doc_id", mixing.clean_source(F.col("source")).alias("source"), "n_tokens"))
+
+
+@query
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_sized(spark, folder), table(spark, folder, "pack_capacities"), cut)
+
+
+@query
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill_report(p8_packed(spark, folder))
+
+
+@query
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    sized = _sized(spark, folder)
+    return mixing.mix(sized, mixing.plan(sized, table(spark, folder, "mix_targets")))
+
+
+@query
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    sized = _sized(spark, folder)
+    return mixing.shares(sized, mixing.plan(sized, table(spark, folder, "mix_targets")))
