@@ -10,6 +10,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 
+#: Nodes of a plan that move rows; a plan without them only reads.
+_MOVES = ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "Limit")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where it is a plain scan with fewer partitions than cores; else df as it is.
+
+    Only a small input is read in so few partitions, so only a small input is moved.
+    """
+    execution = df._jdf.queryExecution()
+    if any(move in execution.optimizedPlan().toString() for move in _MOVES):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[..., list]]) -> DataFrame:
     """Applies make()(*column lists) to each batch of the named columns.
 
@@ -33,4 +49,4 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
                 cols = list(zip(*rows, strict=True)) if rows else [[] for _ in range(width)]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
-    return df.select(*columns).mapInArrow(run, spec)
+    return spread(df.select(*columns)).mapInArrow(run, spec)
