@@ -1,0 +1,149 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.operators import generation as G
+from siltstone.operators import trace
+from siltstone.operators.validation import validate_generated
+
+SCHEMA = "n int, document_id string, content_id string, content string, language string, repo_id string, repo_path string, content_hash string"
+
+
+def parents(spark, n=20):
+    rows = [(i, f"d{i:02}", f"c{i}", f"x = {i}\nprint(x)", "Python" if i % 2 == 0 else "Go", f"r{i % 3}", None, "h") for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_eight_branches_with_one_cohort(spark):
+    out = G.generate_branches(parents(spark), ["n"], 10).cache()
+    counts = {(r["model"], r["method"]): r["count"] for r in out.groupBy("model", "method").count().collect()}
+    assert len(counts) == 8 and sum(v for (_, t), v in counts.items() if t != "codetrace") == 30
+    cohorts = [sorted(r["parent_document_id"] for r in out.where(f"model = '{m}' and method = 'codetrace'").collect()) for m in G.MODEL_VERSIONS]
+    assert cohorts[0] == cohorts[1] and len(cohorts[0]) == 10
+
+
+def test_mock_record(spark):
+    row = G.one_branch(parents(spark), ["n"], "codegemma", "codeqa").where("parent_document_id = 'd00'").first()
+    assert row["document_id"] == "synthetic:codegemma:codeqa:d00"
+    assert row["content"].startswith("Generator: codegemma\nQuestion: What does this Python code do,") and "Code:\nx = 0\nprint(x)\nAnswer:\n" in row["content"]
+    assert row["token_count"] == len(row["content"].split()) and row["mock"] and row["synthetic"] and row["trace_deterministic"] is None
+    assert (row["content_hash"], row["model_version"], row["prompt_version"]) == ("h", "google/codegemma-7b-it", "v1")
+    with pytest.raises(ValueError):
+        G.one_branch(parents(spark), ["n"], "codegemma", "poetry")
+
+
+def test_null_text_gives_a_null_mock(spark):
+    df = parents(spark, 1).withColumns({"content": F.lit(None).cast("string"), "model": F.lit("qwen_coder"), "method": F.lit("codedev")})
+    assert G.generate_mock(df).first()["content"] is None
+
+
+def test_prompt_holds_language_and_source(spark):
+    df = parents(spark, 1).withColumn("method", F.lit("codedev"))
+    text = df.select(G.prompt(F.col("method"), F.col("language"), F.col("content"))).first()[0]
+    assert text.startswith("Prompt version: v1\nTurn this source code") and text.endswith("Language: Python\n\nSource code:\nx = 0\nprint(x)")
+    assert df.select(G.mock_output(F.lit("m"), F.lit("t"), F.col("content"))).first()[0].startswith("# MOCK_SYNTHETIC model=m method=t\n")
+
+
+def test_batch_retries_and_reports(spark):
+    df = parents(spark, 4).withColumns({"model": F.lit("qwen_coder"), "method": F.lit("codedev")})
+
+    def client(row, model, method):
+        if row["n"] == 1:
+            raise RuntimeError("no answer")
+        return {"content": "bad" if row["n"] == 2 else f"{model}/{method}"}
+
+    out = {r["n"]: r for r in G.generate_batch(df, client, lambda r: "refused" if r["content"] == "bad" else None, retries=1, concurrency=2).collect()}
+    assert out[0]["generation_attempts"] == 1 and out[0]["content"] == "qwen_coder/codedev" and out[0]["content_id_parent"] == "c0"
+    assert out[1]["error"] == "generation failed after 2 attempts: no answer" and out[2]["error"].endswith("refused")
+    for bad in ({"retries": -1}, {"concurrency": 0}):
+        with pytest.raises(ValueError):
+            G.generate_batch(df, client, lambda r: None, **bad)
+
+
+def test_model_resolution(tmp_path, monkeypatch):
+    spec = {k: k.upper() for k in ("model_id", "source", "access", "server_path", "local_path_env", "endpoint_env")}
+    (tmp_path / "m.json").write_text(json.dumps({"models": {"one": spec}}))
+    one = G.load_model_specs(str(tmp_path / "m.json"))["one"]
+    with pytest.raises(RuntimeError):
+        G.resolve_model(one)
+    monkeypatch.setenv("LOCAL_PATH_ENV", str(tmp_path))
+    assert G.resolve_model(one) == f"local:{tmp_path}"
+    monkeypatch.setenv("ENDPOINT_ENV", "http://host/v1")
+    assert G.resolve_model(one) == "endpoint:http://host/v1"
+
+
+def test_validation(spark):
+    block = "```python\n{}\n```"
+    rows = [
+        ("ok", "Python", "swallowcode", "x = 1", True, None, None),
+        ("broken", "Python", "swallowcode", "def (", True, None, None),
+        ("lower", "python", "swallowcode", "def (", True, None, None),
+        ("null", "Python", "swallowcode", None, True, None, None),
+        ("secret", "Go", "codedev", "password = 'abcdefgh'", True, None, None),
+        ("prose", "Python", "codeqa", "Question: why?", True, None, None),
+        ("block", "Python", "codeqa", "a " + block.format("y = 2") + block.format("z = 3"), True, None, None),
+        ("badblock", "Go", "codedev", block.format("def ("), True, None, None),
+        ("trace", "Python", "codetrace", "text", False, True, False),
+        ("proven", "Python", "codetrace", "text", False, True, True),
+    ]
+    df = spark.createDataFrame(rows, "document_id string, language string, method string, content string, mock boolean, execution_checked boolean, trace_deterministic boolean")
+    got = {r["document_id"]: (r["rejection_reason"], r["validation"]["syntax_check"], r["validation"]["syntax_valid"]) for r in validate_generated(df).collect()}
+    assert got == {
+        "ok": (None, "python_ast", True),
+        "broken": ("syntax_invalid", "python_ast", False),
+        "lower": (None, "not_applicable", None),
+        "null": ("malformed", "python_ast", None),
+        "secret": ("secret", "embedded_code_unchecked", None),
+        "prose": (None, "embedded_code_unchecked", None),
+        "block": (None, "python_ast_embedded", True),
+        "badblock": ("syntax_invalid", "python_ast_embedded", False),
+        "trace": ("missing_runtime_trace_evidence", "runtime_trace", None),
+        "proven": (None, "runtime_trace", None),
+    }
+    assert validate_generated(df.select("document_id", "content")).count() == len(rows) and validate_generated(df.limit(0)).count() == 0
+
+
+TRACE = "===STDERR:trace1.txt:START===\nTRACE:VAR:main:x=1\nTRACE:VAR:main:x=2\nTRACE:OUT:main:3\n no TRACE:IN:here\n\rTRACE:IN:not\n===STDERR:trace1.txt:END==="
+
+
+def test_trace_metrics(spark):
+    df = spark.createDataFrame([(0, TRACE), (1, ""), (2, None)], "i int, t string")
+    got = {r["i"]: r["m"] for r in df.select("i", trace.trace_metrics(F.col("t")).alias("m")).collect()}
+    assert got[0].asDict() == {"trace_files": 1, "trace_events": 3, "trace_characters": len(TRACE), "event_types": {"VAR": 2, "OUT": 1}, "largest_event_type_fraction": 2 / 3}
+    assert got[1]["trace_events"] == 0 and got[2]["event_types"] == {}
+
+
+def test_trace_texts(spark):
+    df = spark.createDataFrame([("code \n", "run.sh\n", "T \n")], "c string, s string, t string").withColumn("d", trace.format_trace(F.col("c"), F.col("s"), F.col("t")))
+    row = df.withColumn("back", trace.trace_of_record(F.col("d"))).first()
+    assert row["d"].endswith("---- FILENAME: source.py ----\n\ncode\n\n---- FILENAME: run.sh ----\n\nrun.sh\n\nAssistant:\nT") and row["back"] == "T"
+    scripts = {"python source.py 2> trace1.txt": None, "curl x; source.py trace": "execution script contains a forbidden command", "echo": "execution script must run source.py and create trace files"}
+    out = spark.createDataFrame([(f"```bash\n{s}\n```",) for s in scripts], "t string").select(trace.execution_script(F.col("t")).alias("x")).collect()
+    assert {r["x"]["script"]: r["x"]["error"] for r in out} == scripts
+
+
+def test_instrumentation(spark):
+    good = "```python\nprint('TRACE:IN:x')\n```\n```json\n{\"a\": 1}\n```"
+    texts = [good, "none", "```py\nx=1\n```", "```python\nTRACE:IN:(\n```", None]
+    out = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(trace.instrumentation("t")).collect()]
+    assert out[0]["error"] is None and out[0]["patterns"] == '{"a": 1}'
+    assert all(o["error"] and o["code"] is None for o in out[1:])
+
+
+class Echo(trace.Sandbox):
+    def __init__(self, outputs, **options):
+        super().__init__(**options)
+        self.outputs = list(outputs)
+
+    def run_once(self, source, script):
+        return self.outputs.pop(0)
+
+
+def test_sandbox():
+    assert Echo(["TRACE:IN:a"] * 3).trace("", "") == "TRACE:IN:a"
+    for outputs in (["TRACE:IN:a", "TRACE:IN:b", "TRACE:IN:a"], ["none"]):
+        with pytest.raises(RuntimeError):
+            Echo(outputs).trace("", "")
+    with pytest.raises(ValueError):
+        Echo([], runs=0)
