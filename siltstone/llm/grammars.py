@@ -17,7 +17,7 @@ ERROR = "ERROR"
 
 
 class Language:
-    def __init__(self, grammar: str, keywords: str, signs: str, skip: list[str], strings: list[str], name: str = r"[^\W\d]\w*", number: str | None = None, groups: dict[str, str] | None = None, layout: Callable | None = None, before: list[tuple[str, str]] | None = None):
+    def __init__(self, grammar: str, keywords: str, signs: str, skip: list[str], strings: list[str], name: str = r"[^\W\d]\w*", number: str | None = None, groups: dict[str, str] | None = None, layout: Callable | None = None, before: list[tuple[str, str]] | None = None, tell: dict[str, str] | None = None):
         self.grammar = Grammar(grammar)
         self.words = {w: w for w in keywords.split()}
         self.signs = {s: s for s in signs.split()}
@@ -32,7 +32,8 @@ class Language:
             self.classes.insert(0, ("\n", r"\n[ \t\n\f]*"))
         body = "|".join([f"(?:{p})" for _, p in self.classes] + [re.escape(s) for s in ordered] + [r"\S"])
         self.finder = re.compile(body)
-        self.tests = [(k, re.compile(p)) for k, p in self.classes]
+        # a token by itself has lost its neighbours: classes that look at them are told by other patterns
+        self.tests = [(k, re.compile((tell or {}).get(k, p))) for k, p in self.classes]
         self.layout = layout
         self.memory: dict[str, str | None] = {}
 
@@ -62,14 +63,18 @@ class Language:
             text = text.replace("\r\n", "\n").replace("\r", "\n")
         if text.startswith("﻿"):
             text = text[1:]
+        shift = 0
+        if self.layout is indents:
+            text, shift = "\n" + text, 1  # the first line may not be indented
         tokens = self.finder.findall(text)
         kinds = self.layout(self, tokens) if self.layout else self.kinds(tokens)
         at = self.grammar.check(kinds)
         if at is None:
             return None
         if at >= len(kinds):
-            return "truncated", text.count("\n") + 1, ""
-        return ("failing", *self._place(text, at))
+            return "truncated", text.count("\n") + 1 - shift, ""
+        line, token = self._place(text, at)
+        return "failing", line - shift, token
 
     def _place(self, text: str, at: int) -> tuple[int, str]:
         """Line and text of the token with this index; laid-out streams give the nearest token of the source."""
@@ -114,17 +119,25 @@ def semicolons(enders: set[str], openers: set[str], in_brackets: bool = True) ->
                 stack.pop()
             out.append(k)
             last = k
+        if last in enders and not stack:
+            out.append(";")
         return out
 
     return layout
 
 
+def _renamed(grammar: str, **kinds: str) -> str:
+    """The grammar with signs and words that the lexer puts into a class written as that class."""
+    for kind, members in kinds.items():
+        for member in members.split():
+            grammar = grammar.replace(f"'{member}'", kind)
+    return grammar
+
+
 def indents(language: Language, tokens: list[str]) -> list[str]:
     """NEWLINE, INDENT and DEDENT of a language whose blocks are set off by indentation."""
     memory, kind, out = language.memory, language.kind, []
     levels, depth, pending = [0], 0, None
-    if tokens and tokens[0][0] not in "\n#" :
-        pending = None
     for t in tokens:
         if t[0] == "\n":
             if not depth:
@@ -260,7 +273,7 @@ var = ID ('[' ']')* ('=' e)?
 s = block | ';' | e ';' | vars ';' | class | 'if' '(' e ')' s ('else' s)? | 'while' '(' e ')' s | 'do' s 'while' '(' e ')' ';' | 'for' '(' forhead ')' s | 'switch' '(' e ')' swbody | 'return' e? ';' | 'break' ID? ';' | 'continue' ID? ';' | 'throw' e ';' | 'try' ('(' res (';' res)* ';'? ')')? block catch* ('finally' block)? | 'synchronized' '(' e ')' block | ID ':' s | 'assert' e (':' e)? ';' | ID e ';'
 res = vars | e
 forhead = (vars | es)? ';' e? ';' es? | mods type ID ':' e
-catch = 'catch' '(' mods type ('|' type)* ID ')' block
+catch = 'catch' '(' mods type (BIN type)* ID ')' block
 swbody = '{' (('case' es | 'default') (':' s* | '->' (e ';' | block | s)))* '}'
 class = mods ('class' | 'interface' | 'enum' | 'record' | '@' 'interface') ID tparams? ('(' params? ')')? ('extends' type (',' type)*)? ('implements' type (',' type)*)? ('permits' type (',' type)*)? classbody
 classbody = '{' (consts ';'?)? member* '}'
@@ -400,9 +413,12 @@ JS_WORDS = "var let const function class extends return throw break continue deb
 JS_GROUPS = {"BIN": "/ % | ^ || && == != === !== <= << **", "ASG": "+= -= *= /= %= &= |= ^= <<= **= &&= ||= ??=", "PRE": "! ~ typeof void delete", "STEP": "++ --", "LIT": "true false null undefined"}
 JS_SIGNS = "( ) [ ] { } ; , : ? = * & + - < > => ?? ?. ... . / % | ^ || && == != === !== <= << ** += -= *= /= %= &= |= ^= <<= **= &&= ||= ??= ! ~ ++ --"
 TEMPLATE = r"`(?:[^`\\]|\\[\s\S])*`"
-REGEX = r"(?<=[=(,:\[!&|?{};\n])[ ]?/(?![*/\s])(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*\])+/[a-z]*"
+REGEX = r"(?:(?<=[=(,:\[!&|?{};\n>])|(?<=return)|(?<=typeof)|(?<=case))[ ]?/(?![*/\s])(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*\])+/[a-z]*"
+REGEX_ALONE = r"[ ]?/.+/[a-z]*"
 JS_WORD_KIND = "var let const function class extends return throw break continue do while for if else switch case default try catch finally import export new"
 
+_JS_NAMES = " | ".join(f"'{w}'" for w in JS_WORD_KIND.split())
+
 TS_GRAMMAR = JS_COMMON.replace("ret = \n", "ret = ':' ('asserts' | ID 'is')? type\n").replace("targs = \n", "targs = '<' type (',' type)* '>'\n") + """
 tail = '(' spreads? ')' | '[' es ']' | '.' key | '?.' (key | '(' spreads? ')' | '[' e ']') | STEP | STR | '!' | 'as' (type | 'const') | targs '(' spreads? ')' | 'satisfies' type
 arrow = (id | tparams? '(' params? ')' ret?) '=>' (e | block)
@@ -412,7 +428,7 @@ decls = bind '!'? (':' type)? ('=' e)? (',' bind '!'? (':' type)? ('=' e)?)*
 type = 'asserts'? tfun | tu ('extends' type '?' type ':' type)?
 tu = ('|' | '&')? tp (('|' | '&') tp)*
 tp = ('keyof' | 'readonly' | 'typeof' | 'infer' | 'unique')* tprim ('[' type? ']')*
-tprim = (id | PRIM | 'this') ('.' id)* targs? | LIT | STR | '-'? NUM | '{' tmembers '}' | '[' (tel (',' tel)* ','?)? ']' | '(' type ')' | PRE type | 'import' '(' STR ')' ('.' id)*
+tprim = (id | PRIM | 'this') ('.' id)* targs? | LIT | STR | '-'? NUM | '{' tmembers '}' | '[' (tel (',' tel)* ','?)? ']' | '(' type ')' | PRE type? | 'import' '(' STR ')' ('.' id)*
 tel = '...'? (id '?'? ':')? type '?'?
 tfun = 'new'? tparams? '(' params? ')' '=>' (ID 'is')? type
 tparams = '<' tparam (',' tparam)* ','? '>'
@@ -937,15 +953,20 @@ class Yaml:
             elif shapes.get(depth) != shape and not (shapes.get(depth) == ":" and shape == "-"):
                 ok = False
             literal, plain = None, None
+            own = depth
+            if shape == "-" and m:
+                own = inner  # the item is a mapping that goes on below
+                levels.append(own)
+                shapes[own] = ":"
             if self.block.match(value):
-                literal = depth
+                literal = own
             elif value[:1] in "[{" and value.count("[") + value.count("{") > value.count("]") + value.count("}"):
                 flow = value
                 continue
             else:
                 ok = ok and self._value(value)
                 if value and value[0] not in "#&!":
-                    plain = depth if shape else depth - 1
+                    plain = own if shape else depth - 1
             kinds.append("LINE" if ok else ERROR)
             where.append(n)
         if flow:
@@ -966,42 +987,43 @@ def _c(grammar: str, words: str, groups: dict[str, str], signs: str = C_SIGNS, s
 def language(name: str):
     """The checker of a language by its label in lower case; None where there is none."""
     if name == "c":
-        return _c(C_EXPRESSION, "if else while do for switch case default return break continue goto struct union enum typedef sizeof", C_GROUPS)
+        return _c(_renamed(C_EXPRESSION.replace(" | '&&')", ")"), MOD="extern"), "if else while do for switch case default return break continue goto struct union enum typedef sizeof", C_GROUPS)
     if name in ("c++", "cpp"):
         groups = C_GROUPS | {"CV": "const volatile", "MOD": "static extern inline register auto mutable explicit virtual thread_local", "LIT": "true false nullptr", "CAST": "static_cast dynamic_cast const_cast reinterpret_cast", "BIN": C_GROUPS["BIN"] + " <=>", ".": "."}
         groups["BIN"] = groups["BIN"].replace("&&", "")
         words = "if else while do for switch case default return break continue goto struct union enum class typedef sizeof new delete throw try catch this template typename namespace using public private protected friend operator constexpr noexcept override final decltype static_assert co_await"
         grammar = CPP_GRAMMAR.replace("MOD | PRIM | 'constexpr'", "MOD | 'virtual' | PRIM | 'constexpr'").replace("| 'virtual')*", ")*").replace("'virtual' | PRIM", "PRIM").replace("'.' id", "('.' | '->') id").replace("'inline'? 'namespace'", "'namespace'").replace("('public' | 'private' | 'protected')*", "('public' | 'private' | 'protected' | MOD)*").replace("('public' | 'private' | 'protected' )*", "('public' | 'private' | 'protected' | MOD)*")
-        return _c(grammar, words, groups, C_SIGNS + " :: <=>", [r'R"\((?:[^)]|\)(?!"))*\)"', r"(?:u8|[uUL])?" + QUOTED])
+        return _c(_renamed(grammar, MOD="extern", PRE="~"), words, groups, C_SIGNS + " :: <=>", [r'R"\((?:[^)]|\)(?!"))*\)"', r"(?:u8|[uUL])?" + QUOTED])
     if name == "java":
         return Language(JAVA_GRAMMAR, JAVA_WORDS, JAVA_SIGNS, SLASH, [TEXT_BLOCK, QUOTED], groups=JAVA_GROUPS, before=[("CHR", CHR)], name=r"[^\W\d][\w$]*|\$[\w$]+")
     if name in ("c#", "csharp"):
         skip = [*SLASH, r"(?<![^\n])[ \t]*\#[ \t]*(?:region|endregion|if|else|elif|endif|define|undef|pragma|nullable|warning|error)\b[^\n]*"]
-        return Language(CS_GRAMMAR, CS_WORDS, CS_SIGNS, skip, [r'(?:\$@|@\$|@)"(?:[^"]|"")*"', TEXT_BLOCK, r"\$?" + QUOTED], groups=CS_GROUPS, before=[("CHR", CHR)], name=r"@?[^\W\d]\w*")
+        return Language(_renamed(CS_GRAMMAR.replace(" | 'and' | 'or'", ""), MOD="static", PRE="~ !", ID="global when where with not"), CS_WORDS, CS_SIGNS, skip, [r'(?:\$@|@\$|@)"(?:[^"]|"")*"', TEXT_BLOCK, r"\$?" + QUOTED], groups=CS_GROUPS, before=[("CHR", CHR)], name=r"@?[^\W\d]\w*")
     if name == "go":
-        return Language(GO_GRAMMAR, GO_WORDS, GO_SIGNS, SLASH, [QUOTED, r"`[^`]*`"], groups=GO_GROUPS, before=[("CHR", CHR)], layout=semicolons({"ID", "NUM", "STR", "CHR", "BRK", "return", "STEP", ")", "]", "}"}, set(), in_brackets=False))
+        return Language(GO_GRAMMAR.replace("'|'", "BIN").replace(" | '^'", ""), GO_WORDS, GO_SIGNS, SLASH, [QUOTED, r"`[^`]*`"], groups=GO_GROUPS, before=[("CHR", CHR)], layout=semicolons({"ID", "NUM", "STR", "CHR", "BRK", "return", "STEP", ")", "]", "}"}, set(), in_brackets=False))
     if name in ("javascript", "js"):
-        made = Language(JS_GRAMMAR, JS_WORDS, JS_SIGNS, [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=JS_GROUPS, before=[("REGEX", REGEX)], name=r"[^\W\d][\w$]*|[$\#@]?[\w$]+(?<!\d)|\$", layout=semicolons(JS_ENDERS, JS_OPENERS))
+        made = Language(JS_GRAMMAR.replace("WORD", _JS_NAMES), JS_WORDS, JS_SIGNS, [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=JS_GROUPS, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|[$\#@]?[\w$]+(?<!\d)|\$", layout=semicolons(JS_ENDERS, JS_OPENERS))
         return made
     if name in ("typescript", "ts"):
-        return Language(TS_GRAMMAR, TS_WORDS, JS_SIGNS + " @ | &", [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=TS_GROUPS | {"BIN": TS_GROUPS["BIN"].replace(" | ", " ")}, before=[("REGEX", REGEX)], name=r"[^\W\d][\w$]*|\$[\w$]*|\#\w+", layout=semicolons(JS_ENDERS | {">", "?"}, JS_OPENERS))
+        return Language(_renamed(TS_GRAMMAR.replace("WORD", _JS_NAMES), PRE="typeof !"), TS_WORDS, JS_SIGNS + " @ | &", [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=TS_GROUPS | {"BIN": TS_GROUPS["BIN"].replace(" | ", " ")}, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|\$[\w$]*|\#\w+", layout=semicolons(JS_ENDERS | {">", "?"}, JS_OPENERS))
     if name == "php":
         words = PHP_WORDS
-        return Language(PHP_GRAMMAR, words, PHP_SIGNS, [r"//(?:(?!\?>)[^\n])*", r"\#(?!\[)(?:(?!\?>)[^\n])*", SLASH[1]], [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"<<<'?\"?(\w+)'?\"?\n[\s\S]*?\n[ \t]*\1\b"[:0] or r"`(?:[^`\\]|\\.)*`"], groups=PHP_GROUPS, before=[("OPEN", r"<\?(?:php\b|=)"), ("CLOSE", r"\?>\n?"), ("CASTS", r"\((?:int|integer|float|double|string|bool|boolean|array|object)\)"), ("VAR", r"\$+[^\W\d]\w*")])
+        return Language(PHP_GRAMMAR.replace("(('|' | '&') tp)", "((BIN | '&') tp)").replace("('|' type)", "(BIN type)").replace("HTML? (OPEN", "(OPEN").replace("(CLOSE HTML? OPEN s*)* (CLOSE HTML?)?", "(CLOSE OPEN s*)* CLOSE?"), words, PHP_SIGNS, [r"//(?:(?!\?>)[^\n])*", r"\#(?!\[)(?:(?!\?>)[^\n])*", SLASH[1]], [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"<<<'?\"?(\w+)'?\"?\n[\s\S]*?\n[ \t]*\1\b"[:0] or r"`(?:[^`\\]|\\.)*`"], groups=PHP_GROUPS, before=[("OPEN", r"<\?(?:php\b|=)"), ("CLOSE", r"\?>(?:(?!<\?(?:php\b|=))[\s\S])*"), ("CASTS", r"\((?:int|integer|float|double|string|bool|boolean|array|object)\)"), ("VAR", r"\$+[^\W\d]\w*")])
     if name == "rust":
-        return Language(RUST_GRAMMAR, RUST_WORDS, RUST_SIGNS, SLASH, [r'b?r"[^"]*"', r'b?r\#"(?:[^"]|"(?!\#))*"\#', r'b?"(?:[^"\\]|\\[\s\S])*"'], groups=RUST_GROUPS, before=[("CHR", r"b?'(?:[^'\\\n]|\\(?:u\{\w+\}|x\w\w|.))'"), ("LIFE", r"'[^\W\d]\w*")], number=r"\d[\w]*(?:\.\d[\w]*)?(?:(?<=[eE])[+-]\d+)?")
+        return Language(RUST_GRAMMAR.replace("'..'", "RANGE"), RUST_WORDS, RUST_SIGNS, SLASH, [r'b?r"[^"]*"', r'b?r\#"(?:[^"]|"(?!\#))*"\#', r'b?"(?:[^"\\]|\\[\s\S])*"'], groups=RUST_GROUPS, before=[("CHR", r"b?'(?:[^'\\\n]|\\(?:u\{\w+\}|x\w\w|.))'"), ("LIFE", r"'[^\W\d]\w*")], number=r"\d[\w]*(?:\.\d[\w]*)?(?:(?<=[eE])[+-]\d+)?")
     if name == "kotlin":
         return Language(KOTLIN_GRAMMAR, KOTLIN_WORDS, KOTLIN_SIGNS, SLASH, [TEXT_BLOCK, QUOTED], groups=KOTLIN_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`[^`\n]+`", layout=semicolons(KOTLIN_ENDERS, BRACE_OPENERS))
     if name == "swift":
-        return Language(SWIFT_GRAMMAR, SWIFT_WORDS, SWIFT_SIGNS, [*SLASH, r"(?<![^\n])[ \t]*\#(?:if|else|elseif|endif)\b[^\n]*"], [TEXT_BLOCK, QUOTED], groups=SWIFT_GROUPS, before=[("DOLLAR", r"\$\w+")], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`\w+`|\#\w+", layout=semicolons(SWIFT_ENDERS, BRACE_OPENERS | {"??", "where"}))
+        return Language(SWIFT_GRAMMAR.replace("'...'", "RANGE"), SWIFT_WORDS, SWIFT_SIGNS, [*SLASH, r"(?<![^\n])[ \t]*\#(?:if|else|elseif|endif)\b[^\n]*"], [TEXT_BLOCK, QUOTED], groups=SWIFT_GROUPS, before=[("DOLLAR", r"\$\w+")], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`\w+`|\#\w+", layout=semicolons(SWIFT_ENDERS, BRACE_OPENERS | {"??", "where"}))
     if name == "scala":
-        return Language(SCALA_GRAMMAR, SCALA_WORDS, SCALA_SIGNS, SLASH, [r"\w*" + TEXT_BLOCK, r"(?:[^\W\d]\w*)?" + QUOTED], groups=SCALA_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d][\w$]*|`[^`\n]+`|'[^\W\d]\w*", layout=semicolons(SCALA_ENDERS, SCALA_OPENERS - {"{"}))
+        return Language(SCALA_GRAMMAR.replace("'::'", "OP"), SCALA_WORDS, SCALA_SIGNS, SLASH, [r"\w*" + TEXT_BLOCK, r"(?:[^\W\d]\w*)?" + QUOTED], groups=SCALA_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d][\w$]*|`[^`\n]+`|'[^\W\d]\w*", layout=semicolons(SCALA_ENDERS, SCALA_OPENERS - {"{"}))
     if name == "ruby":
         skip = [r"(?<![^\n])=begin\b[\s\S]*?\n=end\b[^\n]*", r"\#[^\n]*", r"\\\n"]
         before = [("WORDS", r"%[wWiIqQ]?(?:\((?:[^()\\]|\\.)*\)|\[(?:[^\[\]\\]|\\.)*\]|\{(?:[^{}\\]|\\.)*\})"), ("REGEX", r"(?<=[=(,~\[!&|?{;\n])[ ]?/(?![*/\s=])(?:[^/\\\n]|\\.)+/[a-z]*"), ("LABEL", r"(?:[^\W\d]\w*[?!]?):(?=[\s,)\]}])"), ("SYM", r':(?:[^\W\d]\w*[?!=]?(?![=>])|"(?:[^"\\]|\\.)*"|\[\]=?|[+\-*/<>]=?|==)'), ("VAR", r"@{1,2}[^\W\d]\w*|\$[\w!@&~0-9]+"), ("ID", r"(?<=def )[^\W\d]\w*[?!=]?(?=[\s(;])|(?<=self\.)[^\W\d]\w*[?!](?!=)|[^\W\d]\w*[?!](?![=:])")]
-        return Language(RUBY_GRAMMAR, RUBY_WORDS, RUBY_SIGNS, skip, [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"`(?:[^`\\]|\\.)*`"], groups=RUBY_GROUPS, before=before, number=r"\d\w*(?:\.\d\w*)?", layout=semicolons(RUBY_ENDERS, {".", "&.", ")", "]", ";"} , in_brackets=True))
+        tell = {"REGEX": REGEX_ALONE, "LABEL": r"[^\W\d]\w*[?!]?:", "SYM": r':(?:[^\W\d]\w*[?!=]?|"(?:[^"\\]|\\.)*"|\[\]=?|[+\-*/<>]=?|==)', "ID": r"[^\W\d]\w*[?!=]?"}
+        return Language(RUBY_GRAMMAR, RUBY_WORDS, RUBY_SIGNS, skip, [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"`(?:[^`\\]|\\.)*`"], groups=RUBY_GROUPS, before=before, tell=tell, number=r"\d\w*(?:\.\d\w*)?", layout=semicolons(RUBY_ENDERS, {".", "&.", ")", "]", ";"} , in_brackets=True))
     if name == "dart":
-        return Language(DART_GRAMMAR.replace("'interface'", "CLASSMOD"), DART_WORDS, DART_SIGNS, SLASH, [r'r?"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', r"r?'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", "r?" + QUOTED, "r?" + SINGLE], groups=DART_GROUPS, before=[("SYM", r"\#[^\W\d]\w*")], number=r"\d\w*(?:\.\d\w*)?(?:(?<=[eE])[+-]\d+)?", name=r"[^\W\d][\w$]*|\$[\w$]*")
+        return Language(DART_GRAMMAR.replace("'~'", "PRE").replace("'interface'", "CLASSMOD"), DART_WORDS, DART_SIGNS, SLASH, [r'r?"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', r"r?'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", "r?" + QUOTED, "r?" + SINGLE], groups=DART_GROUPS, before=[("SYM", r"\#[^\W\d]\w*")], number=r"\d\w*(?:\.\d\w*)?(?:(?<=[eE])[+-]\d+)?", name=r"[^\W\d][\w$]*|\$[\w$]*")
     if name == "python":
         prefix = r"(?:[rRbBfFuUtT]{1,2})?"
         strings = [prefix + r'"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', prefix + r"'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", prefix + r'(?:"(?:[^"\\\n]|\\[\s\S])*"(?!"))', prefix + r"(?:'(?:[^'\\\n]|\\[\s\S])*'(?!'))"]

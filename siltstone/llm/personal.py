@@ -29,7 +29,7 @@ _L = "a-zß-öø-ÿ"
 
 # Forms of segments
 
-_EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-]*@|:[\w~/])")
+_EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9]|[\w-]*@|:[\w~/])")
 _DOMAIN = r"[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
 _DOT = r"\s?(?:\[\s?(?:dot|punkt|punto|point|\.)\s?\]|\(\s?(?:dot|punkt|punto|point|\.)\s?\)|\{\s?dot\s?\}|<dot>|\b(?:dot|punkt|punto|point)\b)\s?"
 _HIDDEN = re.compile(
