@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from siltstone.functions import text as T
+from siltstone.session import ensure_importable
 
 #: Languages with a syntax known to the parser interface, in lower case (fixed values).
 PARSED_LANGUAGES = ["c", "c#", "c++", "dart", "go", "java", "javascript", "kotlin", "php", "python", "ruby", "rust", "scala", "swift", "typescript"]
@@ -99,6 +100,8 @@ def with_signals(documents: DataFrame, parser: Parser | None = None, content: st
 
     An existing column of that name is replaced.
     """
+    if parser:
+        ensure_importable(documents.sparkSession)
     text, label = F.col(content), F.lower(F.coalesce(F.col(language), F.lit("")))
     base = documents.drop(name).withColumn("_tokens", T.tokens(text)).withColumn("_lines", T.lines(text)).withColumn("_words", T.words(text))
     base = base.withColumn("_lexemes", lexemes(text, label)).withColumn("_full", F.filter(F.transform("_lines", T.strip), lambda x: x != ""))

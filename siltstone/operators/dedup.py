@@ -9,6 +9,8 @@ from siltstone.functions import text as T
 from siltstone.session import cut
 
 THRESHOLD = 0.92
+#: Texts from which a shingle in a prefix counts as common, and common shingles that are set aside at most.
+COMMON_FROM, MOST_COMMON = 8, 100_000
 _EPS = 1e-9
 
 
@@ -34,41 +36,74 @@ def keyed(documents: DataFrame, key: str, content: str = "content") -> DataFrame
 
 
 def prefix_length(n: Column, threshold: float) -> Column:
-    """Shingles, rarest first, among which any partner of the threshold shares one."""
+    """Shingles, in any fixed order, among which any partner of the threshold shares one."""
     return n - F.ceil(n * threshold - _EPS).cast("int") + 1
 
 
-def _shingled(texts: DataFrame) -> DataFrame:
-    return texts.select("key", T.shingles(T.tokens(F.col("text"))).alias("shingles"))
+def _shingle_hashes(text: Column) -> Column:
+    """Distinct 64-bit hashes of the shingles of a text, made from hashes of its tokens."""
+
+    def runs(h: Column) -> Column:
+        size = T.SHINGLE_TOKENS
+        run = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)])
+        return F.array_distinct(F.when(F.size(h) < size, F.array(F.xxhash64(h))).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - size, F.lit(0))), run)))
+
+    return T.let(F.transform(T.tokens(text), lambda t: F.xxhash64(t)), runs)
+
+
+def _prefixes(texts: DataFrame, threshold: float, common: list[int]) -> DataFrame:
+    """id, side, n, i, h: the first hashes of each text, those of common shingles after all others."""
+    rank = (lambda x: F.struct(x.isin(common).alias("late"), x.alias("h"))) if common else (lambda x: F.struct(F.lit(False).alias("late"), x.alias("h")))
+    ordered = texts.select(F.xxhash64("key").alias("id"), "side", _shingle_hashes(F.col("text")).alias("s"))
+    ordered = ordered.select("id", "side", F.size("s").alias("n"), F.sort_array(F.transform("s", rank)).alias("s"))
+    first = F.slice("s", 1, prefix_length(F.col("n"), threshold))
+    return ordered.select("id", "side", "n", F.posexplode(first).alias("i", "x")).select("id", "side", "n", "i", "x.h")
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("ia").alias("id")).union(pairs.select("ib")).distinct()
+
+
+def _scored(pairs: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
+    """pairs of ids with the similarity of their sets s, and their keys where the sides have some."""
+    renamed = lambda df, c: df.select(*[F.col(x).alias(x[0] + c) for x in ("id", "key", "s") if x in df.columns])
+    joined = pairs.join(renamed(first, "a").hint("shuffle_hash"), "ia").join(renamed(second, "b").hint("shuffle_hash"), "ib")
+    joined = joined.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
+    score = F.col("shared").cast("double") / F.greatest(F.size("sa") + F.size("sb") - F.col("shared"), F.lit(1)).cast("double")
+    return joined.withColumn("similarity", score).drop("sa", "sb", "shared")
 
 
 def similar_pairs(texts: DataFrame, threshold: float, other: DataFrame | None = None) -> DataFrame:
     """a, b, similarity of all pairs with Jaccard similarity of threshold or more.
 
     texts: keyed(). Within texts a < b; with other (whose keys differ), a is from texts and b
-    from other. Pairs that can reach the threshold share one of their rarest shingles (prefix
-    filter), so only those are compared; each is then verified on its whole sets. No pair is
-    lost. Between stages only hashes of the prefixes are kept; shingles are made again for
-    the texts that have a candidate.
+    from other. In whatever order all shingles are put, pairs that can reach the threshold
+    share one of their first shingles, at places that leave room for the shared part; only
+    those meet. The order is that of the hashes, so it needs no counts; shingles seen to be
+    common come last, which keeps them out of the joins and changes no result. Each pair that
+    meets is verified on its whole sets of shingles. Between stages only hashes are kept.
     """
     side = texts.withColumn("side", F.lit(0))
     both = side if other is None else side.unionByName(other.withColumn("side", F.lit(1)))
-    made = both.select("key", "side", T.shingles(T.tokens(F.col("text"))).alias("s"))
-    hashed = made.select("key", "side", F.size("s").alias("n"), F.explode(F.transform("s", lambda x: F.xxhash64(x))).alias("h"))
-    frequency = hashed.groupBy("h").agg(F.count("*").alias("df"))
-    ranked = hashed.join(frequency.hint("shuffle_hash"), "h").withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("df", "h")))
-    prefix = cut(ranked.where((F.col("r") <= prefix_length(F.col("n"), threshold)) & (F.col("df") > 1)).select("key", "side", "n", "h"))
-    a = prefix.where("side = 0").select(F.col("key").alias("a"), F.col("n").alias("na"), "h")
-    b = prefix.where(F.col("side") == (0 if other is None else 1)).select(F.col("key").alias("b"), F.col("n").alias("nb"), "h")
-    order = F.col("a") < F.col("b") if other is None else F.lit(True)
+    counted = _prefixes(both, threshold, []).groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") >= COMMON_FROM)
+    common = [r["h"] for r in counted.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()]
+    prefix = _prefixes(both, threshold, common)
+    a = prefix.where("side = 0").select(F.col("id").alias("ia"), F.col("n").alias("na"), F.col("i").alias("pa"), "h")
+    b = prefix.where(F.col("side") == (0 if other is None else 1)).select(F.col("id").alias("ib"), F.col("n").alias("nb"), F.col("i").alias("pb"), "h")
+    order = F.col("ia") < F.col("ib") if other is None else F.lit(True)
     fits = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - _EPS
-    pairs = cut(a.join(b.hint("shuffle_hash"), "h").where(order & fits).select("a", "b").distinct())
-    first = _shingled(texts.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi")).select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
-    partners = texts if other is None else other
-    second = _shingled(partners.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi")).select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    checked = pairs.join(first.hint("shuffle_hash"), "a").join(second.hint("shuffle_hash"), "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
-    score = F.col("shared").cast("double") / F.greatest(F.size("sa") + F.size("sb") - F.col("shared"), F.lit(1)).cast("double")
-    return checked.select("a", "b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - _EPS
+    met = cut(a.join(b.hint("shuffle_hash"), "h").where(order & fits & room).select("ia", "ib").distinct())
+    hashes = both.select(F.xxhash64("key").alias("id"), _shingle_hashes(F.col("text")).alias("s")).join(_ids(met), "id", "left_semi")
+    close = _scored(met, hashes, hashes).where(F.col("similarity") >= threshold - _EPS).select("ia", "ib")
+    close = cut(close)
+    sets = both.withColumn("id", F.xxhash64("key")).join(_ids(close), "id", "left_semi").select("id", "key", "side", T.shingles(T.tokens(F.col("text"))).alias("s"))
+    second = sets.where(F.col("side") == (0 if other is None else 1))
+    found = _scored(close, sets.where("side = 0"), second).where(F.col("similarity") >= threshold)
+    if other is not None:
+        return found.select(F.col("ka").alias("a"), F.col("kb").alias("b"), "similarity")
+    swap = F.col("ka") > F.col("kb")
+    return found.select(F.when(swap, F.col("kb")).otherwise(F.col("ka")).alias("a"), F.when(swap, F.col("ka")).otherwise(F.col("kb")).alias("b"), "similarity")
 
 
 def greedy_removed(pairs: DataFrame) -> DataFrame:

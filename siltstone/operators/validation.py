@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from siltstone.operators.filters import has_secret, is_malformed
+from siltstone.session import ensure_importable
 
 #: Methods whose records are prose around code, and the fences of Python blocks (fixed values).
 WRAPPED = ["codedev", "codeqa", "codetrace"]
@@ -37,6 +38,7 @@ def validate_generated(records: DataFrame, content: str = "content") -> DataFram
     records whose language is 'Python'. A null text is malformed. Python code goes to the
     parser only where there is some, in Arrow batches.
     """
+    ensure_importable(records.sparkSession)
     names = dict(records.dtypes)
     col = lambda c, kind: F.col(c).cast(kind) if c in names else F.lit(None).cast(kind)
     text, method = F.col(content), col("method", "string")

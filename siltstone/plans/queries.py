@@ -16,6 +16,7 @@ from siltstone.operators import decontaminate as D
 from siltstone.operators import dedup, filters, generation, quotas, statistics, trace
 from siltstone.operators.rules import PROSE_RULES
 from siltstone.operators.validation import validate_generated
+from siltstone.session import cut
 from siltstone.sources import repositories, sinks
 from siltstone.sources.tables import table
 
@@ -42,6 +43,11 @@ def _unique(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.exact_deduplicate(_code(spark, folder).where("content is not null"), ORDER)
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    """Key and text of documents, written once for the stages that read them again."""
+    return cut(documents.select("document_id", "content"))
+
+
 def _organic(spark: SparkSession, folder: str) -> DataFrame:
     return D.drop_evaluation_matches(_unique(spark, folder), _evaluation(spark, folder), "document_id")
 
@@ -69,20 +75,20 @@ def shingle_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def near_dup_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of different texts that are 0.8 similar or more."""
-    pairs = dedup.similar_pairs(dedup.keyed(_unique(spark, folder), "document_id"), 0.8)
+    pairs = dedup.similar_pairs(dedup.keyed(_texts(_unique(spark, folder)), "document_id"), 0.8)
     return pairs.select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
 @query
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.near_deduplicate(_unique(spark, folder), "document_id", 0.8).select("document_id")
+    return dedup.near_deduplicate(_texts(_unique(spark, folder)), "document_id", 0.8).select("document_id")
 
 
 @query
 def cross_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Generated records that repeat a code document or an earlier record."""
     made = table(spark, folder, "synthetic_documents").where("content is not null").dropDuplicates(["document_id"]).select("document_id", "content")
-    judged = dedup.cross_deduplicate(_unique(spark, folder).select("document_id", "content"), made, "document_id")
+    judged = dedup.cross_deduplicate(_texts(_unique(spark, folder)), _texts(made), "document_id")
     return judged.select("document_id", "rejection_reason")
 
 
@@ -143,7 +149,7 @@ def rejection_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def curation_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated, decontaminated documents by the rule that rejects them."""
-    kept = dedup.near_deduplicate(_organic(spark, folder), "document_id", 0.8)
+    kept = dedup.near_deduplicate(cut(_organic(spark, folder)), "document_id", 0.8)
     judged = filters.quality_filter(kept)
     return judged.groupBy(F.coalesce("rejection_reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n_documents"))
 

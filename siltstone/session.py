@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,17 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows read back from the shared folder: survives a lost executor, computed once."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package: from its folder where they share the disk, else from an archive sent along."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    if context.master.startswith("local"):
+        known = context.environment.get("PYTHONPATH", "")
+        if str(root) not in known.split(os.pathsep):
+            context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (str(root), known) if x)
+    elif not getattr(context, "_siltstone_sent", False):
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "siltstone-package"), "zip", root, "siltstone")
+        context.addPyFile(archive)
+        context._siltstone_sent = True
