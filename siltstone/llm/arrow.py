@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from siltstone.session import ensure_importable
+
 
 #: Nodes of a plan that move rows; a plan without them only reads.
 _MOVES = ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "Limit")
@@ -33,6 +35,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
     gets one Python list per column and returns a list of row tuples. Only the
     named columns leave the scan.
     """
+    ensure_importable(df.sparkSession)
     spec = _parse_datatype_string(schema)
     assert isinstance(spec, StructType)
     target = to_arrow_schema(spec)
