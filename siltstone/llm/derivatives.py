@@ -27,7 +27,8 @@ class Grammar:
         self.source: dict[str, str] = {}
         for line in re.sub(r"\n[ \t]+", " ", rules).strip().splitlines():
             name, _, body = line.partition("=")
-            self.source[name.strip()] = body.strip()
+            if name.strip():
+                self.source[name.strip()] = body.strip()
         self.start = start
         self._reset()
 

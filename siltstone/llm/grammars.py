@@ -126,14 +126,6 @@ def semicolons(enders: set[str], openers: set[str], in_brackets: bool = True) ->
     return layout
 
 
-def _renamed(grammar: str, **kinds: str) -> str:
-    """The grammar with signs and words that the lexer puts into a class written as that class."""
-    for kind, members in kinds.items():
-        for member in members.split():
-            grammar = grammar.replace(f"'{member}'", kind)
-    return grammar
-
-
 def indents(language: Language, tokens: list[str]) -> list[str]:
     """NEWLINE, INDENT and DEDENT of a language whose blocks are set off by indentation."""
     memory, kind, out = language.memory, language.kind, []
@@ -187,74 +179,78 @@ tail = '(' es? ')' | '[' es? ']' | '.' ID | STEP
 es = e (',' e)* ','?
 """
 
-C_EXPRESSION = EXPRESSION + """
+C_GRAMMAR = EXPRESSION + """
 tail = '(' es? ')' | '[' es? ']' | '.' id | STEP | '{' inits? '}'
 prim = name | NUM | STR+ | CHR | '(' es ')' | '(' type ')' u | 'sizeof' '(' type ')' | 'sizeof' u | '{' inits? '}'
 inits = init (',' init)* ','?
 init = ('.' ID+ | '[' e ']')* '='? e | '.' ID '=' e
 id = ID
 name = ID
-type = spec+ ('*' | CV | '&' | '&&')* ('[' e? ']')*
+type = spec+ ('*' | CV | '&')* ('[' e? ']')*
 block = '{' s* '}'
 s = block | ';' | es ';' | decl | 'if' '(' cond ')' s ('else' s)? | 'while' '(' cond ')' s | 'do' s 'while' '(' es ')' ';' | 'for' '(' forhead ')' s | 'switch' '(' cond ')' s | 'case' e ':' | 'default' ':' | 'return' es? ';' | 'break' ';' | 'continue' ';' | 'goto' ID ';' | ID ':' s
 cond = es
 forhead = (decl | es? ';') es? ';' es?
 decl = spec+ (idcl (',' idcl)*)? ';'
 idcl = dcl ('=' e)? (':' e)?
-dcl = ('*' | CV | '&' | '&&')* dd
+dcl = ('*' | CV | '&')* dd
 dd = (name | '(' dcl ')') dsuf*
 dsuf = '[' e? ']' | '(' params? ')'
 params = param (',' param)* (',' '...')?
-param = spec+ ('*' | CV | '&' | '&&')* dd? ('=' e)? | spec+ '*'* dsuf | '...'
+param = spec+ ('*' | CV | '&')* dd? ('=' e)? | spec+ '*'* dsuf | '...'
 spec = CV | MOD | PRIM | ('struct' | 'union') ID? body? | 'enum' ID? enums? | ID
 enums = '{' (ID ('=' e)? (',' ID ('=' e)?)* ','?)? '}'
 body = '{' decl* '}'
 func = spec+ dcl block
 file = ext*
-ext = func | decl | 'typedef' decl | ';' | 'extern' STR ('{' ext* '}' | ext)
+ext = func | decl | 'typedef' decl | ';' | MOD STR ('{' ext* '}' | ext)
 """
-C_GROUPS = {"BIN": "/ % | ^ || && == != <= << .  ->".replace(" . ", " ").replace(" ->", ""), "ASG": "+= -= *= /= %= &= |= ^= <<=", "PRE": "! ~", "STEP": "++ --", "CV": "const volatile restrict", "MOD": "static extern inline register auto", "PRIM": "int char float double long short unsigned signed void bool _Bool", ".": ". ->"}
+C_GROUPS = {"BIN": "/ % | ^ || && == != <= <<", "ASG": "+= -= *= /= %= &= |= ^= <<=", "PRE": "! ~", "STEP": "++ --", "CV": "const volatile restrict", "MOD": "static extern inline register auto", "PRIM": "int char float double long short unsigned signed void bool _Bool", ".": ". ->"}
 DIRECTIVE = r"(?<![^\n])[ \t]*\#[ \t]*(?:include|define|undef|if|ifdef|ifndef|else|elif|endif|pragma|error|warning|line)\b(?:[^\n\\]|\\.|\\\n)*"
 C_SIGNS = "( ) [ ] { } ; , : ? = * & + - < > ... && | ^ || == != <= << / % . -> += -= *= /= %= &= |= ^= <<= ! ~ ++ --"
 CHR = r"'(?:[^'\\\n]|\\(?:[^xuU0-7\n]|x[0-9a-fA-F]+|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}))+'"
 
-CPP_GRAMMAR = C_EXPRESSION + """
-id = 'template'? (ID | '~' ID | 'operator' op) targs?
-op = BIN | '<' | '>' | '=' | ASG | '*' | '&' | '+' | '-' | PRE | STEP | '(' ')' | '[' ']' | type | '&&'
+CPP_GRAMMAR = C_GRAMMAR + """
+infix = BIN | '-' | '+' | '*' | '&' | '&&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '='
+u = PRE u | '-' u | '+' u | '*' u | '&' u | STEP u | 'delete' ('[' ']')? u | 'co_await' u | p
+tail = '(' es? ')' | '[' es? ']' | ('.' | '->') id | STEP | '{' inits? '}'
+prim = name | NUM | STR+ | CHR | '(' es ')' | '(' type ')' u | 'sizeof' '(' type ')' | 'sizeof' u | '{' inits? '}' | 'this' | LIT | PRIM '(' es? ')' | PRIM '{' es? '}' | CAST targs '(' e ')' | lambda | 'new' spec+ '*'* ('(' es? ')' | '[' e ']' | '{' es? '}')? | 'throw' e?
+id = 'template'? (ID | PRE ID | 'operator' op) targs?
 name = '::'? id ('::' id)*
+type = spec+ ('*' | CV | '&' | '&&')* ('[' e? ']')*
+s = block | ';' | es ';' | decl | 'if' 'constexpr'? '(' (decl | es ';')? cond ')' s ('else' s)? | 'while' '(' cond ')' s | 'do' s 'while' '(' es ')' ';' | 'for' '(' forhead ')' s | 'switch' '(' cond ')' s | 'case' e ':' | 'default' ':' | 'return' es? ';' | 'break' ';' | 'continue' ';' | 'goto' ID ';' | ID ':' s | 'try' block catch+ | using | 'throw' e? ';'
+cond = es | decl2
+forhead = (decl | es? ';') es? ';' es? | spec+ dcl ':' e
+idcl = dcl fmod* ('=' (e | 'default' | 'delete'))? (':' e)? | dcl '{' inits? '}'
+dcl = ('*' | CV | '&' | '&&')* dd
+dsuf = '[' e? ']' | '(' params? ')' | '(' es ')'
+param = spec+ ('*' | CV | '&' | '&&')* dd? ('=' e)? | spec+ '*'* dsuf | '...'
+spec = CV | MOD | PRIM | 'constexpr' | 'typename' | class | 'enum' ('class' | 'struct')? ID? (':' type)? enums? | name | 'decltype' '(' e ')' | attr
+func = spec* dcl fmod* (':' minit (',' minit)*)? (block | '=' 'default' ';' | '=' 'delete' ';') | spec* dcl fmod* 'try' block catch+
+ext = func | decl | 'typedef' decl | ';' | MOD STR ('{' ext* '}' | ext) | 'namespace' (ID ('::' ID)*)? '{' ext* '}' | using | template ext | 'static_assert' '(' es ')' ';' | dcl ';'
+op = BIN | '<' | '>' | '=' | ASG | '*' | '&' | '+' | '-' | PRE | STEP | '(' ')' | '[' ']' | type | '&&'
 targs = '<' (targ (',' targ)*)? '>'
 targ = type ('(' params? ')')? | e
-infix = BIN | '-' | '+' | '*' | '&' | '&&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '='
-prim = name | NUM | STR+ | CHR | '(' es ')' | '(' type ')' u | 'sizeof' '(' type ')' | 'sizeof' u | '{' inits? '}' | 'this' | LIT | PRIM '(' es? ')' | PRIM '{' es? '}' | CAST targs '(' e ')' | lambda | 'new' spec+ '*'* ('(' es? ')' | '[' e ']' | '{' es? '}')? | 'throw' e?
-u = PRE u | '-' u | '+' u | '*' u | '&' u | STEP u | 'delete' ('[' ']')? u | 'co_await' u | p
 lambda = '[' (cap (',' cap)*)? ']' ('(' params? ')')? MOD* ('->' type)? block
 cap = '&' | '=' | '&'? (ID | 'this') ('=' e)?
-cond = es | decl2
 decl2 = spec+ dcl '=' e
-forhead = (decl | es? ';') es? ';' es? | spec+ dcl ':' e
-s = block | ';' | es ';' | decl | 'if' 'constexpr'? '(' (decl | es ';')? cond ')' s ('else' s)? | 'while' '(' cond ')' s | 'do' s 'while' '(' es ')' ';' | 'for' '(' forhead ')' s | 'switch' '(' cond ')' s | 'case' e ':' | 'default' ':' | 'return' es? ';' | 'break' ';' | 'continue' ';' | 'goto' ID ';' | ID ':' s | 'try' block catch+ | using | 'throw' e? ';'
 catch = 'catch' '(' (param | '...') ')' block
-spec = CV | MOD | PRIM | 'constexpr' | 'typename' | class | 'enum' ('class' | 'struct')? ID? (':' type)? enums? | name | 'decltype' '(' e ')' | attr
 attr = '[' '[' e (',' e)* ']' ']'
 class = ('class' | 'struct' | 'union') attr? name? 'final'? bases? classbody?
-bases = ':' ('public' | 'private' | 'protected' | 'virtual')* type (',' ('public' | 'private' | 'protected' | 'virtual')* type)*
+bases = ':' ('public' | 'private' | 'protected' | MOD)* type (',' ('public' | 'private' | 'protected' | MOD)* type)*
 classbody = '{' member* '}'
 member = ('public' | 'private' | 'protected') ':' | decl | func | using | template member | 'friend' (decl | func) | 'typedef' decl | ';'
-idcl = dcl fmod* ('=' (e | 'default' | 'delete'))? (':' e)? | dcl '{' inits? '}'
-dsuf = '[' e? ']' | '(' params? ')' | '(' es ')'
 fmod = CV | 'noexcept' ('(' e ')')? | 'override' | 'final' | '&' | '&&' | '->' type
-func = spec* dcl fmod* (':' minit (',' minit)*)? (block | '=' 'default' ';' | '=' 'delete' ';') | spec* dcl fmod* 'try' block catch+
 minit = name ('(' es? ')' | '{' es? '}')
 using = 'using' 'namespace'? name ('=' type)? ';' | 'using' 'typename' name ';'
 template = 'template' '<' (tparam (',' tparam)*)? '>'
 tparam = ('typename' | 'class') '...'? ID? ('=' type)? | param | template tparam
-ext = func | decl | 'typedef' decl | ';' | 'extern' STR ('{' ext* '}' | ext) | 'inline'? 'namespace' (ID ('::' ID)*)? '{' ext* '}' | using | template ext | 'static_assert' '(' es ')' ';' | dcl ';'
 """
 
 JAVA_GRAMMAR = EXPRESSION + """
 infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '=' | '>' '>' '>' | 'instanceof' 'final'?
-prim = name | NUM | STR | CHR | LIT | '(' e ')' | '(' type ('&' type)* ')' u | 'new' type ('(' es? ')' classbody? | ('[' e? ']')+ init?) | lambda | PRIM ('[' ']')* '.' 'class' | 'switch' '(' e ')' swbody | type '::' (ID | 'new') | init
 tail = '(' es? ')' | '[' e ']' | '.' targs? ID | '.' 'class' | '.' 'new' ID '(' es? ')' | '.' 'this' | STEP | '::' (ID | 'new')
+prim = name | NUM | STR | CHR | LIT | '(' e ')' | '(' type ('&' type)* ')' u | 'new' type ('(' es? ')' classbody? | ('[' e? ']')+ init?) | lambda | PRIM ('[' ']')* '.' 'class' | 'switch' '(' e ')' swbody | type '::' (ID | 'new') | init
 name = ID | 'this' | 'super'
 lambda = (ID | '(' lparams? ')') '->' (e | block)
 lparams = ID (',' ID)* | param (',' param)*
@@ -290,10 +286,10 @@ JAVA_SIGNS = "( ) [ ] { } ; , : :: ? = * & + - < > ... @ -> . " + " ".join(JAVA_
 TEXT_BLOCK = r'"""(?:[^"\\]|\\.|"(?!""))*"""'
 
 CS_GRAMMAR = EXPRESSION + """
-infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '=' | '??' | '=>' | 'is' 'not'? | 'as' | '..' | 'and' | 'or'
+infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '=' | '??' | '=>' | 'is' ID? | 'as' | '..'
 u = PRE u | '-' u | '+' u | '*' u | '&' u | STEP u | 'await' u | 'throw' u | p
-prim = name | NUM | STR | CHR | LIT | '(' arg (',' arg)* ')' | '(' type ')' u | 'new' type? ('(' args? ')')? (init | ('[' es? ']')+ init?)? | 'async'? (ID | '(' params? ')' | '(' ID (',' ID)* ')') '=>' (e | block) | ('typeof' | 'nameof' | 'sizeof' | 'default' | 'checked') ('(' type ')' | '(' e ')')? | PRIM | 'delegate' ('(' params? ')')? block | '[' es? ']' | p 
-tail = '(' args? ')' | '[' args? ']' | '.' name | '?' '.' name | '?' '[' args ']' | STEP | '!' | init | 'switch' '{' (e '=>' e (',' e '=>' e)* ','?)? '}' | 'with' init
+tail = '(' args? ')' | '[' args? ']' | '.' name | '?' '.' name | '?' '[' args ']' | STEP | PRE | init | 'switch' '{' (e '=>' e (',' e '=>' e)* ','?)? '}' | ID init
+prim = name | NUM | STR | CHR | LIT | '(' arg (',' arg)* ')' | '(' type ')' u | 'new' type? ('(' args? ')')? (init | ('[' es? ']')+ init?)? | 'async'? (ID | '(' params? ')' | '(' ID (',' ID)* ')') '=>' (e | block) | ('typeof' | 'nameof' | 'sizeof' | 'default' | 'checked') ('(' type ')' | '(' e ')')? | PRIM | 'delegate' ('(' params? ')')? block | '[' es? ']'
 name = ID targs? | 'this' | 'base' | ID '::' ID
 args = arg (',' arg)* ','?
 arg = (ID ':')? ('ref' | 'out' | 'in')? (e | type ID)
@@ -309,27 +305,22 @@ var = ID ('=' (e | init))?
 s = block | ';' | e ';' | vars ';' | localfn | 'if' '(' e ')' s ('else' s)? | 'while' '(' e ')' s | 'do' s 'while' '(' e ')' ';' | 'for' '(' forhead ')' s | 'await'? 'foreach' '(' type ID 'in' e ')' s | 'switch' '(' e ')' swbody | 'return' e? ';' | 'break' ';' | 'continue' ';' | 'throw' e? ';' | 'try' block catch* ('finally' block)? | 'lock' '(' e ')' s | 'using' '(' (vars | e) ')' s | 'yield' ('return' e | 'break') ';' | ID ':' s | 'goto' (ID | 'case' e | 'default') ';' | ('unsafe' | 'checked' | 'unchecked') block | 'fixed' '(' vars ')' s
 localfn = mods type ID tparams? '(' params? ')' where* fbody
 forhead = (vars | es)? ';' e? ';' es?
-catch = 'catch' ('(' type ID? ')')? ('when' '(' e ')')? block
-swbody = '{' (('case' e ('when' e)? | 'default') ':' s*)* '}'
+catch = 'catch' ('(' type ID? ')')? (ID '(' e ')')? block
+swbody = '{' (('case' e (ID e)? | 'default') ':' s*)* '}'
 tparams = '<' ('in' | 'out' | attr)* ID (',' ('in' | 'out' | attr)* ID)* '>'
-where = 'where' ID ':' (type | 'class' | 'struct' | 'new' '(' ')') (',' (type | 'class' | 'struct' | 'new' '(' ')'))*
+where = ID ID ':' (type | 'class' | 'struct' | 'new' '(' ')') (',' (type | 'class' | 'struct' | 'new' '(' ')'))*
 class = mods ('class' | 'struct' | 'interface' | 'record' ('class' | 'struct')?) ID tparams? ('(' params? ')')? (':' type ('(' args? ')')? (',' type)*)? where* ('{' member* '}' ';'? | ';') | mods 'enum' ID (':' type)? '{' (attr* ID ('=' e)? (',' attr* ID ('=' e)?)* ','?)? '}' ';'? | mods 'delegate' type ID tparams? '(' params? ')' where* ';'
-member = class | mods type var (',' var)* ';' | mods 'event' type (var ';' | ID '{' acc* '}') | mods type name ('.' name)* '{' acc* '}' ('=' (e | init) ';')? | mods type ID '=>' e ';' | mods type 'this' '[' params ']' ('{' acc* '}' | '=>' e ';') | mods type name ('.' name)* tparams? '(' params? ')' where* fbody | mods '~'? ID '(' params? ')' (':' ('base' | 'this') '(' args? ')')? fbody | mods type 'operator' (BIN | PRE | STEP | '+' | '-' | '*' | '&' | '<' | '>' | 'LIT') '(' params ')' fbody | mods ('implicit' | 'explicit') 'operator' type '(' params ')' fbody
+member = class | mods type var (',' var)* ';' | mods 'event' type (var ';' | ID '{' acc* '}') | mods type name ('.' name)* '{' acc* '}' ('=' (e | init) ';')? | mods type ID '=>' e ';' | mods type 'this' '[' params ']' ('{' acc* '}' | '=>' e ';') | mods type name ('.' name)* tparams? '(' params? ')' where* fbody | mods PRE? ID '(' params? ')' (':' ('base' | 'this') '(' args? ')')? fbody | mods type 'operator' (BIN | PRE | STEP | '+' | '-' | '*' | '&' | '<' | '>' ) '(' params ')' fbody | mods ('implicit' | 'explicit') 'operator' type '(' params ')' fbody
 fbody = block | '=>' e ';' | ';'
-acc = mods ('get' | 'set' | 'init' | 'add' | 'remove') fbody
+acc = mods ID fbody
 params = param (',' param)*
 param = attr* ('ref' | 'out' | 'in' | 'params' | 'this')* type ID ('=' e)?
 file = ('extern' ID ID ';')* use* (ns | class | ';' | attr | s)*
-use = 'global'? 'using' 'static'? (ID '=')? type ';'
+use = ID? 'using' MOD? (ID '=')? type ';'
 ns = 'namespace' ID ('.' ID)* (';' | '{' use* (ns | class)* '}' ';'?)
 """
 CS_WORDS = "using namespace class struct interface record enum delegate event if else while do for foreach in switch case default return break continue throw try catch finally lock yield new this base is as await async const readonly typeof nameof sizeof ref out params operator implicit explicit checked unchecked unsafe fixed goto extern"
-CS_SOFT = "where when get set init add remove and or not with global"
 CS_GROUPS = {"BIN": "/ % | ^ || && == != <= <<", "ASG": "+= -= *= /= %= &= |= ^= <<= ??=", "PRE": "! ~", "STEP": "++ --", "MOD": "public private protected internal static abstract sealed virtual override partial volatile required", "PRIM": "int char float double long short byte bool void var string object decimal uint ulong ushort sbyte dynamic", "LIT": "true false null"}
-CS_GRAMMAR = CS_GRAMMAR.replace(" | p \n", "\n").replace("| 'LIT')", ")").replace("PRE = ", "PRE = ")
-for _w in CS_SOFT.split():
-    CS_GRAMMAR = CS_GRAMMAR.replace(f"'{_w}'", "ID") if _w in ("get", "set", "init", "add", "remove") else CS_GRAMMAR
-CS_GRAMMAR = CS_GRAMMAR.replace("acc = mods (ID | ID | ID | ID | ID) fbody", "acc = mods ID fbody")
 CS_SIGNS = "( ) [ ] { } ; , : :: ? = * & + - < > => ?? .. . " + " ".join(CS_GROUPS[k] for k in ("BIN", "ASG", "PRE", "STEP"))
 
 GO_GRAMMAR = """
@@ -348,7 +339,7 @@ params = param (',' param)* ','?
 param = (ID (',' ID)*)? '...'? type
 fields = (fid (';' fid)* ';'?)?
 fid = ID (',' ID)* type STR? | '*'? ID ('.' ID)? STR?
-imembers = ((ID sig | type ('|' type)*) (';' (ID sig | type ('|' type)*))* ';'?)?
+imembers = ((ID sig | type (BIN type)*) (';' (ID sig | type (BIN type)*))* ';'?)?
 block = '{' list '}'
 list = s? (';' s?)*
 es = e (',' e)*
@@ -367,31 +358,27 @@ file = 'package' ID ';' (imp ';')* ((decl | func) (';' (decl | func))*)? ';'?
 GO_WORDS = "package import func var const type struct interface map chan if else for range switch select case default return goto go defer"
 GO_GROUPS = {"BIN": "/ % | ^ || && == != <= >= << >> &^", "ASG": "+= -= *= /= %= &= |= ^= <<= >>=", "PRE": "!", "STEP": "++ --", "BRK": "break continue fallthrough"}
 GO_SIGNS = "( ) [ ] { } ; , : := = * & + - < > <- ... . " + " ".join(GO_GROUPS[k] for k in ("BIN", "ASG", "PRE", "STEP"))
-GO_GRAMMAR = GO_GRAMMAR.replace("BIN | '-'", "BIN | '^' | '-'")
 
-JS_COMMON = EXPRESSION + """
+JS_GRAMMAR = EXPRESSION + """
 e = arrow | 'async' arrow | u (infix u)* ('?' e ':' e)? | u (infix u)* infix arrow | 'yield' '*'? e?
 infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '=' | '>' '>' '>' | 'in' | 'instanceof' | '??'
 u = PRE u | '-' u | '+' u | STEP u | 'await' u | p
-p = prim tail*
-arrow = (id | '(' params? ')' ret?) '=>' (e | block)
-prim = id | NUM | STR | REGEX | LIT | 'this' | 'super' | '(' es ')' | '[' elems ']' | '{' props? '}' | 'async'? 'function' '*'? id? '(' params? ')' ret? block | class | 'new' prim ('.' key)* targs? ('(' es? ')')? | 'import' '(' e ')' | 'import' '.' ID | 'new' '.' ID
-tail = '(' spreads? ')' | '[' es ']' | '.' key | '?.' (key | '(' spreads? ')' | '[' e ']') | STEP | STR | '!'
+tail = '(' spreads? ')' | '[' es ']' | '.' key | '?.' (key | '(' spreads? ')' | '[' e ']') | STEP | STR
 es = e (',' e)*
+arrow = (id | '(' params? ')') '=>' (e | block)
+prim = id | NUM | STR | REGEX | LIT | 'this' | 'super' | '(' es ')' | '[' elems ']' | '{' props? '}' | 'async'? 'function' '*'? id? '(' params? ')' block | class | 'new' prim ('.' key)* ('(' es? ')')? | 'import' '(' e ')' | 'import' '.' ID | 'new' '.' ID
 spreads = spread (',' spread)* ','?
 spread = '...'? e
 elems = (spread | ',')*
 props = prop (',' prop)* ','?
-prop = '...' e | pkey ':' e | id ('=' e)? | ('async' | 'get' | 'set' | '*')* pkey '(' params? ')' ret? block
+prop = '...' e | pkey ':' e | id ('=' e)? | ('async' | 'get' | 'set' | '*')* pkey '(' params? ')' block
 pkey = key | STR | NUM | '[' e ']'
 id = ID | 'async' | 'get' | 'set' | 'of' | 'from' | 'as' | 'static'
-key = id | WORD | 'this' | 'in' | 'instanceof' | 'await' | LIT | 'super' | 'yield' | PRE
+key = id | 'var' | 'let' | 'const' | 'function' | 'class' | 'extends' | 'return' | 'throw' | 'break' | 'continue' | 'do' | 'while' | 'for' | 'if' | 'else' | 'switch' | 'case' | 'default' | 'try' | 'catch' | 'finally' | 'import' | 'export' | 'new' | 'this' | 'in' | 'instanceof' | 'await' | LIT | 'super' | 'yield' | PRE
 params = par (',' par)* ','?
 par = '...'? bind ('=' e)?
 bind = id | '[' (par | ',')* ']' | '{' (bprop (',' bprop)* ','?)? '}'
 bprop = '...' id | pkey (':' bind)? ('=' e)?
-ret = 
-targs = 
 block = '{' s* bare? '}'
 bare = simple
 simple = es | ('var' | 'let' | 'const') decls | 'return' es? | 'throw' es | 'break' id? | 'continue' id? | 'debugger' | 'do' s 'while' '(' es ')'
@@ -399,35 +386,43 @@ decls = bind ('=' e)? (',' bind ('=' e)?)*
 s = simple ';' | 'do' s 'while' '(' es ')' | ';' | block | fun | class | 'if' '(' es ')' sb ('else' sb)? | 'while' '(' es ')' sb | 'for' 'await'? '(' forhead ')' sb | 'switch' '(' es ')' '{' (('case' es | 'default') ':' s* bare?)* '}' | 'try' block ('catch' ('(' bind ')')? block)? ('finally' block)? | id ':' s | impexp
 sb = s | bare
 forhead = (('var' | 'let' | 'const') decls | es)? ';' es? ';' es? | (('var' | 'let' | 'const') bind | e) ('of' | 'in') es
-fun = 'async'? 'function' '*'? id '(' params? ')' ret? block
+fun = 'async'? 'function' '*'? id '(' params? ')' block
 class = 'class' id? ('extends' u)? '{' member* '}'
-member = ';' | mmods pkey '(' params? ')' ret? (block | ';') | mmods pkey ('=' e)? ';' | 'static' block
+member = ';' | mmods pkey '(' params? ')' (block | ';') | mmods pkey ('=' e)? ';' | 'static' block
 mmods = ('static' | 'async' | 'get' | 'set' | '*')*
 impexp = 'import' (STR | imps 'from' STR) ';' | 'export' ('default' (e ';' | fun | class) | ('var' | 'let' | 'const') decls ';' | fun | class | '*' ('as' id)? 'from' STR ';' | '{' (ims (',' ims)* ','?)? '}' ('from' STR)? ';')
 imps = id | '*' 'as' id | '{' (ims (',' ims)* ','?)? '}' | id ',' ('{' (ims (',' ims)* ','?)? '}' | '*' 'as' id)
 ims = key ('as' key)?
 file = s* bare?
 """
-JS_GRAMMAR = JS_COMMON.replace(" | '!'\n", "\n").replace("ret = \n", "").replace("targs = \n", "").replace(" ret?", "").replace(" targs?", "")
 JS_WORDS = "var let const function class extends return throw break continue debugger do while for if else switch case default try catch finally import export new this super in instanceof await yield async get set of from as static"
 JS_GROUPS = {"BIN": "/ % | ^ || && == != === !== <= << **", "ASG": "+= -= *= /= %= &= |= ^= <<= **= &&= ||= ??=", "PRE": "! ~ typeof void delete", "STEP": "++ --", "LIT": "true false null undefined"}
 JS_SIGNS = "( ) [ ] { } ; , : ? = * & + - < > => ?? ?. ... . / % | ^ || && == != === !== <= << ** += -= *= /= %= &= |= ^= <<= **= &&= ||= ??= ! ~ ++ --"
 TEMPLATE = r"`(?:[^`\\]|\\[\s\S])*`"
 REGEX = r"(?:(?<=[=(,:\[!&|?{};\n>])|(?<=return)|(?<=typeof)|(?<=case))[ ]?/(?![*/\s])(?:[^/\\\n\[]|\\.|\[(?:[^\]\\\n]|\\.)*\])+/[a-z]*"
 REGEX_ALONE = r"[ ]?/.+/[a-z]*"
-JS_WORD_KIND = "var let const function class extends return throw break continue do while for if else switch case default try catch finally import export new"
 
-_JS_NAMES = " | ".join(f"'{w}'" for w in JS_WORD_KIND.split())
-
-TS_GRAMMAR = JS_COMMON.replace("ret = \n", "ret = ':' ('asserts' | ID 'is')? type\n").replace("targs = \n", "targs = '<' type (',' type)* '>'\n") + """
-tail = '(' spreads? ')' | '[' es ']' | '.' key | '?.' (key | '(' spreads? ')' | '[' e ']') | STEP | STR | '!' | 'as' (type | 'const') | targs '(' spreads? ')' | 'satisfies' type
+TS_GRAMMAR = JS_GRAMMAR + """
+tail = '(' spreads? ')' | '[' es ']' | '.' key | '?.' (key | '(' spreads? ')' | '[' e ']') | STEP | STR | PRE | 'as' (type | 'const') | targs '(' spreads? ')' | 'satisfies' type
 arrow = (id | tparams? '(' params? ')' ret?) '=>' (e | block)
+prim = id | NUM | STR | REGEX | LIT | 'this' | 'super' | '(' es ')' | '[' elems ']' | '{' props? '}' | 'async'? 'function' '*'? id? '(' params? ')' ret? block | class | 'new' prim ('.' key)* targs? ('(' es? ')')? | 'import' '(' e ')' | 'import' '.' ID | 'new' '.' ID
+prop = '...' e | pkey ':' e | id ('=' e)? | ('async' | 'get' | 'set' | '*')* pkey '(' params? ')' ret? block
+id = ID | 'async' | 'get' | 'set' | 'of' | 'from' | 'as' | 'static' | 'type' | 'is' | 'abstract' | 'declare' | 'namespace' | 'readonly' | 'asserts' | 'infer' | 'keyof' | 'satisfies' | 'unique' | 'override' | PRIM
 par = deco* acc* '...'? (bind | 'this') '?'? (':' type)? ('=' e)?
+ret = ':' ('asserts' | ID 'is')? type
+targs = '<' type (',' type)* '>'
+decls = bind PRE? (':' type)? ('=' e)? (',' bind PRE? (':' type)? ('=' e)?)*
+s = simple ';' | 'do' s 'while' '(' es ')' | ';' | block | fun | class | tdecl | 'if' '(' es ')' sb ('else' sb)? | 'while' '(' es ')' sb | 'for' 'await'? '(' forhead ')' sb | 'switch' '(' es ')' '{' (('case' es | 'default') ':' s* bare?)* '}' | 'try' block ('catch' ('(' bind (':' type)? ')')? block)? ('finally' block)? | id ':' s | impexp
+fun = 'async'? 'function' '*'? id tparams? '(' params? ')' ret? (block | ';')
+class = deco* 'abstract'? 'class' id? tparams? ('extends' u targs?)? ('implements' type (',' type)*)? '{' member* '}'
+member = ';' | deco* mmods pkey ('?' | PRE)? tparams? '(' params? ')' ret? (block | ';') | deco* mmods pkey ('?' | PRE)? (':' type)? ('=' e)? ';' | 'static' block | mmods '[' id ':' type ']' ':' type ';'
+mmods = ('static' | 'async' | 'get' | 'set' | '*' | acc | 'abstract' | 'declare')*
+impexp = 'import' 'type'? (STR | imps 'from' STR) ';' | 'export' ('default' (e ';' | fun | class | tdecl) | ('var' | 'let' | 'const') decls ';' | fun | class | tdecl | 'type'? '*' ('as' id)? 'from' STR ';' | 'type'? '{' (ims (',' ims)* ','?)? '}' ('from' STR)? ';' | '=' e ';') | 'import' id '=' e ';'
+ims = 'type'? key ('as' key)?
 acc = 'public' | 'private' | 'protected' | 'readonly' | 'override'
-decls = bind '!'? (':' type)? ('=' e)? (',' bind '!'? (':' type)? ('=' e)?)*
 type = 'asserts'? tfun | tu ('extends' type '?' type ':' type)?
 tu = ('|' | '&')? tp (('|' | '&') tp)*
-tp = ('keyof' | 'readonly' | 'typeof' | 'infer' | 'unique')* tprim ('[' type? ']')*
+tp = ('keyof' | 'readonly' | PRE | 'infer' | 'unique')* tprim ('[' type? ']')*
 tprim = (id | PRIM | 'this') ('.' id)* targs? | LIT | STR | '-'? NUM | '{' tmembers '}' | '[' (tel (',' tel)* ','?)? ']' | '(' type ')' | PRE type? | 'import' '(' STR ')' ('.' id)*
 tel = '...'? (id '?'? ':')? type '?'?
 tfun = 'new'? tparams? '(' params? ')' '=>' (ID 'is')? type
@@ -435,16 +430,8 @@ tparams = '<' tparam (',' tparam)* ','? '>'
 tparam = 'const'? id ('extends' type)? ('=' type)?
 tmembers = (tm ((';' | ',') tm)* (';' | ',')?)?
 tm = ('readonly' | '-' | '+')* (pkey '?'? (':' type)? | pkey? '?'? tparams? '(' params? ')' ret? | '[' id (':' | 'in') type ('as' type)? ']' ('-' | '+')? '?'? ':' type | 'new' '(' params? ')' ret? | ('get' | 'set') pkey '(' params? ')' ret?)
-fun = 'async'? 'function' '*'? id tparams? '(' params? ')' ret? (block | ';')
-class = deco* 'abstract'? 'class' id? tparams? ('extends' u targs?)? ('implements' type (',' type)*)? '{' member* '}'
 deco = '@' p
-member = ';' | deco* mmods pkey ('?' | '!')? tparams? '(' params? ')' ret? (block | ';') | deco* mmods pkey ('?' | '!')? (':' type)? ('=' e)? ';' | 'static' block | mmods '[' id ':' type ']' ':' type ';'
-mmods = ('static' | 'async' | 'get' | 'set' | '*' | acc | 'abstract' | 'declare')*
-id = ID | 'async' | 'get' | 'set' | 'of' | 'from' | 'as' | 'static' | 'type' | 'is' | 'abstract' | 'declare' | 'namespace' | 'readonly' | 'asserts' | 'infer' | 'keyof' | 'satisfies' | 'unique' | 'override' | PRIM
-s = simple ';' | 'do' s 'while' '(' es ')' | ';' | block | fun | class | tdecl | 'if' '(' es ')' sb ('else' sb)? | 'while' '(' es ')' sb | 'for' 'await'? '(' forhead ')' sb | 'switch' '(' es ')' '{' (('case' es | 'default') ':' s* bare?)* '}' | 'try' block ('catch' ('(' bind (':' type)? ')')? block)? ('finally' block)? | id ':' s | impexp
 tdecl = 'declare'? ('interface' id tparams? ('extends' type (',' type)*)? '{' tmembers '}' | 'type' id tparams? '=' type ';' | 'const'? 'enum' id '{' (pkey ('=' e)? (',' pkey ('=' e)?)* ','?)? '}' | ('namespace' (id ('.' id)* | STR)) block) | 'declare' s
-impexp = 'import' 'type'? (STR | imps 'from' STR) ';' | 'export' ('default' (e ';' | fun | class | tdecl) | ('var' | 'let' | 'const') decls ';' | fun | class | tdecl | 'type'? '*' ('as' id)? 'from' STR ';' | 'type'? '{' (ims (',' ims)* ','?)? '}' ('from' STR)? ';' | '=' e ';') | 'import' id '=' e ';'
-ims = 'type'? key ('as' key)?
 """
 TS_WORDS = JS_WORDS + " type interface enum namespace implements abstract declare readonly public private protected override keyof infer unique is asserts satisfies"
 TS_GROUPS = JS_GROUPS | {"PRIM": "any unknown never string number boolean object symbol bigint"}
@@ -455,19 +442,18 @@ PHP_GRAMMAR = EXPRESSION + """
 e = u (infix u)* ('?' e? ':' e)?
 infix = BIN | '-' | '+' | '*' | '&' | '=' '&'? | ASG | '<' | '>' | 'instanceof' | '??' | 'and' | 'or' | '.'
 u = PRE u | '-' u | '+' u | '&' u | STEP u | CASTS u | 'new' newexp tail* | 'clone' u | 'print' u | 'yield' ('from'? e ('=>' e)?)? | 'throw' u | INC u | p
-newexp = (name | VAR | 'static') ('(' args? ')')? | 'class' ('(' args? ')')? ext? '{' member* '}'
-p = prim tail*
+tail = '(' args? ')' | '[' e? ']' | '{' e '}' | ARROW (ID | VAR | kw | '{' e '}') | '::' (ID | VAR | 'class' | kw) | STEP
+newexp = (name | VAR | 'static') ('(' args? ')')? | 'class' ('(' args? ')')? ext '{' member* '}'
 prim = VAR | name | NUM | STR | '(' e ')' | '[' elems? ']' | 'array' '(' elems? ')' | 'list' '(' elems? ')' | 'static'? fn | 'static' | 'isset' '(' es ')' | 'empty' '(' e ')' | 'exit' ('(' e? ')')? | 'match' '(' e ')' '{' (arm (',' arm)* ','?)? '}'
 arm = (es | 'default') '=>' e
 fn = 'function' '&'? '(' params? ')' ('use' '(' '&'? VAR (',' '&'? VAR)* ','? ')')? ret? block | 'fn' '(' params? ')' ret? '=>' e
-tail = '(' args? ')' | '[' e? ']' | '{' e '}' | ARROW (ID | VAR | kw | '{' e '}') | '::' (ID | VAR | 'class' | kw) | STEP
 kw = 'list' | 'class' | 'print' | 'empty' | 'default' | 'array' | 'match' | 'use' | 'isset' | 'clone' | 'exit' | 'new' | 'static' | 'echo' | 'for' | 'unset'
 args = arg (',' arg)* ','?
 arg = '...' e? | (ID ':')? e
 elems = elem? (',' elem?)*
 elem = (e '=>')? '&'? e | '...' e
-name = '\\'? ID ('\\' ID)*
-type = '?'? tp (('|' | '&') tp)*
+name = NS? ID (NS ID)*
+type = '?'? tp ((BIN | '&') tp)*
 tp = name | 'array' | 'static' | '(' type ')'
 ret = ':' type
 params = param (',' param)* ','?
@@ -475,25 +461,24 @@ param = attr* MOD* type? '&'? '...'? VAR ('=' e)?
 attr = '#[' es ']'
 block = '{' s* '}'
 s = block | ';' | e end | 'echo' es end | 'if' '(' e ')' s ('elseif' '(' e ')' s)* ('else' s)? | 'if' '(' e ')' ':' s* ('elseif' '(' e ')' ':' s*)* ('else' ':' s*)? 'endif' end | 'while' '(' e ')' (s | ':' s* 'endwhile' end) | 'do' s 'while' '(' e ')' end | 'for' '(' es? ';' es? ';' es? ')' (s | ':' s* 'endfor' end) | 'foreach' '(' e 'as' (e '=>')? '&'? e ')' (s | ':' s* 'endforeach' end) | 'switch' '(' e ')' '{' (('case' e | 'default') (':' | ';') s*)* '}' | ('break' | 'continue') NUM? end | 'return' e? end | 'global' VAR (',' VAR)* end | 'static' VAR ('=' e)? (',' VAR ('=' e)?)* end | 'unset' '(' es ')' end | 'try' block ('catch' '(' type VAR? ')' block)* ('finally' block)? | func | class | 'const' ID '=' e end | 'namespace' name? (end | block) | 'use' ('function' | 'const')? name usel? (',' name usel?)* end | 'declare' '(' ID '=' e ')' (end | s) | 'goto' ID end
-usel = 'as' ID | '\\' '{' name ('as' ID)? (',' name ('as' ID)?)* ','? '}'
+usel = 'as' ID | NS '{' name ('as' ID)? (',' name ('as' ID)?)* ','? '}'
 end = ';' | CLOSE
 func = attr* 'function' '&'? ID '(' params? ')' ret? block
-class = attr* MOD* ('class' | 'interface' | 'trait' | 'enum') ID (':' type)? ext? '{' member* '}'
+class = attr* MOD* ('class' | 'interface' | 'trait' | 'enum') ID (':' type)? ext '{' member* '}'
 ext = ('extends' name (',' name)*)? ('implements' name (',' name)*)?
 member = attr* (MOD | 'static')* type? VAR ('=' e)? (',' VAR ('=' e)?)* ';' | attr* MOD* 'const' type? (ID | kw) '=' e (',' ID '=' e)* ';' | attr* (MOD | 'static')* 'function' '&'? (ID | kw) '(' params? ')' ret? (block | ';') | 'use' name (',' name)* (';' | block) | 'case' ID ('=' e)? ';'
-file = HTML? (OPEN s* (CLOSE HTML? OPEN s*)* (CLOSE HTML?)?)?
+file = (OPEN s* (CLOSE OPEN s*)* CLOSE?)?
 """
-PHP_GRAMMAR = PHP_GRAMMAR.replace("'\\\\'", "NS").replace("'\\'", "NS").replace(" ext? ", " ext ")
 PHP_WORDS = "echo if elseif else endif while endwhile do for endfor foreach endforeach as switch case default break continue return global static unset try catch finally function fn class interface trait enum extends implements const namespace use declare goto new clone print yield from throw instanceof array list isset empty exit match and or"
 PHP_GROUPS = {"BIN": "/ % | ^ || && == != === !== <= >= << >> ** <=> xor", "ASG": "+= -= *= /= .= %= &= |= ^= <<= >>= **= ??=", "PRE": "! ~ @", "STEP": "++ --", "MOD": "public private protected abstract final readonly var", "INC": "include include_once require require_once", "ARROW": "-> ?->", "NS": "\\", "exit": "die"}
 PHP_SIGNS = "( ) [ ] { } ; , : :: ? = * & + - < > => ?? ... . #[ -> ?-> \\ / % | ^ || && == != === !== <= >= << >> ** <=> += -= *= /= .= %= &= |= ^= <<= >>= **= ??= ! ~ @ ++ --"
 
 RUST_GRAMMAR = """
-e = 'return' e? | 'break' LIFE? e? | 'continue' LIFE? | closure | u (infix u)* | u (infix u)* infix closure | u? RANGE u? 
-infix = BIN | '-' | '+' | '*' | '&' | '&&' | '=' | ASG | '<' | '>' | RANGE | '|' | '||'
+e = 'return' e? | 'break' LIFE? e? | 'continue' LIFE? | closure | u (infix u)* | u (infix u)* infix closure | u? RANGE u?
+infix = BIN | '>' '>' | '>' '=' | '-' | '+' | '*' | '&' | '&&' | '=' | ASG | '<' | '>' | RANGE | '|' | '||'
 u = '!' u | '-' u | '*' u | '&' 'mut'? u | '&&' 'mut'? u | p
 p = prim tail*
-prim = path | NUM | STR | CHR | LIT | '(' (e (',' e)* ','?)? ')' | '[' (e (',' e)* ','? | e ';' e)? ']' | blocky | path '{' (finit (',' finit)* ','?)? (',' '..' e)? '}' | path '!' group
+prim = path | NUM | STR | CHR | LIT | '(' (e (',' e)* ','?)? ')' | '[' (e (',' e)* ','? | e ';' e)? ']' | blocky | path '{' (finit (',' finit)* ','?)? (',' RANGE e)? '}' | path '!' group
 finit = (ID | NUM) (':' e)? | RANGE e
 blocky = 'unsafe'? block | 'async' 'move'? block | 'if' cond block ('else' (block | ifs))? | (LIFE ':')? ('loop' block | 'while' cond block | 'for' pat 'in' e block) | 'match' e '{' (arm* last?) '}'
 ifs = 'if' cond block ('else' (block | ifs))?
@@ -518,7 +503,7 @@ fpat = ('ref' | 'mut')* ID (':' pat)? | RANGE
 block = '{' s* e? '}'
 s = ';' | 'let' pat (':' type)? ('=' e ('else' block)?)? ';' | e ';' | blocky | item | attr s | path '!' '{' any* '}'
 group = '(' any* ')' | '[' any* ']' | '{' any* '}'
-any = group | TOKEN
+any = group | '!' | '#' | '$' | '&' | '&&' | '*' | '+' | ',' | '-' | '->' | '.' | ':' | '::' | ';' | '<' | '=' | '=>' | '>' | '?' | '@' | 'ASG' | 'BIN' | 'CHR' | 'ID' | 'LIFE' | 'LIT' | 'NUM' | 'RANGE' | 'STR' | 'Self' | '_' | 'as' | 'async' | 'await' | 'break' | 'const' | 'continue' | 'crate' | 'dyn' | 'else' | 'enum' | 'extern' | 'fn' | 'for' | 'if' | 'impl' | 'in' | 'let' | 'loop' | 'match' | 'mod' | 'move' | 'mut' | 'pub' | 'ref' | 'return' | 'self' | 'static' | 'struct' | 'super' | 'trait' | 'type' | 'unsafe' | 'use' | 'where' | 'while' | '|' | '||'
 attr = '#' '!'? '[' any* ']'
 vis = 'pub' ('(' ('in'? path) ')')?
 gen = '<' (gpar (',' gpar)* ','?)? '>'
@@ -535,12 +520,8 @@ useg = seg | '*' | '{' (use (',' use)* ','?)? '}'
 file = attr* item*
 """
 RUST_WORDS = "let mut fn if else match while loop for in return break continue struct enum trait impl use mod pub const static type where as move ref unsafe async await dyn extern crate self Self super _"
-RUST_GROUPS = {"BIN": "/ % ^ == != <= >= << >>", "ASG": "+= -= *= /= %= &= |= ^= <<= >>=", "RANGE": ".. ..= ...", "LIT": "true false"}
+RUST_GROUPS = {"BIN": "/ % ^ == != <= <<", "ASG": "+= -= *= /= %= &= |= ^= <<=", "RANGE": ".. ..= ...", "LIT": "true false"}
 RUST_SIGNS = "( ) [ ] { } ; , : :: = * & && + - < > => -> . | || ! ? @ # $ / % ^ == != <= << += -= *= /= %= &= |= ^= <<= .. ..= ..."
-RUST_GROUPS["BIN"] = "/ % ^ == != <= <<"
-RUST_GROUPS["ASG"] = "+= -= *= /= %= &= |= ^= <<="
-_loose = sorted((set(RUST_WORDS.split()) | set("; , : :: = * & && + - < > => -> . | || ! ? @ # $".split()) | {"ID", "NUM", "STR", "CHR", "LIT", "LIFE", "BIN", "ASG", "RANGE"}))
-RUST_GRAMMAR = RUST_GRAMMAR.replace("any = group | TOKEN", "any = group | " + " | ".join(f"'{t}'" for t in _loose)).replace("infix = BIN |", "infix = BIN | '>' '>' | '>' '=' |")
 
 KOTLIN_GRAMMAR = """
 e = lam | u (infix u)*
@@ -557,10 +538,10 @@ args = arg (',' arg)* ','?
 arg = (ID '=')? '*'? e
 es = e (',' e)* ','?
 targs = '<' targ (',' targ)* '>'
-targ = '*' | ('in' | 'out')? type
-type = annot* ('suspend'? ('(' (type (',' type)*)? ')' '->' type) | ID targs? ('.' ID targs?)* | '(' type ')') '?'* | ID targs? '.' '(' (type (',' type)*)? ')' '->' type
+targ = '*' | ('in' | MOD)? type
+type = annot* (MOD? ('(' (type (',' type)*)? ')' '->' type) | ID targs? ('.' ID targs?)* | '(' type ')') '?'* | ID targs? '.' '(' (type (',' type)*)? ')' '->' type
 annot = '@' (ID ':')? ID ('.' ID)* ('(' args? ')')?
-mods = (MOD | annot | 'inline' | 'out' | 'suspend' | 'data' | 'enum' | 'companion')*
+mods = (MOD | annot)*
 block = '{' list '}'
 list = s? (';' s?)*
 sb = block | e | s
@@ -569,7 +550,7 @@ decl = mods 'fun' tpars? (type '.')? ID? '(' params? ')' (':' type)? where? fbod
 acc = ';'? mods ID '(' ID? (':' type)? ')' (':' type)? fbody
 where = 'where' ID ':' type (',' ID ':' type)*
 fbody = block | '=' e
-tpars = '<' mods ('in' | 'out')? ID (':' type)? (',' ('in' | 'out')? ID (':' type)?)* '>'
+tpars = '<' mods ('in' | MOD)? ID (':' type)? (',' ('in' | MOD)? ID (':' type)?)* '>'
 supers = super (',' super)*
 super = type ('(' args? ')')? ('by' e)?
 cbody = '{' (ents ';'?)? list '}'
@@ -583,15 +564,14 @@ file = ('#' '!')? (annot ';')* ('package' ID ('.' ID)* ';'?)? ('import' ID ('.'
 """
 KOTLIN_WORDS = "package import fun val var class interface object if else when for while do try catch finally return throw break continue this super in is as by where typealias constructor init"
 KOTLIN_GROUPS = {"BIN": "/ % || == != === !== <= >=", "ASG": "+= -= *= /= %=", "STEP": "++ --", "LIT": "true false null", "MOD": "public private protected internal abstract open final override lateinit const inline suspend data enum sealed companion out vararg operator infix tailrec external annotation inner noinline crossinline reified value"}
-KOTLIN_GRAMMAR = KOTLIN_GRAMMAR.replace("(MOD | annot | 'inline' | 'out' | 'suspend' | 'data' | 'enum' | 'companion')*", "(MOD | annot)*").replace("'suspend'?", "MOD?").replace("('in' | 'out')?", "('in' | MOD)?")
 KOTLIN_SIGNS = "( ) [ ] { } ; , : :: = * + - < > -> . ?. ?: ? ! !! .. ..< @ && || / % == != === !== <= >= += -= *= /= %= ++ -- # !in !is"
 BRACE_OPENERS = {".", "?.", "?:", "BIN", "&&", ")", "]", "}", ",", "else", "catch", "finally", ":", "=", "->", ";", "as", "by", "where", "ASG"}
 KOTLIN_ENDERS = {"ID", "NUM", "STR", "CHR", "LIT", ")", "]", "}", "this", "super", "return", "break", "continue", "STEP", "?", "!!", "class", ">", "*"}
 
 SWIFT_GRAMMAR = """
-e = TRY? u (infix u)* ('?' e ':' e)?
-infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '??' | RANGE | 'is' | 'as' ('?' | '!')? 
-u = '!' u | '-' u | '+' u | '&' u | RANGE u | TRY u | 'await' u | p
+e = (TRY ('?' | '!')?)? u (infix u)* ('?' e ':' e)?
+infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '??' | RANGE | 'is' | 'as' ('?' | '!')?
+u = '!' u | '-' u | '+' u | '&' u | RANGE u | TRY ('?' | '!')? u | 'await' u | p
 p = prim tail*
 prim = ID targs? | NUM | STR | LIT | 'self' | 'super' | 'Self' | '(' (arg (',' arg)*)? ')' | '[' (arg (',' arg)* ','?)? ']' | '[' ':' ']' | closure | '.' (ID | 'init') | DOLLAR | 'if' cond block 'else' (block | prim) | 'switch' e '{' case* '}'
 arg = (lab ':')? (e | BIN | '<' | '>' | '+' | '*' | '-') | e ':' e
@@ -599,9 +579,9 @@ lab = ID | 'in' | 'for' | 'if' | 'is' | 'as' | 'where' | 'self' | 'default' | 'r
 closure = '{' (('[' (ID? ID | ID 'self' | 'self') (',' ID? ID)* ']')? ((ID | '_') (',' (ID | '_'))* | '(' params? ')')? 'throws'? ('->' type)? 'in')? list '}'
 tail = '(' (arg (',' arg)* ','?)? ')' | '[' (arg (',' arg)*)? ']' | '.' (ID | NUM | 'self' | 'init' | 'default') targs? | '?' '.' ID | '?' | '!' | closure | RANGE
 targs = '<' type (',' type)* '>'
-type = attr* ('inout' | 'some' | 'any' | 'borrowing')? tp ('&' tp)* ('?' | '!')* (('async' | 'throws')* '->' type)?
+type = attr* ('inout' | 'some' | 'any' | 'some')? tp ('&' tp)* ('?' | '!')* (('async' | 'throws')* '->' type)?
 tp = (ID | 'Self') targs? ('.' ID targs?)* | '[' type (':' type)? ']' | '(' (targ (',' targ)*)? ')'
-targ = ((ID | '_') ID? ':')? type '...'?
+targ = ((ID | '_') ID? ':')? type RANGE?
 attr = '@' ID ('(' (arg (',' arg)*)? ')')?
 mods = (attr | MOD ('(' ID ')')?)*
 block = '{' list '}'
@@ -618,33 +598,32 @@ members = list
 binding = pat (':' type)? ('=' e)? accs?
 accs = '{' list '}'
 tpars = '<' ID (':' type)? (',' ID (':' type)?)* '>'
-where = 'where' type (':' | '==' | BIN) type (',' type (':' | BIN) type)*
+where = 'where' type (':' | BIN) type (',' type (':' | BIN) type)*
 params = param (',' param)*
-param = attr* (lab ID? | ID) ':' type '...'? ('=' e)?
+param = attr* (lab ID? | ID) ':' type RANGE? ('=' e)?
 file = list
 """
 SWIFT_WORDS = "import let var func init deinit class struct protocol extension actor enum typealias associatedtype subscript if else guard for in while repeat switch case default do catch return throw break continue fallthrough defer where is as self super Self await async throws inout some any _"
 SWIFT_GROUPS = {"BIN": "/ % | ^ || && == != === !== <= >= << >> ~=", "ASG": "+= -= *= /= %= &= |= ^=", "RANGE": "... ..<", "LIT": "true false nil", "TRY": "try", "MOD": "public private fileprivate internal open static final override mutating lazy weak unowned required convenience indirect optional nonisolated", "throws": "rethrows"}
 SWIFT_SIGNS = "( ) [ ] { } ; , : = * & + - < > -> . ?? ? ! @ / % | ^ || && == != === !== <= >= << >> ~= += -= *= /= %= &= |= ^= ... ..<"
-SWIFT_GRAMMAR = SWIFT_GRAMMAR.replace("TRY?", "(TRY ('?' | '!')?)?").replace("TRY u", "TRY ('?' | '!')? u").replace("(':' | '==' | BIN)", "(':' | BIN)").replace("'fallthrough'", "'fallthrough'").replace("'borrowing'", "'some'")
 SWIFT_ENDERS = {"ID", "NUM", "STR", "LIT", ")", "]", "}", "self", "super", "Self", "return", "break", "continue", "fallthrough", "?", "!", ">", "DOLLAR", "_"}
 
 SCALA_GRAMMAR = """
 e = (pars | ID | '_') '=>' (e | list) | u (infix ';'? u)* | u (infix u)* infix (ID | pars) '=>' e | 'if' '(' e ')' ';'? e (';'? 'else' e)? | 'while' '(' e ')' e | 'for' ('(' gens ')' | '{' gens '}') ';'? 'yield'? e | 'try' e ('catch' e)? ('finally' e)? | 'throw' e | 'return' e?
 pars = '(' (par1 (',' par1)*)? ')'
 par1 = (ID | '_') (':' type)?
-infix = OP | '-' | '+' | '*' | '=' | '<' | '>' | ID | ':' | '<-' 
+infix = OP | '-' | '+' | '*' | '=' | '<' | '>' | ID | ':' | '<-'
 u = ('-' | '+' | '!' | '~') u | p
 p = prim tail*
 prim = ID | '_' | NUM | STR | CHR | LIT | 'this' | 'super' | '(' (arg (',' arg)* ','?)? ')' | block | 'new' type tmpl | 'new' tmpl
 arg = e (':' '_' '*')? | ID '=' e
 tail = '(' (arg (',' arg)* ','?)? ')' | '.' (ID | 'type' | 'this') | targs | block | 'match' '{' cases '}' | '_' | ':' type
 targs = '[' type (',' type)* ']'
-block = '{' (cases | list) '}' | '{' (pars | ID | 'implicit' ID | '_') '=>' list '}'
+block = '{' (cases | list) '}' | '{' (pars | ID | MOD ID | '_') '=>' list '}'
 cases = ';'? ('case' pat ('if' e)? '=>' list)+
 pat = pat1 ('|' pat1)*
 pat1 = ID '@' pat2 | (ID | '_') ':' type | pat2
-pat2 = p2 (ID p2 | '::' p2 | OP p2)*
+pat2 = p2 (ID p2 | OP p2 | OP p2)*
 p2 = '_' '*'? | NUM | '-' NUM | STR | CHR | LIT | ID ('.' ID)* ('(' (pat (',' pat)*)? ')')? | '(' (pat (',' pat)*)? ')'
 gens = gen (';' gen)* ';'?
 gen = pat '<-' e | pat '=' e | 'if' e | pat '<-' e ('if' e)+
@@ -662,14 +641,12 @@ decl = mods ('val' | 'var') pat (',' pat)* (':' type)? ('=' e)? | mods 'def' (ID
 tmpl = (('extends' | 'with') type ('(' (arg (',' arg)*)? ')')* ('with' type)*)? ('{' (ID ':' type '=>' | ID '=>')? list '}')?
 tpars = '[' tpar (',' tpar)* ']'
 tpar = ('+' | '-')? (ID | '_') tpars? ('>:' type)? ('<:' type)? (':' type)*
-params = '(' ('implicit'? param (',' param)* ','?)? ')'
+params = '(' (MOD? param (',' param)* ','?)? ')'
 param = mods ('val' | 'var')? ID ':' ('=>' )? type '*'? ('=' e)?
 file = (';'? 'package' ID ('.' ID)* (';' | '{' list '}'))* list
 """
-SCALA_GRAMMAR = SCALA_GRAMMAR.replace("'implicit'", "MOD")
 SCALA_WORDS = "package import val var def type class object trait case extends with if else while for yield try catch finally throw return new this super match _"
-SCALA_GROUPS = {"LIT": "true false null", "MOD": "private protected override final sealed abstract implicit lazy inline", "OP": "/ % || && == != <= >= :: ++ -- += -= *= /= %= ::: -> & ^ ++= ! ~ === :+ +: ?"}
-SCALA_GROUPS["OP"] = "/ % || && == != <= >= :: ++ -- += -= *= /= %= ::: -> & ^ ++= === :+ +: ?"
+SCALA_GROUPS = {"LIT": "true false null", "MOD": "private protected override final sealed abstract implicit lazy inline", "OP": "/ % || && == != <= >= :: ++ -- += -= *= /= %= ::: -> & ^ ++= === :+ +: ?"}
 SCALA_SIGNS = "( ) [ ] { } ; , : = * + - < > => <- . | @ # <: >: ! ~ " + SCALA_GROUPS["OP"]
 SCALA_ENDERS = {"ID", "NUM", "STR", "CHR", "LIT", ")", "]", "}", "this", "super", "return", "_", "type"}
 SCALA_OPENERS = {".", ")", "]", "}", ",", "else", "catch", "finally", ":", "=", "=>", ";", "extends", "with", "yield", "match", "OP", "{"}
@@ -684,7 +661,7 @@ lhs = '*'? p | '(' lhs (',' lhs)* ')'
 rhs = '*'? a (',' '*'? a)*
 ret = ('return' | 'break' | 'next' | 'yield' | 'redo' | 'retry') (rhs)?
 t = u (infix ';'* u)* ('?' a ':' a)?
-infix = BIN | '-' | '+' | '*' | '**' | '&' | '<' | '>' | RANGE | '|' | '::'
+infix = BIN | '<<' | '-' | '+' | '*' | '**' | '&' | '<' | '>' | RANGE | '|' | '::'
 u = '!' u | '-' u | '+' u | '&' u | '~' u | 'defined?' u | RANGE u? | p
 p = prim tail*
 prim = ID | VAR | NUM | STR+ | SYM | REGEX | WORDS | LIT | 'self' | 'super' | 'yield' | '(' list ')' | '[' elems? ']' | '{' pairs? '}' | '->' lpars? (brace | 'do' list rescues 'end') | ctl | ID cargs | 'super' cargs | 'yield' cargs | '::' ID
@@ -710,19 +687,17 @@ rescues = ('rescue' (rhs)? ('=>' p)? then list)* ('else' list)? ('ensure' list)?
 file = list END?
 """
 RUBY_WORDS = "def end class module if elsif else unless while until for in do case when then begin rescue ensure return break next redo retry yield self super and or not alias undef defined? BEGIN END"
-RUBY_GROUPS = {"BIN": "/ % ^ || && == != === <= >= << >> =~ !~ <=>", "ASG": "+= -= *= /= %= &= |= ^= <<= >>= **= ||= &&=", "LIT": "true false nil __FILE__ __LINE__ __method__", "RANGE": ".. ..."}
-RUBY_GROUPS["BIN"] = "/ % ^ || && == != === <= >= >> =~ !~ <=>"
-RUBY_GRAMMAR = RUBY_GRAMMAR.replace("infix = BIN |", "infix = BIN | '<<' |").replace("('<<' a |", "('<<' a |")
+RUBY_GROUPS = {"BIN": "/ % ^ || && == != === <= >= >> =~ !~ <=>", "ASG": "+= -= *= /= %= &= |= ^= <<= >>= **= ||= &&=", "LIT": "true false nil __FILE__ __LINE__ __method__", "RANGE": ".. ..."}
 RUBY_SIGNS = "( ) [ ] { } ; , : :: ? = * ** & + - < > << => -> . &. | ! ~ " + RUBY_GROUPS["BIN"] + " " + RUBY_GROUPS["ASG"] + " .. ..."
 RUBY_ENDERS = {"ID", "VAR", "NUM", "STR", "SYM", "REGEX", "WORDS", "LIT", ")", "]", "}", "self", "super", "return", "break", "next", "redo", "retry", "yield", "end", "then", "else", "begin", "do", "ensure", "rescue", "LABEL", "|", "?"}
 
 DART_GRAMMAR = EXPRESSION + """
 infix = BIN | '-' | '+' | '*' | '&' | '=' | ASG | '<' | '>' | '>' '>' | '>' '=' | '??' | 'is' '!'? | 'as'
 u = PRE u | '-' u | '!' u | STEP u | 'await' u | 'throw' u | p
+tail = targs? '(' args? ')' | '[' e ']' | ('.' | '?.' | CASC) (ID | 'new') | CASC '[' e ']' | '?' '[' e ']' | STEP | '!'
 prim = ID targs? | 'this' | 'super' | NUM | STR+ | LIT | SYM | '(' (e (',' e)* ','?)? ')' | '(' params ')' async? ('=>' e | block) | '(' ')' async? ('=>' e | block) | 'const'? targs? '[' (el (',' el)* ','?)? ']' | 'const'? targs? '{' (el (',' el)* ','?)? '}' | ('new' | 'const') type ('.' ID)? '(' args? ')' | 'switch' '(' e ')' '{' (e ('when' e)? '=>' e (',' e '=>' e)* ','?)? '}'
 el = ('...' '?'?)? e (':' e)? | 'if' '(' e ')' el ('else' el)? | 'await'? 'for' '(' forhead ')' el
 async = ('async' | 'sync') '*'?
-tail = targs? '(' args? ')' | '[' e ']' | ('.' | '?.' | CASC) (ID | 'new') | CASC '[' e ']' | '?' '[' e ']' | STEP | '!'
 args = arg (',' arg)* ','?
 arg = (ID ':')? e
 targs = '<' type (',' type)* '>'
@@ -734,24 +709,21 @@ params = (param (',' param)* ','?) | (param (',' param)* ',')? ('[' param (',' p
 param = annot* ('required' | 'final' | 'covariant' | 'var' | 'const')* type? (('this' | 'super') '.')? ID ('(' params? ')')? '?'? (('=' | ':') e)?
 annot = '@' ID ('.' ID)* ('(' args? ')')?
 block = '{' s* '}'
-vars = annot* ('late' | 'external' | 'static' | 'covariant' | 'abstract')* (('final' | 'const' | 'var') type? | type) ID ('=' e)? (',' ID ('=' e)?)*
+vars = annot* ('late' | 'external' | 'static' | 'covariant' | CLASSMOD)* (('final' | 'const' | 'var') type? | type) ID ('=' e)? (',' ID ('=' e)?)*
 s = block | ';' | e ';' | vars ';' | func | 'if' '(' e ('case' e)? ')' s ('else' s)? | 'while' '(' e ')' s | 'do' s 'while' '(' e ')' ';' | 'await'? 'for' '(' forhead ')' s | 'switch' '(' e ')' '{' (('case' e ('when' e)? | 'default') ':' s*)* '}' | 'return' e? ';' | 'break' ID? ';' | 'continue' ID? ';' | 'rethrow' ';' | 'try' block ((('on' type)? 'catch' '(' ID (',' ID)? ')' | 'on' type) block)* ('finally' block)? | 'assert' '(' args ')' ';' | 'yield' '*'? e ';' | ID ':' s
 forhead = (vars | es)? ';' e? ';' es? | (('final' | 'const' | 'var') type? | type)? ID 'in' e
 func = annot* ('external' | 'static')* type? ('get' | 'set')? ID tpars? '(' params? ')' fbody | annot* ('external' | 'static')* type? 'get' ID fbody
 fbody = async? (block | '=>' e ';') | ';'
 tpars = '<' ID ('extends' type)? (',' ID ('extends' type)?)* '>'
-class = annot* CLASSMOD* ('class' | 'mixin' 'class'?) ID tpars? ('extends' type)? ('with' type (',' type)*)? ('on' type (',' type)*)? ('implements' type (',' type)*)? '{' member* '}' | annot* 'abstract'* CLASSMOD* 'class' ID tpars? '=' type 'with' type (',' type)* ';' | annot* 'enum' ID tpars? ('with' type (',' type)*)? ('implements' type (',' type)*)? '{' (annot* ID targs? ('(' args? ')')? (',' annot* ID targs? ('(' args? ')')?)* ','?) (';' member*)? '}' | annot* 'extension' ID? tpars? 'on' type '{' member* '}' | annot* 'typedef' (type? ID tpars? '(' params? ')' | ID tpars? '=' type) ';'
-member = vars ';' | func | annot* ('external' | 'static')* type? 'operator' (BIN | '<' | '>' | '+' | '-' | '*' | '&' | '[' ']' '='? | '~') '(' params? ')' fbody | annot* ('external' | 'const' | 'factory')* ID ('.' (ID | 'new'))? '(' params? ')' (':' cinit (',' cinit)*)? (fbody | '=' type ('.' ID)? ';')
+class = annot* CLASSMOD* ('class' | 'mixin' 'class'?) ID tpars? ('extends' type)? ('with' type (',' type)*)? ('on' type (',' type)*)? ('implements' type (',' type)*)? '{' member* '}' | annot* CLASSMOD* CLASSMOD* 'class' ID tpars? '=' type 'with' type (',' type)* ';' | annot* 'enum' ID tpars? ('with' type (',' type)*)? ('implements' type (',' type)*)? '{' (annot* ID targs? ('(' args? ')')? (',' annot* ID targs? ('(' args? ')')?)* ','?) (';' member*)? '}' | annot* 'extension' ID? tpars? 'on' type '{' member* '}' | annot* 'typedef' (type? ID tpars? '(' params? ')' | ID tpars? '=' type) ';'
+member = vars ';' | func | annot* ('external' | 'static')* type? 'operator' (BIN | '<' | '>' | '+' | '-' | '*' | '&' | '[' ']' '='? | PRE) '(' params? ')' fbody | annot* ('external' | 'const' | 'factory')* ID ('.' (ID | 'new'))? '(' params? ')' (':' cinit (',' cinit)*)? (fbody | '=' type ('.' ID)? ';')
 cinit = ('this' '.')? ID '=' e | ('this' | 'super') ('.' ID)? '(' args? ')' | 'assert' '(' args ')'
 dir = annot* ('import' | 'export') STR ('if' '(' e ')' STR)? ('deferred'? 'as' ID)? (('show' | 'hide') ID (',' ID)*)* ';' | 'library' (ID ('.' ID)*)? ';' | 'part' ('of')? (STR | ID ('.' ID)*) ';'
 file = dir* (class | func | vars ';' | ';')*
 """
-DART_WORDS = "import export library part class mixin enum extension typedef extends with implements on if else while do for in switch case default return break continue rethrow try catch finally assert yield await async sync new const final var this super is as throw get set operator static external late required covariant abstract factory show hide of deferred when Function"
-DART_SOFT = "on show hide of get set part library sync async when required deferred"
+DART_WORDS = "import export library part class mixin enum extension typedef extends with implements on if else while do for in switch case default return break continue rethrow try catch finally assert yield await async sync new const final var this super is as throw get set operator static external late required covariant factory show hide of deferred when Function"
 DART_GROUPS = {"BIN": "/ % | ^ || && == != <= << ~/", "ASG": "+= -= *= /= %= &= |= ^= <<= ??= ~/=", "PRE": "~", "STEP": "++ --", "LIT": "true false null", "VOID": "void", "CLASSMOD": "abstract base sealed interface", "CASC": ".. ?.."}
 DART_SIGNS = "( ) [ ] { } ; , : ? = * & + - < > => ?? ... . ?. ! @ .. ?.. / % | ^ || && == != <= << ~/ += -= *= /= %= &= |= ^= <<= ??= ~/= ~ ++ --"
-DART_GRAMMAR = DART_GRAMMAR.replace("'abstract'", "CLASSMOD")
-DART_WORDS = DART_WORDS.replace(" abstract", "")
 
 PYTHON_GRAMMAR = """
 file = (stmt | NEWLINE)*
@@ -767,7 +739,7 @@ tests = test1 (',' test1)* ','?
 test1 = '*'? test
 test = or ('if' or 'else' test)? | 'lambda' lpars? ':' test | id ':=' test
 or = un (infix un)*
-infix = BIN | '*' | '**' | '-' | '+' | 'in' | 'not' 'in' | 'is' 'not'? | '@'
+infix = BIN | '/' | '*' | '**' | '-' | '+' | 'in' | 'not' 'in' | 'is' 'not'? | '@'
 un = ('not' | '-' | '+' | '~' | 'await') un | atom tail*
 atom = id | NUM | STR+ | '...' | LIT | '(' (yield | tests | test1 cfor)? ')' | '[' (tests | test1 cfor)? ']' | '{' (dk (',' dk)* ','? | dk cfor)? '}'
 dk = test ':' test | '**' or | test1
@@ -791,7 +763,6 @@ tpars = '[' tests ']'
 params = par (',' par)* ','?
 par = ('*' | '**')? id (':' test)? ('=' test)? | '*' | '/'
 """
-PYTHON_GRAMMAR = PYTHON_GRAMMAR.replace("infix = BIN |", "infix = BIN | '/' |").replace("or1 = or", "or1 = or")
 PYTHON_WORDS = "pass break continue return raise from global nonlocal del assert import as yield lambda if elif else for in not is and or while try except finally with def class async await match case type"
 PYTHON_GROUPS = {"BIN": "% // | ^ & << >> < > == != <= >= and or", "ASG": "+= -= *= /= //= %= &= |= ^= <<= >>= **= @=", "LIT": "True False None"}
 PYTHON_SIGNS = "( ) [ ] { } ; , : := = * ** + - / @ -> . ... ~ % // | ^ & << >> < > == != <= >= += -= *= /= //= %= &= |= ^= <<= >>= **= @="
@@ -987,43 +958,41 @@ def _c(grammar: str, words: str, groups: dict[str, str], signs: str = C_SIGNS, s
 def language(name: str):
     """The checker of a language by its label in lower case; None where there is none."""
     if name == "c":
-        return _c(_renamed(C_EXPRESSION.replace(" | '&&')", ")"), MOD="extern"), "if else while do for switch case default return break continue goto struct union enum typedef sizeof", C_GROUPS)
+        return _c(C_GRAMMAR, "if else while do for switch case default return break continue goto struct union enum typedef sizeof", C_GROUPS)
     if name in ("c++", "cpp"):
         groups = C_GROUPS | {"CV": "const volatile", "MOD": "static extern inline register auto mutable explicit virtual thread_local", "LIT": "true false nullptr", "CAST": "static_cast dynamic_cast const_cast reinterpret_cast", "BIN": C_GROUPS["BIN"] + " <=>", ".": "."}
-        groups["BIN"] = groups["BIN"].replace("&&", "")
+        groups["BIN"] = groups["BIN"].replace("&& ", "")
         words = "if else while do for switch case default return break continue goto struct union enum class typedef sizeof new delete throw try catch this template typename namespace using public private protected friend operator constexpr noexcept override final decltype static_assert co_await"
-        grammar = CPP_GRAMMAR.replace("MOD | PRIM | 'constexpr'", "MOD | 'virtual' | PRIM | 'constexpr'").replace("| 'virtual')*", ")*").replace("'virtual' | PRIM", "PRIM").replace("'.' id", "('.' | '->') id").replace("'inline'? 'namespace'", "'namespace'").replace("('public' | 'private' | 'protected')*", "('public' | 'private' | 'protected' | MOD)*").replace("('public' | 'private' | 'protected' )*", "('public' | 'private' | 'protected' | MOD)*")
-        return _c(_renamed(grammar, MOD="extern", PRE="~"), words, groups, C_SIGNS + " :: <=>", [r'R"\((?:[^)]|\)(?!"))*\)"', r"(?:u8|[uUL])?" + QUOTED])
+        return _c(CPP_GRAMMAR, words, groups, C_SIGNS + " :: <=>", [r'R"\((?:[^)]|\)(?!"))*\)"', r"(?:u8|[uUL])?" + QUOTED])
     if name == "java":
         return Language(JAVA_GRAMMAR, JAVA_WORDS, JAVA_SIGNS, SLASH, [TEXT_BLOCK, QUOTED], groups=JAVA_GROUPS, before=[("CHR", CHR)], name=r"[^\W\d][\w$]*|\$[\w$]+")
     if name in ("c#", "csharp"):
         skip = [*SLASH, r"(?<![^\n])[ \t]*\#[ \t]*(?:region|endregion|if|else|elif|endif|define|undef|pragma|nullable|warning|error)\b[^\n]*"]
-        return Language(_renamed(CS_GRAMMAR.replace(" | 'and' | 'or'", ""), MOD="static", PRE="~ !", ID="global when where with not"), CS_WORDS, CS_SIGNS, skip, [r'(?:\$@|@\$|@)"(?:[^"]|"")*"', TEXT_BLOCK, r"\$?" + QUOTED], groups=CS_GROUPS, before=[("CHR", CHR)], name=r"@?[^\W\d]\w*")
+        return Language(CS_GRAMMAR, CS_WORDS, CS_SIGNS, skip, [r'(?:\$@|@\$|@)"(?:[^"]|"")*"', TEXT_BLOCK, r"\$?" + QUOTED], groups=CS_GROUPS, before=[("CHR", CHR)], name=r"@?[^\W\d]\w*")
     if name == "go":
-        return Language(GO_GRAMMAR.replace("'|'", "BIN").replace(" | '^'", ""), GO_WORDS, GO_SIGNS, SLASH, [QUOTED, r"`[^`]*`"], groups=GO_GROUPS, before=[("CHR", CHR)], layout=semicolons({"ID", "NUM", "STR", "CHR", "BRK", "return", "STEP", ")", "]", "}"}, set(), in_brackets=False))
+        return Language(GO_GRAMMAR, GO_WORDS, GO_SIGNS, SLASH, [QUOTED, r"`[^`]*`"], groups=GO_GROUPS, before=[("CHR", CHR)], layout=semicolons({"ID", "NUM", "STR", "CHR", "BRK", "return", "STEP", ")", "]", "}"}, set(), in_brackets=False))
     if name in ("javascript", "js"):
-        made = Language(JS_GRAMMAR.replace("WORD", _JS_NAMES), JS_WORDS, JS_SIGNS, [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=JS_GROUPS, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|[$\#@]?[\w$]+(?<!\d)|\$", layout=semicolons(JS_ENDERS, JS_OPENERS))
+        made = Language(JS_GRAMMAR, JS_WORDS, JS_SIGNS, [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=JS_GROUPS, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|[$\#@]?[\w$]+(?<!\d)|\$", layout=semicolons(JS_ENDERS, JS_OPENERS))
         return made
     if name in ("typescript", "ts"):
-        return Language(_renamed(TS_GRAMMAR.replace("WORD", _JS_NAMES), PRE="typeof !"), TS_WORDS, JS_SIGNS + " @ | &", [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=TS_GROUPS | {"BIN": TS_GROUPS["BIN"].replace(" | ", " ")}, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|\$[\w$]*|\#\w+", layout=semicolons(JS_ENDERS | {">", "?"}, JS_OPENERS))
+        return Language(TS_GRAMMAR, TS_WORDS, JS_SIGNS + " @ | &", [*SLASH, r"\A\#![^\n]*"], [QUOTED, SINGLE, TEMPLATE], groups=TS_GROUPS | {"BIN": TS_GROUPS["BIN"].replace(" | ", " ")}, before=[("REGEX", REGEX)], tell={"REGEX": REGEX_ALONE}, name=r"[^\W\d][\w$]*|\$[\w$]*|\#\w+", layout=semicolons(JS_ENDERS | {">", "?"}, JS_OPENERS))
     if name == "php":
-        words = PHP_WORDS
-        return Language(PHP_GRAMMAR.replace("(('|' | '&') tp)", "((BIN | '&') tp)").replace("('|' type)", "(BIN type)").replace("HTML? (OPEN", "(OPEN").replace("(CLOSE HTML? OPEN s*)* (CLOSE HTML?)?", "(CLOSE OPEN s*)* CLOSE?"), words, PHP_SIGNS, [r"//(?:(?!\?>)[^\n])*", r"\#(?!\[)(?:(?!\?>)[^\n])*", SLASH[1]], [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"<<<'?\"?(\w+)'?\"?\n[\s\S]*?\n[ \t]*\1\b"[:0] or r"`(?:[^`\\]|\\.)*`"], groups=PHP_GROUPS, before=[("OPEN", r"<\?(?:php\b|=)"), ("CLOSE", r"\?>(?:(?!<\?(?:php\b|=))[\s\S])*"), ("CASTS", r"\((?:int|integer|float|double|string|bool|boolean|array|object)\)"), ("VAR", r"\$+[^\W\d]\w*")])
+        return Language(PHP_GRAMMAR, PHP_WORDS, PHP_SIGNS, [r"//(?:(?!\?>)[^\n])*", r"\#(?!\[)(?:(?!\?>)[^\n])*", SLASH[1]], [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"`(?:[^`\\]|\\.)*`"], groups=PHP_GROUPS, before=[("OPEN", r"<\?(?:php\b|=)"), ("CLOSE", r"\?>(?:(?!<\?(?:php\b|=))[\s\S])*"), ("CASTS", r"\((?:int|integer|float|double|string|bool|boolean|array|object)\)"), ("VAR", r"\$+[^\W\d]\w*")])
     if name == "rust":
-        return Language(RUST_GRAMMAR.replace("'..'", "RANGE"), RUST_WORDS, RUST_SIGNS, SLASH, [r'b?r"[^"]*"', r'b?r\#"(?:[^"]|"(?!\#))*"\#', r'b?"(?:[^"\\]|\\[\s\S])*"'], groups=RUST_GROUPS, before=[("CHR", r"b?'(?:[^'\\\n]|\\(?:u\{\w+\}|x\w\w|.))'"), ("LIFE", r"'[^\W\d]\w*")], number=r"\d[\w]*(?:\.\d[\w]*)?(?:(?<=[eE])[+-]\d+)?")
+        return Language(RUST_GRAMMAR, RUST_WORDS, RUST_SIGNS, SLASH, [r'b?r"[^"]*"', r'b?r\#"(?:[^"]|"(?!\#))*"\#', r'b?"(?:[^"\\]|\\[\s\S])*"'], groups=RUST_GROUPS, before=[("CHR", r"b?'(?:[^'\\\n]|\\(?:u\{\w+\}|x\w\w|.))'"), ("LIFE", r"'[^\W\d]\w*")], number=r"\d[\w]*(?:\.\d[\w]*)?(?:(?<=[eE])[+-]\d+)?")
     if name == "kotlin":
         return Language(KOTLIN_GRAMMAR, KOTLIN_WORDS, KOTLIN_SIGNS, SLASH, [TEXT_BLOCK, QUOTED], groups=KOTLIN_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`[^`\n]+`", layout=semicolons(KOTLIN_ENDERS, BRACE_OPENERS))
     if name == "swift":
-        return Language(SWIFT_GRAMMAR.replace("'...'", "RANGE"), SWIFT_WORDS, SWIFT_SIGNS, [*SLASH, r"(?<![^\n])[ \t]*\#(?:if|else|elseif|endif)\b[^\n]*"], [TEXT_BLOCK, QUOTED], groups=SWIFT_GROUPS, before=[("DOLLAR", r"\$\w+")], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`\w+`|\#\w+", layout=semicolons(SWIFT_ENDERS, BRACE_OPENERS | {"??", "where"}))
+        return Language(SWIFT_GRAMMAR, SWIFT_WORDS, SWIFT_SIGNS, [*SLASH, r"(?<![^\n])[ \t]*\#(?:if|else|elseif|endif)\b[^\n]*"], [TEXT_BLOCK, QUOTED], groups=SWIFT_GROUPS, before=[("DOLLAR", r"\$\w+")], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d]\w*|`\w+`|\#\w+", layout=semicolons(SWIFT_ENDERS, BRACE_OPENERS | {"??", "where"}))
     if name == "scala":
-        return Language(SCALA_GRAMMAR.replace("'::'", "OP"), SCALA_WORDS, SCALA_SIGNS, SLASH, [r"\w*" + TEXT_BLOCK, r"(?:[^\W\d]\w*)?" + QUOTED], groups=SCALA_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d][\w$]*|`[^`\n]+`|'[^\W\d]\w*", layout=semicolons(SCALA_ENDERS, SCALA_OPENERS - {"{"}))
+        return Language(SCALA_GRAMMAR, SCALA_WORDS, SCALA_SIGNS, SLASH, [r"\w*" + TEXT_BLOCK, r"(?:[^\W\d]\w*)?" + QUOTED], groups=SCALA_GROUPS, before=[("CHR", CHR)], number=r"\d\w*(?:\.\d\w*)?", name=r"[^\W\d][\w$]*|`[^`\n]+`|'[^\W\d]\w*", layout=semicolons(SCALA_ENDERS, SCALA_OPENERS - {"{"}))
     if name == "ruby":
         skip = [r"(?<![^\n])=begin\b[\s\S]*?\n=end\b[^\n]*", r"\#[^\n]*", r"\\\n"]
         before = [("WORDS", r"%[wWiIqQ]?(?:\((?:[^()\\]|\\.)*\)|\[(?:[^\[\]\\]|\\.)*\]|\{(?:[^{}\\]|\\.)*\})"), ("REGEX", r"(?<=[=(,~\[!&|?{;\n])[ ]?/(?![*/\s=])(?:[^/\\\n]|\\.)+/[a-z]*"), ("LABEL", r"(?:[^\W\d]\w*[?!]?):(?=[\s,)\]}])"), ("SYM", r':(?:[^\W\d]\w*[?!=]?(?![=>])|"(?:[^"\\]|\\.)*"|\[\]=?|[+\-*/<>]=?|==)'), ("VAR", r"@{1,2}[^\W\d]\w*|\$[\w!@&~0-9]+"), ("ID", r"(?<=def )[^\W\d]\w*[?!=]?(?=[\s(;])|(?<=self\.)[^\W\d]\w*[?!](?!=)|[^\W\d]\w*[?!](?![=:])")]
         tell = {"REGEX": REGEX_ALONE, "LABEL": r"[^\W\d]\w*[?!]?:", "SYM": r':(?:[^\W\d]\w*[?!=]?|"(?:[^"\\]|\\.)*"|\[\]=?|[+\-*/<>]=?|==)', "ID": r"[^\W\d]\w*[?!=]?"}
         return Language(RUBY_GRAMMAR, RUBY_WORDS, RUBY_SIGNS, skip, [r'"(?:[^"\\]|\\[\s\S])*"', r"'(?:[^'\\]|\\[\s\S])*'", r"`(?:[^`\\]|\\.)*`"], groups=RUBY_GROUPS, before=before, tell=tell, number=r"\d\w*(?:\.\d\w*)?", layout=semicolons(RUBY_ENDERS, {".", "&.", ")", "]", ";"} , in_brackets=True))
     if name == "dart":
-        return Language(DART_GRAMMAR.replace("'~'", "PRE").replace("'interface'", "CLASSMOD"), DART_WORDS, DART_SIGNS, SLASH, [r'r?"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', r"r?'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", "r?" + QUOTED, "r?" + SINGLE], groups=DART_GROUPS, before=[("SYM", r"\#[^\W\d]\w*")], number=r"\d\w*(?:\.\d\w*)?(?:(?<=[eE])[+-]\d+)?", name=r"[^\W\d][\w$]*|\$[\w$]*")
+        return Language(DART_GRAMMAR, DART_WORDS, DART_SIGNS, SLASH, [r'r?"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', r"r?'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", "r?" + QUOTED, "r?" + SINGLE], groups=DART_GROUPS, before=[("SYM", r"\#[^\W\d]\w*")], number=r"\d\w*(?:\.\d\w*)?(?:(?<=[eE])[+-]\d+)?", name=r"[^\W\d][\w$]*|\$[\w$]*")
     if name == "python":
         prefix = r"(?:[rRbBfFuUtT]{1,2})?"
         strings = [prefix + r'"""(?:[^"\\]|\\[\s\S]|"(?!""))*"""', prefix + r"'''(?:[^'\\]|\\[\s\S]|'(?!''))*'''", prefix + r'(?:"(?:[^"\\\n]|\\[\s\S])*"(?!"))', prefix + r"(?:'(?:[^'\\\n]|\\[\s\S])*'(?!'))"]
@@ -1033,7 +1002,6 @@ def language(name: str):
         return Language(JSON_GRAMMAR, "", "{ } [ ] , :", [], [r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*"'], before=[("LIT", r"(?:true|false|null)\b")], number=r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.])", name=r"(?!)")
     if name in ("shell", "sh", "bash"):
         made = Language(SHELL_GRAMMAR, "if then elif else fi while until do done for case esac function in { } !", "( ) | & && || ;", [r"(?<!\S)\#[^\n]*", r"\\\n"], [], before=[("ARITH", r"\(\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)\)"), ("DSEMI", r";;&?|;&"), ("REDIR", r"\d*(?:<<<|<<-?|>>|<&|>&|&>>?|<|>\|?)(?:\d|-)?"), ("W", r"""(?:\$\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)|\$\{[^}]*\}|"(?:[^"\\]|\\[\s\S])*"|'[^']*'|`[^`]*`|\\.|=\((?:[^()]|"[^"]*")*\)|[^\s"'`\\()|&;<>])+""")], name=r"(?!)", number=r"(?!)", layout=_shell_kinds)
-        made.words |= {w: w for w in made.words}
         return made
     if name in ("yaml", "yml"):
         return Yaml()

@@ -23,7 +23,9 @@ from siltstone.session import ensure_importable
 #: Tokens of one group, groups that meet on the next level, fill from which a container is closed, containers of a window.
 GROUP_TOKENS, FAN_IN, FULL, WINDOW = 2_000_000, 16, 0.995, 16
 
-PLACED = "pack_name string, capacity int, level int, grp bigint, container bigint, window bigint, source string, doc_id {id}, piece_no int, n_tokens bigint, offset bigint, placed boolean, credit double"
+#: Stands for a null id while items are packed.
+NO_ID = "\x00"
+PLACED = "pack_name string, capacity int, level int, grp bigint, container bigint, window bigint, source string, doc_id string, piece_no int, n_tokens bigint, offset bigint, placed boolean, credit double"
 
 
 def pieces(documents: DataFrame, packs: DataFrame) -> DataFrame:
@@ -129,12 +131,16 @@ def _level(frame: DataFrame, level: int, last: bool, shares: dict[str, float], s
 def pack(documents: DataFrame, packs: DataFrame, cut, shares: dict[str, float] | None = None, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Every piece of every pack with its container, window and offset.
 
-    documents: doc_id, source, n_tokens. cut: writes a DataFrame to the shared folder and
+    documents: doc_id, source, n_tokens; every row is an item of its own, also one with a
+    null or repeated id; a null source is a source. cut: writes a DataFrame to the shared folder and
     reads it back. shares: target proportions of the sources, by default those of the
     documents. Containers have ids 'level-group-number', windows 'level-group-number'.
     """
     ensure_importable(documents.sparkSession)
-    spec = PLACED.format(id=dict(documents.dtypes)["doc_id"])
+    kind = dict(documents.dtypes)["doc_id"]
+    # ids travel as strings, as a column of numbers with a null would lose digits in pandas
+    documents = documents.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_ID)))
+    spec = PLACED
     sums = documents.where("n_tokens > 0").groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("n_tokens").alias("n"))
     rows = sums.orderBy(F.desc("n")).limit(10_001).collect()
     if len(rows) > 10_000:
@@ -161,7 +167,7 @@ def pack(documents: DataFrame, packs: DataFrame, cut, shares: dict[str, float] |
     for part in done[1:]:
         placed = placed.unionByName(part)
     name = lambda c: F.concat_ws("-", "level", "grp", c)
-    return placed.select("pack_name", "capacity", name("container").alias("container_id"), name("window").alias("window_id"), "offset", "source", "doc_id", "piece_no", "n_tokens")
+    return placed.select("pack_name", "capacity", name("container").alias("container_id"), name("window").alias("window_id"), "offset", "source", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).cast(kind).alias("doc_id"), "piece_no", "n_tokens")
 
 
 def fill_report(packed: DataFrame) -> DataFrame:

@@ -30,6 +30,14 @@ def test_packing_is_whole_and_tight(spark, group_tokens):
     assert min(r["fill"] for r in report.values()) > 0.98
 
 
+def test_null_and_large_ids(spark):
+    rows = [(None, "a", 5), (None, "a", 5), (2**62 + 1, "a", 7), (7, None, 600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    out = packing.pack(df, spark.createDataFrame([("s", 512)], "pack_name string, capacity_tokens int"), cut)
+    got = sorted((r["doc_id"] or 0, r["piece_no"], r["n_tokens"]) for r in out.collect())
+    assert got == [(0, 0, 5), (0, 0, 5), (7, 0, 512), (7, 1, 88), (2**62 + 1, 0, 7)]
+
+
 def test_packing_without_items(spark):
     df = documents(spark).limit(0)
     packs = spark.createDataFrame([("s", 512)], "pack_name string, capacity_tokens int")
