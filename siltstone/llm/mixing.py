@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Parts of the unit interval the tokens of a source are counted in; targets a mix table may hold.
 BINS, MOST_TARGETS = 2048, 10_000
+#: Seeds of the uniform numbers that are tried for each source.
+SEEDS = list(range(7, 15))
 #: Share of the largest total that the scarcest source allows.
 FILL = 0.95
 
@@ -26,9 +28,9 @@ def clean_source(source: Column) -> Column:
     return F.when(name != "", name)
 
 
-def uniform(*keys: Column, seed: int = 7) -> Column:
-    """A number in [0, 1) from a hash of the keys."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double") / float(1 << 53)
+def uniform(seed: Column, *keys: Column) -> Column:
+    """A number in [0, 1) from a hash of the seed and the keys."""
+    return F.shiftrightunsigned(F.xxhash64(seed, *keys), 11).cast("double") / float(1 << 53)
 
 
 def thresholds(mean: float, repeats: int) -> list[float]:
@@ -68,7 +70,7 @@ def solve_mean(target: float, repeats: int, tail: list[float]) -> float:
 
 
 def plan(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, fill: float = FILL) -> DataFrame:
-    """One row per mix and source: what there is, the target, the mean and the thresholds of the copies.
+    """One row per mix and source: what there is, the target, the seed, the mean and the thresholds of the copies.
 
     documents: doc_id, source, n_tokens. targets: mix_name, source, target_share, max_repeats.
     The total of a mix is total_tokens, or fill of the largest one at which no source needs
@@ -80,44 +82,53 @@ def plan(documents: DataFrame, targets: DataFrame, total_tokens: float | None =
     if len(rows) > MOST_TARGETS:
         raise ValueError(f"more than {MOST_TARGETS} targets")
     keys = spark.createDataFrame([(r["mix_name"], r["source"]) for r in rows] or [], "mix_name string, source string")
-    placed = documents.where("n_tokens > 0").join(F.broadcast(keys), "source")
-    bins = placed.groupBy("mix_name", "source", F.floor(uniform(F.col("mix_name"), F.col("doc_id")) * BINS).cast("int").alias("bin")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"))
-    lists = bins.groupBy("mix_name", "source").agg(F.sum("docs").alias("docs"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"))
-    tails: dict[tuple[str, str], tuple[int, list[float]]] = {}
-    for r in lists.toLocalIterator():  # at most BINS numbers per target
+    placed = documents.where("n_tokens > 0").join(F.broadcast(keys), "source").withColumn("seed", F.explode(F.array(*map(F.lit, SEEDS))))
+    bins = placed.groupBy("mix_name", "source", "seed", F.floor(uniform(F.col("seed"), F.col("mix_name"), F.col("doc_id")) * BINS).cast("int").alias("bin")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"))
+    lists = bins.groupBy("mix_name", "source", "seed").agg(F.sum("docs").alias("docs"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"))
+    tails: dict[tuple[str, str], dict[int, list[float]]] = {}
+    docs: dict[tuple[str, str], int] = {}
+    for r in lists.toLocalIterator():  # at most BINS numbers per target and seed
         tail = [0.0] * (BINS + 1)
         for i in range(BINS - 1, -1, -1):
             tail[i] = tail[i + 1] + float(r["bins"].get(i, 0))
-        tails[r["mix_name"], r["source"]] = (r["docs"], tail)
-    out = []
+        tails.setdefault((r["mix_name"], r["source"]), {})[r["seed"]] = tail
+        docs[r["mix_name"], r["source"]] = r["docs"]
+    whole_of = {k: next(iter(t.values()))[0] for k, t in tails.items()}
+    tried = []
     for mix in sorted({r["mix_name"] for r in rows}):
         own = [r for r in rows if r["mix_name"] == mix]
         present = [r for r in own if (mix, r["source"]) in tails and (r["target_share"] or 0) > 0 and (r["max_repeats"] or 0) > 0]
         whole = sum(r["target_share"] for r in present)
-        most = min((tails[mix, r["source"]][1][0] * r["max_repeats"] * whole / r["target_share"] for r in present), default=0.0)
+        most = min((whole_of[mix, r["source"]] * r["max_repeats"] * whole / r["target_share"] for r in present), default=0.0)
         total = total_tokens if total_tokens is not None else fill * most
         for r in sorted(own, key=lambda r: r["source"]):
-            docs, tail = tails.get((mix, r["source"]), (0, [0.0] * (BINS + 1)))
-            repeats = int(r["max_repeats"] or 0)
+            key, repeats = (mix, r["source"]), int(r["max_repeats"] or 0)
             want = total * (r["target_share"] or 0) / whole if r in present else 0.0
-            mean = solve_mean(want, repeats, tail) if r in present else 0.0
-            out.append((mix, r["source"], float(r["target_share"] or 0), repeats, docs, int(tail[0]), float(want), float(mean), thresholds(mean, repeats) if mean > 0 else []))
-    return spark.createDataFrame(out, "mix_name string, source string, target_share double, max_repeats int, source_docs bigint, source_tokens bigint, target_tokens double, mean double, thresholds array<double>")
+            head = (*key, float(r["target_share"] or 0), repeats, docs.get(key, 0), int(whole_of.get(key, 0)), float(want))
+            for seed in SEEDS if want else SEEDS[:1]:
+                mean = solve_mean(want, repeats, tails[key][seed]) if want else 0.0
+                tried.append((*head, seed, float(mean), thresholds(mean, repeats) if mean > 0 else []))
+    spec = "mix_name string, source string, target_share double, max_repeats int, source_docs bigint, source_tokens bigint, target_tokens double, seed int, mean double, thresholds array<double>"
+    options = spark.createDataFrame(tried, spec)
+    exact = counted(documents, options).groupBy("mix_name", "source", "seed").agg(F.sum(F.col("n_tokens") * F.col("n_copies")).alias("drawn"))
+    miss = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("target_tokens"))
+    best = options.join(exact, ["mix_name", "source", "seed"], "left").groupBy("mix_name", "source").agg(F.min_by(F.struct(*[c for c in options.columns if c not in ("mix_name", "source")]), F.struct(miss, "seed")).alias("x"))
+    return spark.createDataFrame(best.select("mix_name", "source", "x.*").orderBy("mix_name", "source").collect(), spec)
 
 
 def counted(documents: DataFrame, planned: DataFrame) -> DataFrame:
     """documents of each mix with n_copies, 0 for those not drawn."""
-    steps = planned.select("mix_name", "source", "thresholds")
-    own = uniform(F.col("mix_name"), F.col("doc_id"))
+    steps = planned.select("mix_name", "source", "seed", "thresholds")
+    own = uniform(F.col("seed"), F.col("mix_name"), F.col("doc_id"))
     copies = F.size(F.filter("thresholds", lambda x: own >= x))
-    return documents.where("n_tokens > 0").join(F.broadcast(steps), "source").select("mix_name", "doc_id", "source", "n_tokens", copies.alias("n_copies"))
+    return documents.where("n_tokens > 0").join(F.broadcast(steps), "source").select("mix_name", "doc_id", "source", "n_tokens", "seed", copies.alias("n_copies"))
 
 
 def mix(documents: DataFrame, planned: DataFrame) -> DataFrame:
     """The selection: one row per copy, in a global order by hash within each mix."""
     copies = counted(documents, planned).where("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     order = F.xxhash64(F.lit(11), "mix_name", "doc_id", "copy_no")
-    return copies.drop("n_copies").withColumn("order_key", order).orderBy("mix_name", "order_key")
+    return copies.drop("n_copies", "seed").withColumn("order_key", order).orderBy("mix_name", "order_key")
 
 
 def shares(documents: DataFrame, planned: DataFrame) -> DataFrame:
