@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -37,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is unset; a cluster needs a shared folder there")
-        named = os.path.join(tempfile.gettempdir(), f"siltstone-checkpoints-{os.getuid()}")
+        named = tempfile.mkdtemp(prefix="siltstone-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return context._jsc.sc().getCheckpointDir().get()
 
