@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import text as T
 from siltstone.session import cut
 
-THRESHOLD = 0.92
+THRESHOLD, SALTS = 0.92, 32
 #: Texts from which a shingle in a prefix counts as common, and common shingles that are set aside at most.
 COMMON_FROM, MOST_COMMON = 8, 100_000
 _EPS = 1e-9
@@ -17,17 +17,26 @@ _EPS = 1e-9
 def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "content") -> DataFrame:
     """The first row of each distinct text, with content_hash. Rows without a text all stay.
 
-    order: columns that give the order of input. A text that a third of all rows share is
-    no hot group: copies are first reduced within salted keys, then across them.
+    order: columns that give the order of input; of rows that agree in them one stays. Only
+    hashes and order are shuffled to find the rows that go, and those, as a rule few, are
+    taken out of the documents by a join that Spark turns into a broadcast while they are
+    small. A text that a third of all rows share is no hot group: its rows are ranked within
+    salted keys first, and only the first of each salt meet.
     """
+    key = [F.xxhash64(F.lit(seed), "content_hash", *order).alias(f"_k{seed}") for seed in (1, 2)]
     hashed = documents.drop("content_hash").withColumn("content_hash", T.content_hash(F.col(content)))
-    salt = F.pmod(F.xxhash64(*order), F.lit(32))
-    by = [F.col(c) for c in order]
-    part = Window.partitionBy("content_hash", salt).orderBy(*by)
-    whole = Window.partitionBy("content_hash").orderBy(*by)
-    slim = hashed.where("content_hash is not null").withColumn("_rank", F.row_number().over(part)).where("_rank = 1")
-    first = slim.withColumn("_rank", F.row_number().over(whole)).where("_rank = 1").drop("_rank")
-    return first.unionByName(hashed.where("content_hash is null"))
+    slim = hashed.where("content_hash is not null").select("content_hash", F.struct(*order).alias("o"), *key, F.pmod(F.xxhash64(*order), F.lit(SALTS)).alias("salt"))
+    part = Window.partitionBy("content_hash", "salt").orderBy("o")
+    ranked = slim.withColumn("a", F.row_number().over(part)).withColumn("tie", (F.col("a") > 1) & (F.col("_k1") == F.first("_k1").over(part)) & (F.col("_k2") == F.first("_k2").over(part)))
+    firsts = Window.partitionBy("content_hash", F.when(F.col("a") == 1, SALTS).otherwise(F.col("salt"))).orderBy("o")
+    judged = ranked.withColumn("b", F.row_number().over(firsts)).where("a > 1 OR b > 1").select("content_hash", "_k1", "_k2", "tie")
+    losers = cut(judged)
+    gone = losers.where("not tie").select("_k1", "_k2").distinct()
+    kept = hashed.withColumns({"_k1": key[0], "_k2": key[1]}).join(gone, ["_k1", "_k2"], "left_anti")
+    tied = losers.where("tie").select("content_hash").distinct()
+    if not tied.isEmpty():  # rows that agree in text and order: any one of them
+        kept = kept.join(tied, "content_hash", "left_anti").unionByName(kept.join(tied, "content_hash", "left_semi").dropDuplicates(["content_hash"]))
+    return kept.select(*[c for c in documents.columns if c != "content_hash"], "content_hash")
 
 
 def keyed(documents: DataFrame, key: str, content: str = "content") -> DataFrame:

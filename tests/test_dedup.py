@@ -40,6 +40,14 @@ def test_exact_first_wins_and_nulls_stay(spark):
     assert dedup.exact_deduplicate(spark.createDataFrame([], "i int, content string"), ["i"]).count() == 0
 
 
+def test_exact_ties_repeats_and_null_order(spark):
+    rows = [(1, "a", "x"), (1, "a", "x"), (2, "a", "y"), (None, "b", "p"), (None, "b", "q"), (3, "b", "r"), (None, None, "n"), (None, None, "n"), (4, "c", "z")] + [(5, "d", str(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "i int, content string, more string")
+    out = dedup.exact_deduplicate(df, ["i"]).collect()
+    assert sorted((r["content"] or "", r["i"] or 0) for r in out) == [("", 0), ("", 0), ("a", 1), ("b", 0), ("c", 4), ("d", 5)]
+    assert dedup.exact_deduplicate(df, ["i"]).columns == ["i", "content", "more", "content_hash"]
+
+
 def test_exact_with_one_hot_text(spark):
     df = spark.range(3000).selectExpr("id AS i", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS content")
     assert dedup.exact_deduplicate(df, ["i"]).count() == 2001
