@@ -70,7 +70,7 @@ _TITLES = {"Dr", "Mr", "Ms", "Mrs", "Prof", "Herr", "Frau", "Sr", "Sra", "Mme",
 #: Words before a person, also written small (fixed values).
 _PERSON_CUE = re.compile(r"(?i)(?:\bthanks to|\band to|\bcc:?|@author|\b(?:signed|reviewed|acked|tested|reported|co-authored)(?:-off)?-by:|\breported by|\bcontact:|\bspoke with|\bdanke an|\bgracias a|\bmerci à|\bgemeldet von|\binformó|\bsignalé par|\bansprechpartner(?:in)?:|\bcontacto:|\brow:|\bgoes to|\bgeräte an|\benvío va a|\bchez|\bwritten by|\basked by)\s+(?:(?:dr|mr|ms|mrs|prof|herr|frau|sra?|mme)\.?\s+)?$")
 _PERSON_AFTER = re.compile(r",? (?:wrote|writes|schrieb|escribió|a écrit) ")
-_SMALL = re.compile(rf"(?:(?:[Tt]hanks to|and to|cc|@author|-by:|[Rr]eported by|[Cc]ontact:|spoke with|[Dd]anke an|[Gg]racias a|[Mm]erci à|von|[Ii]nformó|par|partner:|row:|goes to|Geräte an|va a|chez) (?:(?:[Dd]r|[Mm]r|[Mm]s|[Mm]rs|[Pp]rof)\.? )?([{_L}]{{2,}} (?:[{_L}]\. )?[{_L}]{{3,}}(?:-[{_L}]{{3,}})?)(?=\s+(?:for the|für die|por la|pour la|about|<|/|wrote on|[{_U}`]|-)|,|\s*\n|\s*$)|(?<=[.!?\n] )([{_L}]{{3,}} [{_L}]{{3,}}(?:-[{_L}]{{3,}})?)(?= wrote on ))", re.MULTILINE)
+_SMALL = re.compile(rf"(?:(?:[Tt]hanks to|and to|cc|@author|-by:|[Rr]eported by|[Cc]ontact:|spoke with|[Dd]anke an|[Gg]racias a|[Mm]erci à|von|[Ii]nformó|par|partner:|row:|goes to|Geräte an|va a|chez) (?:(?:[Dd]r|[Mm]r|[Mm]s|[Mm]rs|[Pp]rof)\.? )?([{_L}]{{2,}} (?:[{_L}]\. )?[{_L}]{{3,}}(?:-[{_L}]{{3,}})?)(?=\s+(?:for the|für die|por la|pour la|about|<|/|wrote on|[{_U}`]|-)|,|\s*\n|\s*$)|(?:(?<=[.!?] )|^)([{_L}]{{3,}} [{_L}]{{3,}}(?:-[{_L}]{{3,}})?)(?= wrote on ))", re.MULTILINE)
 _BEFORE = re.compile(r"[\w@#'’-]+[:=]?|[^\w\s]")
 _AFTER = re.compile(r"[\w'’@-]+|[^\w\s]")
 #: Words that begin no name (fixed values).
