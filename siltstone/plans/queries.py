@@ -16,7 +16,7 @@ from siltstone.operators import decontaminate as D
 from siltstone.operators import dedup, filters, generation, quotas, statistics, trace
 from siltstone.operators.rules import PROSE_RULES
 from siltstone.operators.validation import validate_generated
-from siltstone.session import cut
+from siltstone.session import cut, spread
 from siltstone.sources import repositories, sinks
 from siltstone.sources.tables import table
 
@@ -31,7 +31,7 @@ def query(run: Query) -> Query:
 
 
 def _code(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "code_documents")
+    return spread(table(spark, folder, "code_documents"))
 
 
 def _evaluation(spark: SparkSession, folder: str) -> DataFrame:

@@ -50,6 +50,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan over all cores where it has fewer partitions than cores; only a small input has so few."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan._jdf.queryExecution().toRdd().getNumPartitions() < cores else scan
+
+
 def ensure_importable(spark: SparkSession) -> None:
     """Lets Python workers import this package: from its folder where they share the disk, else from an archive sent along."""
     context = spark.sparkContext
