@@ -192,9 +192,13 @@ def _tree() -> TemplateTree:
 
 
 _STATEMENTS: dict[tuple[str, bool], list[str]] = {}
+#: Longer statements are not remembered: hardly one comes again, and many would fill the memory.
+_REMEMBERED = 10_000
 
 
 def statement_names(text: str, alone: bool = False) -> list[str]:
+    if len(text) > _REMEMBERED:
+        return _tree().named(normalise(text), alone)
     known = _STATEMENTS.get((text, alone))
     if known is None:
         if len(_STATEMENTS) > 100_000:

@@ -10,6 +10,7 @@ recorded flag and the comment at the top complete the evidence.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -51,11 +52,20 @@ _COPIED = re.compile(
 )
 
 
+def _lines(text: str) -> Iterator[str]:
+    """The lines of a text one by one, so that only those that are asked for are cut out."""
+    start = 0
+    while (end := text.find("\n", start)) >= 0:
+        yield text[start:end]
+        start = end + 1
+    yield text[start:]
+
+
 def top_comment(text: str) -> list[str]:
-    """Lines of the comment a text begins with, markers removed; blank lines and an opening tag don't end it."""
+    """Lines of the comment a text begins with, markers removed, however long; blank lines and an opening tag don't end it."""
     out = []
     block = False
-    for raw in text.split("\n", 60)[:60]:
+    for raw in _lines(text):
         line = raw.strip()
         if not line or line.startswith(("#!", "<?php", "<?xml")) and not line.startswith("<?php /"):
             continue

@@ -95,3 +95,12 @@ def test_verdicts(spark):
     of_repos = {r["repo_id"]: r["verdict"] for r in L.repo_verdicts(files, repos).collect()}
     assert of_repos == {"r1": "MIT", "r2": "unknown", "r3": "conflict", "r4": "unknown"}
     assert L.repo_verdicts(files.limit(0), L.repo_evidence(snapshots.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("top", ["# word of a notice\n" * 79 + "# {}\nx = 1\n", "/*\n" + " * word of a notice\n" * 78 + " * {}\n */\nint x;\n", "\n" * 79 + "// {}\nint x;\n"])
+def test_licence_on_line_80(top):
+    text = top.format("SPDX-License-Identifier: MIT")
+    assert text.split("\n")[79].endswith("MIT")
+    assert L.header_names(text) == ["MIT"]
+    assert L.header_names(text.replace("\n", "\r\n")) == ["MIT"]
+    assert L.header_names("// licensed under the ISC License\n" + text) == ["ISC", "MIT"]
