@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from siltstone.functions import text as T
 from siltstone.session import cut
 
-THRESHOLD, SALTS = 0.92, 32
+#: Similarity from which texts are near duplicates, and that of the reference for those who ask for it.
+THRESHOLD, REFERENCE_THRESHOLD = 0.8, 0.92
+SALTS = 32
 #: Texts from which a shingle in a prefix counts as common, and common shingles that are set aside at most.
 COMMON_FROM, MOST_COMMON = 8, 100_000
 _EPS = 1e-9

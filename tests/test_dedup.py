@@ -4,6 +4,7 @@ import pytest
 
 from siltstone.operators import dedup
 from siltstone.operators import decontaminate as D
+from siltstone.plans.pipeline import Options
 from tests.test_text import py_shingles, py_tokens
 
 
@@ -67,6 +68,20 @@ def test_near_dedup_of_an_empty_table(spark):
     assert dedup.near_deduplicate(spark.createDataFrame([], "i int, content string"), "i").count() == 0
 
 
+def test_default_threshold(spark):
+    words = [f"w{i}" for i in range(40)]
+    first, near = " ".join(words), " ".join([*words[:-4], "a", "b", "c", "d"])
+    assert 0.8 <= jaccard(first, near) < dedup.REFERENCE_THRESHOLD
+    organic = spark.createDataFrame([(1, first)], "id int, content string")
+    made = spark.createDataFrame([(2, near)], "id int, content string")
+    assert [r["rejection_reason"] is None for r in dedup.cross_deduplicate(organic, made, "id").collect()] == [False]
+    assert [r["rejection_reason"] is None for r in dedup.cross_deduplicate(organic, made, "id", dedup.REFERENCE_THRESHOLD).collect()] == [True]
+    both = organic.union(made)
+    assert dedup.near_deduplicate(both, "id").count() == 1
+    assert dedup.near_deduplicate(both, "id", dedup.REFERENCE_THRESHOLD).count() == 2
+    assert Options().threshold == dedup.THRESHOLD
+
+
 def test_cross_dedup_against_brute_force(spark):
     texts = corpus(40, 9)
     organic, made = texts[:15], texts[15:]
