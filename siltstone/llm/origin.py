@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_rows
-from siltstone.llm.repair import pair_up
+from siltstone.llm.repair import pair_up, run_marks
 
 #: Below this grammar size per token a file of MIN_TOKENS tokens or more is made from templates.
 TEMPLATE_RATIO, MIN_TOKENS = 0.39, 40
@@ -27,8 +27,8 @@ TEMPLATE_RATIO, MIN_TOKENS = 0.39, 40
 DATA_SHARE, ROW_LITERALS, LONG_STRING, BLOB_RATIO = 0.55, 4, 120, 0.8
 #: A line this long with this small a share of blanks, literals aside, is minified.
 LONG_LINE, BLANK_SHARE = 300, 0.12
-#: Rules of this many tokens are compared between repositories.
-SHARED_TOKENS = 48
+#: Rules and runs of this many tokens are compared between repositories; a run is looked up by the least hash of MARK_TOKENS in it.
+SHARED_TOKENS, MARK_TOKENS = 48, 32
 #: Directories that hold third-party copies, whole names without case (fixed values).
 THIRD_PARTY_DIRECTORIES = ["bower_components", "contrib", "deps", "external", "node_modules", "pods", "third-party", "third_party", "thirdparty", "vendor", "vendored"]
 
@@ -145,16 +145,23 @@ def is_minified(text: str) -> bool:
 ORIGIN = "n_tokens int, grammar_ratio double, literal_share double, generated boolean, minified boolean, literal_data boolean, copied boolean, file_rule bigint, long_rules array<bigint>"
 
 
-def measure(files: DataFrame, keep: list[str], text: str = "content") -> DataFrame:
+def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> list[list[int]]:
+    """The distinct values of each of n owners, who come in order."""
+    own = np.split(values.view(np.int64), np.searchsorted(owner, np.arange(1, n)))
+    return [np.unique(v).tolist() for v in own]
+
+
+def measure(files: DataFrame, keep: list[str], text: str = "content", marks: bool = False) -> DataFrame:
     """The columns of keep with the evidence in the text of each file.
 
     generated: the top comment says so, or the grammar has TEMPLATE_RATIO symbols a token
     or fewer. minified, literal_data, copied (by the top comment) as described above.
     file_rule: hash of the start rule, null for texts without tokens; long_rules: hashes
-    of the rules of SHARED_TOKENS tokens or more. Null and blank texts show nothing.
+    of the rules of SHARED_TOKENS tokens or more. marks: with the marks of the runs of
+    SHARED_TOKENS tokens, for shared_runs(). Null and blank texts show nothing.
     """
     types = dict(files.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [ORIGIN])
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [ORIGIN] + ["marks array<bigint>"] * marks)
 
     def make():
         hashes = _Hashes()
@@ -175,17 +182,22 @@ def measure(files: DataFrame, keep: list[str], text: str = "content") -> DataFra
             for owner, h in zip(g.rule_owner[far].tolist(), g.rule_hash[far].view(np.int64).tolist(), strict=True):
                 long[owner].append(h)
             out = []
+            if marks:
+                whose, _, mark = run_marks(flat, lengths, SHARED_TOKENS, MARK_TOKENS)
+                more = [(m,) for m in _distinct(whose, mark, len(texts))]
+            else:
+                more = [()] * len(texts)
             for i, t in enumerate(texts):
                 n = int(lengths[i])
                 if not n:
-                    out.append((0, 1.0, 0.0, False, False, False, False, None, []))
+                    out.append((0, 1.0, 0.0, False, False, False, False, None, [], *more[i]))
                     continue
                 if "\r" in t:
                     t = t.replace("\r\n", "\n").replace("\r", "\n")
                 head = top_comment(t)
                 share = float(data[i] / printed[i])
                 made = (n >= MIN_TOKENS and ratio[i] <= TEMPLATE_RATIO) or any(map(_GENERATED.search, head))
-                out.append((n, ratio[i], share, bool(made), is_minified(t), share >= DATA_SHARE, any(map(_COPIED.search, head)), int(g.whole[i].view(np.int64)), sorted(set(long[i]))))
+                out.append((n, ratio[i], share, bool(made), is_minified(t), share >= DATA_SHARE, any(map(_COPIED.search, head)), int(g.whole[i].view(np.int64)), sorted(set(long[i])), *more[i]))
             return out
 
         def work(texts, *kept):
@@ -216,12 +228,46 @@ def classify(measured: DataFrame, path: str = "file_path", flag: str = "is_vendo
     return measured.withColumn("third_party", third).withColumn("hand_written", ~(F.col("third_party") | F.col("generated") | F.col("minified") | F.col("literal_data")))
 
 
-def shared_rules(measured: DataFrame, repo: str = "repo_id") -> DataFrame:
+def shared_runs(files: DataFrame, measured: DataFrame, key: str = "document_id", repo: str = "repo_id", text: str = "content") -> DataFrame:
+    """key, runs: hashes of the runs of SHARED_TOKENS tokens that may stand in two repositories.
+
+    measured: one row per key, with marks. Only texts with a mark met in two repositories
+    are read again, and only runs with such a mark are listed: no shared run is lost, and of
+    two files that hold it both list it. Runs in one repository only may be listed too.
+    """
+    marks = measured.select(F.xxhash64(key).alias("id"), F.xxhash64(repo).alias("r"), F.explode("marks").alias("mark"))
+    met = marks.groupBy("mark").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a < b").select("mark")
+    own = marks.select("id", "mark").join(met, "mark").groupBy("id").agg(F.collect_set("mark").alias("met"))
+    again = files.where(F.col(text).isNotNull()).select(F.xxhash64(key).alias("id"), key, text).join(own, "id")
+
+    def make():
+        look = _Hashes().__getitem__
+
+        def work(texts, mets, keys):
+            out = []
+            for t, met, k in zip(texts, mets, keys, strict=True):
+                flat = np.fromiter(map(look, _TOKEN.findall(t)), dtype=np.uint64)
+                _, run, mark = run_marks(flat, np.array([len(flat)]), SHARED_TOKENS, MARK_TOKENS)
+                hit = np.isin(mark.view(np.int64), np.array(met, np.int64))
+                out.append((k, np.unique(run[hit].view(np.int64)).tolist()))
+            return out
+
+        return work
+
+    return map_rows(again, [text, "met", key], f"`{key}` {dict(files.dtypes)[key]}, runs array<bigint>", make).dropDuplicates([key])
+
+
+def shared_rules(measured: DataFrame, repo: str = "repo_id", runs: DataFrame | None = None, key: str = "document_id") -> DataFrame:
     """rule, n_repos, n_files of the rules that occur in two repositories or more.
 
-    Counted in two steps: first per rule and repository, so a rule that is everywhere
+    runs: shared_runs(); a run of SHARED_TOKENS tokens counts as a rule, also where it stands
+    once per file, so a longer shared passage shows as all runs in it. Counted in two steps: first per rule and repository, so a rule that is everywhere
     meets the final step once per repository only.
     """
-    rules = measured.where("file_rule is not null").select(repo, F.explode(F.array_union(F.array("file_rule"), "long_rules")).alias("rule"))
+    found = F.array_union(F.array("file_rule"), "long_rules")
+    if runs is not None:
+        measured = measured.select(key, repo, "file_rule", "long_rules").join(runs, key, "left")
+        found = F.array_union(found, F.coalesce("runs", F.array().cast("array<bigint>")))
+    rules = measured.where("file_rule is not null").select(repo, F.explode(found).alias("rule"))
     per_repo = rules.groupBy("rule", repo).agg(F.count("*").alias("n"))
     return per_repo.groupBy("rule").agg(F.count(repo).alias("n_repos"), F.sum("n").alias("n_files")).where("n_repos >= 2")

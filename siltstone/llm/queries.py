@@ -109,8 +109,11 @@ def p2_by_repo(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p2_shared_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Grammar rules met in several repositories: copied texts and parts of texts."""
-    return origin.shared_rules(_origins(spark, folder).dropDuplicates(["document_id"]))
+    """Grammar rules, and runs of 48 tokens, met in several repositories: copied texts and parts of texts."""
+    files = table(spark, folder, "code_documents").select("document_id", "repo_id", "content")
+    measured = origin.measure(files, ["document_id", "repo_id"], marks=True).select("document_id", "repo_id", "file_rule", "long_rules", "marks")
+    measured = cut(measured.dropDuplicates(["document_id"]))
+    return origin.shared_rules(measured, runs=origin.shared_runs(files, measured))
 
 
 # 4. License of each code file and repository
