@@ -782,9 +782,7 @@ redir = REDIR (W | redir)
 body = '{' list '}' | '(' list ')' | 'if' list 'then' list ('elif' list 'then' list)* ('else' list)? 'fi' | ('while' | 'until') list 'do' list 'done' | 'for' (W ('in' (W | 'in')*)? SEP* | ARITH SEP*) 'do' list 'done' | 'case' W 'in' SEP* ('('? W ('|' W)* ')' list (DSEMI SEP*)?)* 'esac' | ARITH
 """
 YAML_GRAMMAR = """
-file = SEP* (node (DOC SEP* node?)*)?
-node = entry+
-entry = LINE | OPEN node CLOSE
+file = LINE* (DOC LINE*)*
 """
 
 # Lexers of the languages whose tokens depend on their place
@@ -831,7 +829,10 @@ def _shell_kinds(language: Language, tokens: list[str]) -> list[str]:
 
 
 class Yaml:
-    """Lines, with the indentation of block collections and the brackets and quotes of flow ones."""
+    """Lines, with the indentation of block collections and the brackets and quotes of flow ones.
+
+    Block structure is judged by the rules for lines below; the grammar sees lines and documents only.
+    """
 
     line = re.compile(r"^( *)(.*)$")
     key = re.compile(r"""(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s#\-?:,\[\]{}&*!|>'"%@`][^#:\n]*?|[-?:][^\s#:][^#:\n]*?)\s*:(?=\s|$)""")
@@ -882,7 +883,7 @@ class Yaml:
                 where.append(n)
                 levels, shapes, plain = [-1], {}, None
                 continue
-            if body[0] == "%" and not kinds:
+            if body[0] == "%" and (not kinds or lines[where[-1] - 1].strip() == "..."):
                 continue
             depth = len(indent)
             if flow:

@@ -101,3 +101,13 @@ def test_rates(spark):
     out = {r["repo_id"]: (r["n_files"], r["n_invalid"], r["invalid_share"]) for r in syntax.rates(syntax.check_files(df, ["document_id", "repo_id"]).distinct(), "repo_id").collect()}
     assert out == {"r": (2, 1, 0.5), None: (0, 0, None)}
     assert syntax.check_files(df.limit(0), ["document_id"]).count() == 0
+
+
+@pytest.mark.parametrize("text", ["---\na: 1\n", "%YAML 1.2\n---\na: 1\n", "# c\n\n---\n- a\n- b\n---\nc: 2\n...\n", "---\n---\na: 1\n", "a: 1\n...\n%YAML 1.2\n---\nb: 2\n", "---\r\na: 1\r\n"])
+def test_yaml_may_begin_with_a_document_mark(text):
+    assert language("yaml").check(text) is None
+
+
+@pytest.mark.parametrize("text", ["---\na: 'x\nb: 1\n", "---\na: [1, 2\n"])
+def test_yaml_after_a_document_mark_is_checked(text):
+    assert language("yaml").check(text) is not None
