@@ -27,6 +27,9 @@ TRAINING_ROWS, THRESHOLD = 20_000, 0.5
 _STRING = re.compile(r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|`[^`\n]*`')
 _NAMED = re.compile(r"([A-Za-z_$][\w$.-]*)[\"'\]]*\s*(?::\s*[\w&<>\[\]?\s*]{1,40})?\s*(?:=>|:=|==?|:)\s*(?:&?\w+!\(\s*|\(\s*)?$")
 _CALL = re.compile(r"([A-Za-z_][\w.:]*!?)\s*\(\s*$")
+#: Between the name of a list and its first element.
+_LIST = re.compile(r"([A-Za-z_$][\w$.-]*)[\"'\]]*\s*(?::\s*[\w&<>\[\];\s*]{1,40})?\s*(?:=>|:=|=|:)\s*(?:&|new\s+)?(?:[\w.]*!?(?:\[\d*\]\s*[\w.]*)?\s*[\[{]|(?:[\w.]*\b(?:of|asList|(?:list|set|array)Of|List|Set|Seq|Array|Vector))?\s*\()\s*$")
+_PAIR = re.compile(r"\s*(?::|=>)")
 _JOIN = re.compile(r"\s*(?:\+|\.|\\\n)?\s*$")
 _URL = re.compile(r"\b[a-zA-Z][a-zA-Z0-9+.-]{1,20}://([^\s/:@\"'`]*):([^\s@/\"'`]+)@")
 _CONNECTION = re.compile(r"(?i)\b((?:pwd|passw(?:or)?d|accountkey|sharedaccesskey|secret|user ?key)) ?= ?([^;\s\"'`(){}\[\]]+)(?=;|\"|')")
@@ -70,9 +73,6 @@ class Candidate:
 #: What _NOTE and _CONNECTION begin with (fixed values).
 _NOTE_WORDS = ("pass", "pwd", "secret", "token", "key", "api", "access", "signing", "credential", "bearer", "basic")
 _CONNECTION_WORDS = ("pwd", "passw", "accountkey", "sharedaccesskey", "secret", "user key", "userkey")
-#: String arguments of one call from which they are rows of data.
-DATA_ARGUMENTS = 5
-
 
 def _notes(text: str, low: str):
     """Matches of _NOTE, tried only where one of its words stands."""
@@ -111,6 +111,7 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
     for m in _PRIVATE.finditer(text):
         _add(out, m.start(), m.end(), "private", "private key", m.group())
     name, chain, call, args = "", None, "", []
+    listed = False  # name is that of a list with a cue
     last = 0
     for m in _STRING.finditer(text):
         gap = text[last : m.start()]
@@ -130,13 +131,16 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
             if args is not None:
                 context, kind = " ".join([call, *[a for a in args[-3:] if re.fullmatch(r"[A-Za-z][\w .-]{0,24}", a)]]), "argument"
                 args.append(body[:40])
-                if len(args) > DATA_ARGUMENTS and not CUES.search(_spoken(call)):
-                    continue
+            elif listed:
+                context, kind = name, "named"
             else:
                 continue
         else:
             found = _NAMED.search(tail)
-            if found:
+            inside = _LIST.search(tail)
+            listed = bool(inside and CUES.search(_spoken(inside.group(1))))
+            if found or listed:
+                found = found or inside
                 name, call, args = found.group(1), "", None
                 context, kind = name + ("!" if tail.rstrip().endswith("!(") else ""), "named"
             else:
@@ -159,9 +163,10 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
             continue
         if "://" in body or ";" in body:
             continue
-        if kind == "argument" and len(args) < 2:
+        if listed and _PAIR.match(text, m.end()):
             continue
-        if not CUES.search(_spoken(context)) and is_plain(kind, body):
+        weak = listed or kind == "argument" and len(args) < 2  # keys, names and hosts stand there too
+        if (weak or not CUES.search(_spoken(context))) and is_plain(kind, body):
             continue
         _add(out, start, m.end() - 1, kind, context, body)
         chain = out[start]

@@ -94,3 +94,21 @@ def test_whole_operator(spark):
     assert redacted["d0"]["redacted"] == "x = 0\napi_key = 'REDACTED'\nlabel = 'late-tower'\n" and redacted["null"]["redacted"] is None and redacted["n0"]["n_redacted"] == 0
     empty = S.find_candidates(df.limit(0), ["document_id", "file_path"])
     assert S.score(empty, S.train(empty)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ('setApiKey("zQ8kLm2Xp9Rt4Vw7Yb3N")', ["zQ8kLm2Xp9Rt4Vw7Yb3N"]),
+        ('login("Tr4ck-beacon44!")', ["Tr4ck-beacon44!"]),
+        ('send("a", "b", "c", "d", "e", "f", "9ESQMNqD-ah8vDw")', ["9ESQMNqD-ah8vDw"]),
+        ('API_KEYS = ["zQ8kLm2Xp9Rt4Vw7Yb3N", "Kp38f1EYoyGof9K61xRt"]', ["zQ8kLm2Xp9Rt4Vw7Yb3N", "Kp38f1EYoyGof9K61xRt"]),
+        ('var apiKeys = []string{\n\t"zQ8kLm2Xp9Rt4Vw7Yb3N",\n\t"Kp38f1EYoyGof9K61xRt",\n}', ["zQ8kLm2Xp9Rt4Vw7Yb3N", "Kp38f1EYoyGof9K61xRt"]),
+        ('tokens = ("zQ8kLm2Xp9Rt4Vw7Yb3N", "Kp38f1EYoyGof9K61xRt")', ["zQ8kLm2Xp9Rt4Vw7Yb3N", "Kp38f1EYoyGof9K61xRt"]),
+        ('print("late-journal")', []),
+        ('API_KEYS = ["YOUR_TOKEN_GOES_HERE", "primary"]', []),
+        ('LABELS = ["late-journal", "batch"]', []),
+    ],
+)
+def test_first_and_late_arguments_and_lists(model, text, values):
+    assert [c.value for c in hits(model, text)] == values
