@@ -112,3 +112,9 @@ def test_whole_operator(spark):
 )
 def test_first_and_late_arguments_and_lists(model, text, values):
     assert [c.value for c in hits(model, text)] == values
+
+
+def test_gain_counts_the_whole_value():
+    chains = S.Chains(np.random.default_rng(1).integers(0, 9, 2 * 96 * 96))
+    value = "ab" * 200 + "Z9" * 200
+    assert chains.gain(value) == pytest.approx(sum(chains.ratio[S._code(a)][S._code(b)] for a, b in zip(value, value[1:])) / (len(value) - 1))
