@@ -36,16 +36,16 @@ _HIDDEN = re.compile(
     rf"(?i)(?<![\w.@+-])[a-z0-9][a-z0-9._%+-]*(?:\s?(?:\[\s?(?:at|@)\s?\]|\(\s?(?:at|@)\s?\)|\{{\s?at\s?\}}|<at>)\s?{_DOMAIN}(?:(?:{_DOT}|\.){_DOMAIN})+"
     rf"|\s(?:at|arroba|chez)\s{_DOMAIN}(?:{_DOT}{_DOMAIN})+|@{_DOMAIN}(?:\.{_DOMAIN})*{_DOT}{_DOMAIN}(?:{_DOT}{_DOMAIN})*)(?![\w@])"
 )
-#: What written-out addresses hold (fixed values).
-_HIDDEN_WORDS = ("[at", "(at", "{at", "<at>", "[ at", "( at", "[@", "(@", " dot ", "[dot", "(dot", " punkt ", " punto ", " point ", "arroba", "<dot>")
+#: What every written-out address holds: a sign in brackets, or a dot as a word.
+_HIDDEN_ANCHOR = re.compile(r"[\[({<]\s?(?:at|@|dot|punkt|punto|point|\.)|\b(?:dot|punkt|punto|point)\b")
 _NUMBER = re.compile(r"(?<![\w.@/:+-])(?:\+\s?)?(?:\(0?\d{2,4}\)|\d)(?:[ ]?[-./]?[ ]?\(?\d\)?){6,17}(?:(?:,? ?(?:ext|x|Durchwahl|poste)\.? ?)\d{1,5})?(?![\w@]|[.:/-]\d)")
 _DATE = re.compile(r"\d{4}-\d\d-\d\d|^\d{1,2}[./]\d{1,2}[./]\d{4}\b|^(?:\d{1,3}\.){3}\d{1,3}$|^\d+\.\d+\.\d+ ?\(")
 _ID_VALUE = r"(?:[A-Z]{1,3}[ -]?)?\d(?:[ ./-]?[A-Z0-9]){4,22}(?![a-z0-9])|[A-Z0-9]{2,4}\d[A-Z0-9]{4,12}(?![a-z])"
 #: Words before the number of a person (fixed values).
 ID_CUES = r"SSN|social security(?: number| no\.?)?|passports?(?: number| no\.?)?|passeport|pasaporte|Reisepass(?:nummer)?|(?:Personal)?[Aa]usweis(?:nummer|nr\.?)?|Steuer-?(?:ID|nummer|Identifikationsnummer)|tax(?:payer)? ?(?:id|ID|number|no\.?)|TIN|national (?:ID|id|identity)(?: number| card)?|identity (?:number|card)|NIE|DNI|NIF|CIF|NINO?|(?:national )?insurance (?:no\.?|number)|[Ss]ozialversicherungs(?:nummer|nr\.?)|[Vv]ersichertennummer|driver'?s? licen[cs]e(?: number| no\.?)?|driving licen[cs]e|[Ff]ührerschein(?:nummer)?|permis de conduire|permiso de conducir|num[eé]ro (?:de sécurité sociale|fiscal|de passeport)|n[uú]mero (?:de la )?(?:seguridad social|fiscal)|carte d'identité"
 _ID_CUED = re.compile(rf"(?:\b(?:{ID_CUES}))(?:\s?[:#=]|\s(?:is|ist|es|est|no\.?|nr\.?|number|lautet))?\s?({_ID_VALUE})")
-#: What the cues of identity numbers and of persons begin with, in lower case (fixed values).
-_ID_FIRST = ("ssn", "social security", "passport", "passeport", "pasaporte", "reisepass", "ausweis", "steuer", "tax", "tin ", "tin:", "national i", "identity", "nie ", "dni ", "nif ", "cif ", "nie:", "dni:", "nif:", "nin ", "nino", "insurance n", "versicherungsn", "versicherten", "licence", "license", "führerschein", "permis", "numero", "número", "numéro", "carte d")
+#: What the cues of identity numbers and of persons hold, in lower case, or in capitals where only those count (fixed values).
+_ID_FIRST = ("ssn", "social security", "passport", "passeport", "pasaporte", "reisepass", "ausweis", "steuer", "tax", "TIN", "national i", "identity", "NIE", "DNI", "NIF", "CIF", "NIN", "insurance n", "versicherungsn", "versicherten", "licence", "license", "führerschein", "permis", "numero", "número", "numéro", "carte d")
 _PERSON_WORDS = ("thanks to ", "and to ", "cc ", "@author ", "-by: ", "reported by ", "contact: ", "spoke with ", "danke an ", "gracias a ", "merci à ", "von ", "informó ", "par ", "partner: ", "row: ", "goes to ", "geräte an ", "va a ", "chez ")
 #: Words of street names: they end, begin or contain the name (fixed values).
 STREET_EN = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Court|Ct|Terrace|Drive|Dr|Hill|Row|Way|Place|Pl|Square|Close|Crescent|Gardens|Boulevard|Blvd|Grove|Walk|Mews|Parade|Green"
@@ -83,19 +83,31 @@ NO_NAME = set(
 )
 
 
-def _around(pattern: re.Pattern, text: str, low: str, words: tuple[str, ...], left: int, right: int) -> list[re.Match]:
-    """Matches of a pattern that has one of the words in it, looked for around the words only."""
+def _around(pattern: re.Pattern, text: str, low: str, words: tuple[str, ...] | re.Pattern, left: int, right: int) -> list[re.Match]:
+    """Matches of a pattern that has one of the words in it, looked for around the words only.
+
+    words: in low, or in text where they have capitals; or a pattern for low.
+    """
     if len(low) != len(text):
         return list(pattern.finditer(text))
     found: dict[int, re.Match] = {}
-    for word in words:
-        at = low.find(word)
-        while at >= 0:
-            for m in pattern.finditer(text, max(0, at - left), at + right):
-                known = found.get(m.start())
-                if known is None or known.end() < m.end():
-                    found[m.start()] = m
-            at = low.find(word, at + len(word))
+
+    def look(at: int) -> None:
+        for m in pattern.finditer(text, max(0, at - left), at + right):
+            known = found.get(m.start())
+            if known is None or known.end() < m.end():
+                found[m.start()] = m
+
+    if isinstance(words, re.Pattern):
+        for anchor in words.finditer(low):
+            look(anchor.start())
+    else:
+        for word in words:
+            source = low if word == word.lower() else text
+            at = source.find(word)
+            while at >= 0:
+                look(at)
+                at = source.find(word, at + len(word))
     out: list[re.Match] = []
     for m in sorted(found.values(), key=lambda m: (m.start(), -m.end())):
         if not out or m.start() >= out[-1].end():
@@ -169,12 +181,10 @@ def segments(text: str) -> list[Segment]:
             local = m.group().split("@")[0].lower()
             repository = local in ("git", "hg", "svn")
             add(m.start(), m.end(), "email", "plain", 0 if repository else 1, "repository" if repository else "local")
-    hidden = "@" in text or " at " in low or "[" in low or "(at" in low or "arroba" in low or "<at" in low
-    if hidden:
-        for m in _around(_HIDDEN, text, low, _HIDDEN_WORDS, 130, 130):
-            cue = re.search(r"(?i)(?:mail|reach them at|to|for|an|a|à|unter|bounced for|correo|write|<|=>|;|contact:?)\s*$", text[max(0, m.start() - 20) : m.start()])
-            head = re.match(r"(?i)[a-z0-9._%+-]+", m.group()).group()
-            add(m.start(), m.end(), "email", "spelled", 1 if cue else None, "local" if re.search(r"[\d._+-]", head) else "word")
+    for m in _around(_HIDDEN, text, low, _HIDDEN_ANCHOR, 130, 130):
+        cue = re.search(r"(?i)(?:mail|reach them at|to|for|an|a|à|unter|bounced for|correo|write|<|=>|;|contact:?)\s*$", text[max(0, m.start() - 20) : m.start()])
+        head = re.match(r"(?i)[a-z0-9._%+-]+", m.group()).group()
+        add(m.start(), m.end(), "email", "spelled", 1 if cue else None, "local" if re.search(r"[\d._+-]", head) else "word")
     for m in _NUMBER.finditer(text):
         form = _phone_form(m.group())
         if not form:

@@ -85,3 +85,27 @@ def test_positions_in_code_points(spark, weights):
 def test_very_long_text(weights):
     text = "The lane is cold. " * 20_000 + "Thanks to Ines Varga for the patch."
     assert [s.kind for s in P.spans(text, weights)] == ["name"]
+
+
+AT = [f"{a}{b}{s}{b}{c}" for a, c in ("[]", "()") for s in ("at", "@") for b in ("", " ")] + ["{at}", "{ at }", "<at>", "@", " at ", "\tat\t", " arroba ", " chez "]
+DOTS = [f"{a}{b}{d}{b}{c}" for a, c in ("[]", "()") for d in ("dot", "punkt", "punto", "point", ".") for b in ("", " ")] + ["{dot}", "{ dot }", "<dot>", " dot ", " punkt ", " punto ", " point ", "\tdot\n", "."]
+
+
+def test_written_out_addresses_are_all_searched():
+    n = 0
+    for text in (f"write to jane{at}example{dot}org today" for at in AT for dot in DOTS):
+        whole = [m.span() for m in P._HIDDEN.finditer(text)]
+        assert [m.span() for m in P._around(P._HIDDEN, text, text.lower(), P._HIDDEN_ANCHOR, 130, 130)] == whole, text
+        n += len(whole)
+        if whole:
+            assert any(s.kind == "email" for s in P.segments(text)), text
+    assert n > 250
+
+
+@pytest.mark.parametrize("cue", ["SSN", "social security no.", "passport", "passeport", "pasaporte", "Reisepassnummer", "Personalausweis", "ausweisnr.", "Steuer-ID", "taxpayer id", "TIN", "national id", "national identity card", "identity card", "NIE", "DNI", "NIF", "CIF", "NIN", "NINO", "insurance no.", "national insurance number", "Sozialversicherungsnr.", "Versichertennummer", "drivers license", "driving licence", "Führerschein", "permis de conduire", "permiso de conducir", "numéro fiscal", "numero de passeport", "número de la seguridad social", "carte d'identité"])
+def test_identity_numbers_are_all_searched(cue):
+    for sign in (": ", ":", "# ", "= ", "=", " : ", " is ", " lautet ", " ", "\n"):
+        text = f"his {cue}{sign}X1234567L and more"
+        whole = [m.span() for m in P._ID_CUED.finditer(text)]
+        assert [m.span() for m in P._around(P._ID_CUED, text, text.lower(), P._ID_FIRST, 30, 100)] == whole, text
+        assert whole, text
