@@ -3,10 +3,12 @@
 Every place that could hold a credential (string literals with a name, call
 arguments, URLs, connection strings, headers, notes in comments, settings, key
 blocks) is a candidate. A logistic regression scores it on the likelihood of its
-characters under two Markov chains (credentials and ordinary values), on the
-words of the identifiers around it, on the form of the value and on the path.
-Matches of sure patterns are its weak labels. The chains are counted over all
-candidates; the regression is fitted on a bounded sample of them.
+characters under two Markov chains (credentials and ordinary values), on its
+spread of characters, on the words of the identifiers around it, on the place it
+stands in and on the words of the path. Matches of sure patterns are its weak
+labels; no feature looks at a pattern. The chains are counted over all candidates;
+the regression is fitted on a bounded sample of each label, and its scores are
+calibrated on a part of the sample it has not seen.
 """
 
 from __future__ import annotations
@@ -16,13 +18,20 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_rows
 
-#: Labelled candidates the regression is fitted on at most, and the score from which a candidate is a credential.
-TRAINING_ROWS, THRESHOLD = 20_000, 0.5
+#: Labelled candidates the regression sees at most (half of each label), one in so many of them held out for
+#: calibration, and the score from which a candidate is a credential.
+TRAINING_ROWS, HELD_OUT, THRESHOLD = 20_000, 4, 0.5
+#: Slots that words of the context and of the path are hashed into.
+CONTEXT_SLOTS, PATH_SLOTS = 256, 64
+#: What counts as the surroundings of a value: short arguments before it, characters before a note, and those
+#: before a string in which its name is looked for (more where a name or white space goes on).
+CONTEXT_ARGUMENTS, NOTE_BEFORE, NAME_BEFORE = 3, 40, 120
 
 _STRING = re.compile(r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|`[^`\n]*`')
 _NAMED = re.compile(r"([A-Za-z_$][\w$.-]*)[\"'\]]*\s*(?::\s*[\w&<>\[\]?\s*]{1,40})?\s*(?:=>|:=|==?|:)\s*(?:&?\w+!\(\s*|\(\s*)?$")
@@ -49,6 +58,8 @@ _UUID = re.compile(r"(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}")
 _HEX = re.compile(r"(?i)(?:[0-9a-f]{2}){12,}")
 _WORD = r"(?:[a-z]+|[A-Z]+|[A-Z][a-z]+)"
 _PLAIN = re.compile(rf"[A-Z]{{1,6}}-\d+(?:\.\d+)*(?:-[a-z]+)*|{_WORD}(?:[ ._/:-]{_WORD})*(?:[-_.]?\d{{1,2}})?|[\d.,:/-]+")
+#: Names of constants and settings, as calls have them before the value they set.
+_SET_NAME = re.compile(r"[A-Za-z]{1,12}\d{0,3}(?:_[A-Za-z]{1,12}\d{0,3})+")
 _CAMEL_NAME = re.compile(r"[a-z]*[aeiouy][a-z]*(?:[A-Z](?=[a-z]*[aeiouy])[a-z]{2,})+")
 
 KINDS = ["named", "argument", "url", "connection", "note", "login", "userpass", "prefixed", "setting", "private", "header"]
@@ -99,7 +110,15 @@ def _spoken(context: str) -> str:
 def _add(out: dict[int, Candidate], start: int, end: int, kind: str, context: str, value: str) -> None:
     known = out.get(start)
     if known is None or len(known.value) < len(value):
-        out[start] = Candidate(start, end, kind, _spoken(context)[-80:], value)
+        out[start] = Candidate(start, end, kind, _spoken(context), value)
+
+
+def _tail(gap: str) -> str:
+    """The end of what stands before a string, back to where a name or white space begins."""
+    start = len(gap.rstrip()) - NAME_BEFORE
+    while start > 0 and (gap[start - 1].isalnum() or gap[start - 1] in "_$.-" or gap[start - 1].isspace()):
+        start -= 1
+    return gap[max(0, start) :]
 
 
 _SCHEME = re.compile(r"(?i)^(?:authorization\s*:\s*)?(bearer|basic|token)\s+(\S{5,})$")
@@ -118,7 +137,7 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
         body = m.group()[1:-1]
         start = m.start() + 1
         last = m.end()
-        tail = gap[-120:]
+        tail = _tail(gap)
         stripped = tail.strip()
         if chain and (_JOIN.match(gap) and len(gap) < 60 or (chain.context.endswith("!") and stripped == ",")):
             # a literal in parts: one value
@@ -129,8 +148,8 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
         chain = None
         if stripped == "," and (call or name):
             if args is not None:
-                context, kind = " ".join([call, *[a for a in args[-3:] if re.fullmatch(r"[A-Za-z][\w .-]{0,24}", a)]]), "argument"
-                args.append(body[:40])
+                context, kind = " ".join([call, *[a for a in args[-CONTEXT_ARGUMENTS:] if re.fullmatch(r"[A-Za-z][\w .-]{0,24}", a)]]), "argument"
+                args.append(body)
             elif listed:
                 context, kind = name, "named"
             else:
@@ -148,7 +167,7 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
                 if not found:
                     name, call, args = "", "", []
                     continue
-                call, name, args = found.group(1), "", [body[:40]]
+                call, name, args = found.group(1), "", [body]
                 if call.endswith("!"):
                     before = _NAMED.search(tail[: found.start()])
                     context, kind = (before.group(1) if before else "") + "!", "named"
@@ -166,6 +185,8 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
         if listed and _PAIR.match(text, m.end()):
             continue
         weak = listed or kind == "argument" and len(args) < 2  # keys, names and hosts stand there too
+        if weak and _SET_NAME.fullmatch(body) and text[m.end() : m.end() + 1] == ",":
+            continue
         if (weak or not CUES.search(_spoken(context))) and is_plain(kind, body):
             continue
         _add(out, start, m.end() - 1, kind, context, body)
@@ -179,14 +200,14 @@ def candidates(text: str, language: str | None) -> list[Candidate]:
         value = m.group(2).rstrip(".:!?,") if m.group(2)[-1] in ".,:" else m.group(2)
         if is_plain("note", value) or "://" in value or "(" in value:
             continue
-        _add(out, m.start(2), m.start(2) + len(value), "note", text[max(0, m.start() - 30) : m.start(2)].split("\n")[-1], value)
+        _add(out, m.start(2), m.start(2) + len(value), "note", text[max(0, m.start() - NOTE_BEFORE) : m.start(2)].split("\n")[-1], value)
     for m in _LOGIN.finditer(text) if "/" in text and any(w in low for w in ("login", "user", "account", "cred")) else ():
         _add(out, m.start(2), m.end(2), "login", f"login {m.group(1)}", m.group(2))
     for m in _USERPASS.finditer(text) if "-u" in text else ():
         _add(out, m.start(2), m.end(2), "userpass", f"user {m.group(1)} password", m.group(2))
     for m in _PREFIXED.finditer(text):
         if not any(c.start <= m.start() < c.end for c in out.values()):
-            _add(out, m.start(), m.end(), "prefixed", text[max(0, m.start() - 40) : m.start()].split("\n")[-1], m.group())
+            _add(out, m.start(), m.end(), "prefixed", text[max(0, m.start() - NOTE_BEFORE) : m.start()].split("\n")[-1], m.group())
     if (language or "").strip().lower() in _SETTING_LANGUAGES:
         for m in _SETTING.finditer(text):
             if len(m.group(2)) >= 5 and not (is_plain("setting", m.group(2)) and not CUES.search(_spoken(m.group(1)))):
@@ -233,32 +254,44 @@ def weak_label(kind: str, context: str, value: str) -> int | None:
     return None
 
 
-FEATURES = 16 + len(KINDS)
+#: Numbers of a value by itself; kinds, context words and path words follow.
+NUMBERS = 10
+FEATURES = NUMBERS + len(KINDS) + CONTEXT_SLOTS + PATH_SLOTS
+_PARTS = re.compile(r"[^\W\d_]+")
+
 
+def _slots(text: str, first: int, slots: int) -> set[int]:
+    """Slots of the words of a text, and of the first four letters of longer ones."""
+    out = set()
+    for word in _PARTS.findall(text):
+        word = word.lower()
+        for w in (word, word[:4] + "*") if len(word) > 4 else (word,):
+            out.add(first + xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), 7) % slots)
+    return out
 
-def features(kind: str, context: str, value: str, path: str, chains: Chains) -> list[float]:
+
+def features(kind: str, context: str, value: str, path: str | None, chains: Chains) -> dict[int, float]:
+    """Features by number, zeros left out. A null path has no words."""
     n = len(value)
-    mixed = sum(bool(p.search(value)) for p in _CLASSES)
-    low = (path or "").lower()
-    out = [
-        1.0,
-        max(-4.0, min(4.0, chains.gain(value))),
-        min(_entropy(value), 5.0) / 5.0,
-        min(n, 80) / 40.0,
-        float(n > 300),
-        mixed / 4.0,
-        min(_switches(value) / max(1, n - 1), 1.0),
-        float(bool(CUES.search(context))),
-        float(bool(OTHERS.search(context))),
-        float(bool(PLACEHOLDER.search(value))),
-        float(bool(_UUID.fullmatch(value))),
-        float(bool(_HEX.fullmatch(value))),
-        float(bool(_HEX.fullmatch(value)) and bool(OTHERS.search(context))),
-        float(is_plain(kind, value)),
-        float(bool(_PREFIXED.fullmatch(value))),
-        float(any(x in low for x in ("config", "deploy", "env", "ci/", ".yml", ".yaml", ".json", ".sh"))),
-    ]
-    return out + [float(kind == k) for k in KINDS]
+    gain = chains.gain(value)
+    low = sum(map(str.islower, value))
+    out = {
+        0: 1.0,
+        1: max(-4.0, min(4.0, gain)),
+        2: max(-1.0, min(1.0, gain)) * min(math.log2(1 + n), 8.0) / 4.0,
+        3: min(_entropy(value), 5.0) / 5.0,
+        4: min(math.log2(1 + n), 10.0) / 5.0,
+        5: low / n if n else 0.0,
+        6: sum(map(str.isupper, value)) / n if n else 0.0,
+        7: sum(map(str.isdigit, value)) / n if n else 0.0,
+        8: min(_switches(value) / max(1, n - 1), 1.0),
+        9: sum(bool(p.search(value)) for p in _CLASSES) / 4.0,
+    }
+    out[NUMBERS + KINDS.index(kind)] = 1.0
+    first = NUMBERS + len(KINDS)
+    for slot in _slots(context, first, CONTEXT_SLOTS) | _slots(_spoken(path or ""), first + CONTEXT_SLOTS, PATH_SLOTS):
+        out[slot] = 1.0
+    return {k: v for k, v in out.items() if v}
 
 
 def _code(c: str) -> int:
@@ -282,11 +315,11 @@ class Chains:
         return sum(self.ratio[a][b] for a, b in zip(codes, codes[1:], strict=False)) / (len(codes) - 1)
 
 
-CANDIDATE = "start int, `end` int, line_no int, kind string, context string, value string"
+CANDIDATE = "start int, `end` int, line_no int, kind string, context string, value string, weak int"
 
 
 def find_candidates(files: DataFrame, keep: list[str], text: str = "content", language: str = "language") -> DataFrame:
-    """One row per candidate: the columns of keep, the span in code points, its line from 1, kind, context, value."""
+    """One row per candidate: the columns of keep, the span in code points, its line from 1, kind, context, value, weak label."""
     types = dict(files.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [CANDIDATE])
 
@@ -300,7 +333,7 @@ def find_candidates(files: DataFrame, keep: list[str], text: str = "content", la
                 for c in candidates(t, lang):
                     line += t.count("\n", at, c.start)
                     at = c.start
-                    out.append((*k, c.start, c.end, line, c.kind, c.context, c.value))
+                    out.append((*k, c.start, c.end, line, c.kind, c.context, c.value, weak_label(c.kind, c.context, c.value)))
             return out
 
         return work
@@ -312,86 +345,149 @@ def count_steps(found: DataFrame) -> np.ndarray:
     """Character steps of weakly labelled candidates, counted over all of them: 2 x 96 x 96 numbers."""
 
     def make():
-        def work(kinds, contexts, values):
+        def work(labels, values):
             counts = np.zeros(2 * 96 * 96, np.int64)
-            for kind, context, value in zip(kinds, contexts, values, strict=True):
-                label = weak_label(kind, context, value)
-                if label is not None and kind != "private":
-                    codes = [_code(c) for c in value]
-                    for a, b in zip(codes, codes[1:], strict=False):
-                        counts[label * 9216 + a * 96 + b] += 1
+            for label, value in zip(labels, values, strict=True):
+                codes = [_code(c) for c in value]
+                for a, b in zip(codes, codes[1:], strict=False):
+                    counts[label * 9216 + a * 96 + b] += 1
             at = np.flatnonzero(counts)
             return list(zip(at.tolist(), counts[at].tolist(), strict=True))
 
         return work
 
-    summed = map_rows(found, ["kind", "context", "value"], "step int, n bigint", make).groupBy("step").agg(F.sum("n").alias("n"))
+    summed = map_rows(found.where("weak is not null and kind <> 'private'"), ["weak", "value"], "step int, n bigint", make).groupBy("step").agg(F.sum("n").alias("n"))
     counts = np.zeros(2 * 96 * 96)
     for row in summed.collect():  # at most 18,432 rows
         counts[row["step"]] = row["n"]
     return counts
 
 
-def fit(rows: list[tuple[int, list[float]]], rounds: int = 30, ridge: float = 0.05) -> np.ndarray:
-    """Weights of a logistic regression by Newton steps; classes weigh the same."""
-    if not rows or len({y for y, _ in rows}) < 2:
-        return np.zeros(FEATURES)
+def fit(rows: list[tuple[int, dict[int, float]]], rounds: int = 30, ridge: float = 0.05) -> np.ndarray | None:
+    """Weights of a logistic regression by Newton steps; classes weigh the same. None where a class has no rows."""
+    if len({y for y, _ in rows}) < 2:
+        return None
     y = np.array([r[0] for r in rows], float)
-    x = np.array([r[1] for r in rows])
+    x = np.zeros((len(rows), FEATURES))
+    for i, (_, named) in enumerate(rows):
+        x[i, list(named)] = list(named.values())
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w = np.zeros(x.shape[1])
+    w = np.zeros(FEATURES)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (weight * (p - y)) + ridge * w
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)) + 1e-6 * np.eye(len(w))
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + (ridge + 1e-6) * np.eye(FEATURES)
         step = np.linalg.solve(hess, grad)
         w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-4:
             break
     return w
 
 
+def _raw(named: dict[int, float], weights: list[float]) -> float:
+    return sum(v * weights[k] for k, v in named.items())
+
+
+def calibrate(raw: list[float], labels: list[int], weight: list[float], rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset that turn raw scores into chances, fitted to held-out rows (Platt's smoothed targets).
+
+    weight: candidates a row stands for. Without rows of both labels scores stay as they are.
+    """
+    if len(set(labels)) < 2:
+        return 1.0, 0.0
+    z, y, w = np.array(raw), np.array(labels, float), np.array(weight)
+    w = w / w.mean()
+    up, down = y.sum(), (1 - y).sum()
+    target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
+    x = np.stack([z, np.ones(len(z))], axis=1)
+    a = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
+        grad = x.T @ (w * (p - target)) + 1e-3 * (a - [1.0, 0.0])
+        hess = (x * (w * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        step *= min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
+        a -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    return (float(a[0]), float(a[1])) if a[0] > 0 else (1.0, 0.0)
+
+
 @dataclass
 class Model:
+    """weights None: no regression could be fitted; then exactly the weak labels count."""
+
     counts: np.ndarray
-    weights: np.ndarray
+    weights: list[float] | None
+    slope: float = 1.0
+    offset: float = 0.0
 
     def __post_init__(self):
         self.chains = Chains(self.counts)
-        self.known: dict[tuple, float] = {}
 
-    def score(self, kind: str, context: str, value: str, path: str) -> float:
+    def score(self, kind: str, context: str, value: str, path: str | None) -> float:
         if kind == "private":
             return 1.0
+        if self.weights is None:
+            return float(weak_label(kind, context, value) == 1)
         if PLACEHOLDER.search(value) or _UUID.fullmatch(value):
             return 0.0  # no value yet, or a plain id
-        z = float(np.dot(features(kind, context, value, path, self.chains), self.weights))
+        z = self.slope * _raw(features(kind, context, value, path, self.chains), self.weights) + self.offset
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def train(found: DataFrame, path: str = "file_path", limit: int = TRAINING_ROWS) -> Model:
-    """Counts the chains over all candidates and fits the regression on limit labelled ones, chosen by hash."""
+    """Counts the chains over all candidates, fits the regression and calibrates it.
+
+    Of each weak label at most limit / 2 different candidates are taken, those with the
+    least hashes, so a rare label is not crowded out; one in HELD_OUT of them only
+    calibrates, weighing as many candidates as it stands for. Features are made by the
+    workers, so nothing of unbounded length reaches the driver.
+    """
     counts = count_steps(found)
-    chains = Chains(counts)
-    labelled = found.select("kind", "context", "value", path).distinct()
-    sample = labelled.orderBy(F.xxhash64("context", "value", path), "value").limit(limit * 2)
-    rows = []
-    for r in sample.toLocalIterator():
-        y = weak_label(r["kind"], r["context"], r["value"])
-        if y is not None and r["kind"] != "private" and len(rows) < limit:
-            rows.append((y, features(r["kind"], r["context"], r["value"], r[path], chains)))
-    return Model(counts, fit(rows))
+    chains_of = counts.tolist()
+    keyed = found.where("weak is not null and kind <> 'private'").withColumn("key", F.xxhash64("kind", "context", "value", path))
+    keys = keyed.select("weak", "key").distinct()
+    sizes = {r["weak"]: r["n"] for r in keys.groupBy("weak").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        return Model(counts, None)
+    most = {y: keys.where(F.col("weak") == y).orderBy("key").limit(limit // 2).agg(F.max("key")).first()[0] for y in sizes}
+    taken = keyed.where((F.col("weak") == 0) & (F.col("key") <= most[0]) | (F.col("weak") == 1) & (F.col("key") <= most[1]))
+
+    def make():
+        chains = Chains(np.array(chains_of))
+
+        def work(labels, keys, kinds, contexts, values, paths):
+            out = []
+            for y, key, *c in zip(labels, keys, kinds, contexts, values, paths, strict=True):
+                named = features(*c, chains)
+                out.append((y, key, list(named), list(named.values())))
+            return out
+
+        return work
+
+    sample = map_rows(taken, ["weak", "key", "kind", "context", "value", path], "weak int, key bigint, slots array<int>, amounts array<double>", make)
+    rows = {(r["weak"], r["key"]): dict(zip(r["slots"], r["amounts"], strict=True)) for r in sample.dropDuplicates(["weak", "key"]).toLocalIterator()}
+    rows = dict(sorted(rows.items()))
+    late = [k for k in rows if k[1] % HELD_OUT == 0]
+    weights = fit([(y, named) for (y, key), named in rows.items() if key % HELD_OUT])
+    if weights is None:
+        return Model(counts, None)
+    own = weights.tolist()
+    stands_for = {y: max(1.0, sizes[y] / (limit // 2)) for y in sizes}
+    slope, offset = calibrate([_raw(rows[k], own) for k in late], [y for y, _ in late], [stands_for[y] for y, _ in late])
+    return Model(counts, own, slope, offset)
 
 
 def score(found: DataFrame, model: Model, path: str = "file_path") -> DataFrame:
     """found with the column score: the calibrated chance that the value is a credential."""
     names = found.columns
     schema = ", ".join([f"`{c}` {t}" for c, t in found.dtypes] + ["score double"])
-    counts, weights = model.counts, model.weights
+    parts = (model.counts, model.weights, model.slope, model.offset)
     at = [names.index(c) for c in ("kind", "context", "value", path)]
 
     def make():
-        own = Model(counts, weights)
+        own = Model(*parts)
 
         def work(*columns):
             return [(*row, own.score(*[row[i] for i in at])) for row in zip(*columns, strict=True)]
@@ -433,10 +529,10 @@ def redact(files: DataFrame, keep: list[str], model: Model, text: str = "content
     """The columns of keep with n_redacted and the redacted text of every row; null texts stay null."""
     types = dict(files.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_redacted int, redacted string"])
-    counts, weights = model.counts, model.weights
+    parts = (model.counts, model.weights, model.slope, model.offset)
 
     def make():
-        own = Model(counts, weights)
+        own = Model(*parts)
 
         def work(texts, languages, paths, *kept):
             out = []

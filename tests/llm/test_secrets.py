@@ -118,3 +118,52 @@ def test_gain_counts_the_whole_value():
     chains = S.Chains(np.random.default_rng(1).integers(0, 9, 2 * 96 * 96))
     value = "ab" * 200 + "Z9" * 200
     assert chains.gain(value) == pytest.approx(sum(chains.ratio[S._code(a)][S._code(b)] for a, b in zip(value, value[1:])) / (len(value) - 1))
+
+
+def test_one_label_falls_back_to_the_labels(spark):
+    rows = [("a", "label = 'plainFlow9x'\napi_key = 'zQ8kLm2Xp9Rt4Vw7Yb3N'\n", "a.py", "Python")]
+    df = spark.createDataFrame(rows, "document_id string, content string, file_path string, language string")
+    found = S.find_candidates(df, ["document_id", "file_path"])
+    model = S.train(found)
+    assert model.weights is None
+    scored = {r["value"]: r["score"] for r in S.score(found, model).collect()}
+    assert scored["zQ8kLm2Xp9Rt4Vw7Yb3N"] == 1.0 and all(v == 0.0 for k, v in scored.items() if k != "zQ8kLm2Xp9Rt4Vw7Yb3N")
+    assert S.fit([]) is None and S.fit([(1, {0: 1.0})]) is None
+
+
+def test_names_far_before_a_string(model):
+    far = "x" * 150 + "_API_KEY = 'zQ8kLm2Xp9Rt4Vw7Yb3N'"
+    wide = "API_KEY" + " " * 300 + "= 'zQ8kLm2Xp9Rt4Vw7Yb3N'"
+    assert ["API_KEY" in c.context for c in S.candidates(far, "Python")] == [True]
+    assert [c.context for c in S.candidates(wide, "Python")] == ["API_KEY"]
+
+
+def test_unseen_values_without_a_label(model):
+    """Values no pattern labels: short mixed ones under a name, against names and paths."""
+    rng = random.Random(9)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789"
+    bad = [("named", f"API_TOKEN{i}", "".join(rng.choice(letters) for _ in range(7))) for i in range(100)]
+    bad = [b for b in bad if S.weak_label(*b) is None]
+    good = [("named", f"label{i}", f"{rng.choice(['tower', 'ledger'])}{rng.randrange(9)}x-lane/{rng.choice(['quota', 'batch'])}.py") for i in range(100)]
+    good = [g for g in good if S.weak_label(*g) is None]
+    assert len(bad) > 50 and len(good) > 50
+    assert sum(model.score(*b, "src/a.py") >= S.THRESHOLD for b in bad) >= 0.9 * len(bad)
+    assert sum(model.score(*g, "src/a.py") >= S.THRESHOLD for g in good) <= 0.05 * len(good)
+
+
+def test_calibration_meets_the_rate():
+    rng = random.Random(4)
+    raw = [rng.uniform(-6, 6) for _ in range(4000)]
+    labels = [int(rng.random() < 1 / (1 + np.exp(-(0.5 * z - 1)))) for z in raw]
+    slope, offset = S.calibrate(raw, labels, [1.0] * len(raw))
+    assert abs(slope - 0.5) < 0.1 and abs(offset + 1) < 0.2
+    assert S.calibrate([1.0], [1], [1.0]) == (1.0, 0.0)
+
+
+def test_sample_takes_both_labels(spark):
+    found = spark.range(3000).selectExpr(
+        "'named' as kind", "if(id % 100 = 0, 'api key', 'row digest') as context", "if(id % 100 = 0, concat('zQ8', sha1(cast(id as string)), '!B'), sha1(cast(id as string))) as value", "'a.py' as file_path", "cast(if(id % 100 = 0, 1, 0) as int) as weak"
+    )
+    model = S.train(found, limit=100)
+    assert model.weights is not None
+    assert model.score("named", "api key", "zQ8" + "0f3b" * 10 + "!B", "a.py") > 0.5 > model.score("named", "row digest", "0f3b" * 10, "a.py")
