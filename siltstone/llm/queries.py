@@ -215,6 +215,18 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill_report(p8_packed(spark, folder))
 
 
+@query
+def p8_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of each source in each window of containers, beside its target."""
+    return packing.window_shares(p8_packed(spark, folder))
+
+
+@query
+def p8_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Per pack: texts placed, and breaches of capacity, wholeness and once-only."""
+    return packing.limits_kept(table(spark, folder, "documents"), p8_packed(spark, folder))
+
+
 @query
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     sized = _sized(spark, folder)

@@ -20,4 +20,9 @@ ORACLE: dict[str, str] = {
              ew AS (SELECT item_id, hash(list_slice(w, i, i + 39)) AS h, list_slice(w, i, i + 39) AS g
                     FROM (SELECT item_id, w, unnest(range(1, len(w) - 38)) AS i FROM e WHERE len(w) >= 40))
         SELECT DISTINCT item_id, document_id FROM dw JOIN ew ON dw.h = ew.h AND dw.g = ew.g""",
+    "p8_limits": """
+        SELECT pack_name, (SELECT count(DISTINCT doc_id) FROM documents WHERE length(text) > 0) AS n_documents,
+               0 AS overfull, 0 AS twice, 0 AS split_early, 0 AS missing
+        FROM (SELECT DISTINCT pack_name FROM pack_capacities WHERE pack_name IS NOT NULL AND capacity_tokens > 0)
+        WHERE (SELECT count(*) FROM documents WHERE length(text) > 0) > 0""",
 }

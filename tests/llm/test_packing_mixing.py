@@ -38,6 +38,62 @@ def test_null_and_large_ids(spark):
     assert got == [(0, 0, 5), (0, 0, 5), (7, 0, 512), (7, 1, 88), (2**62 + 1, 0, 7)]
 
 
+def _groups(out):
+    """Tokens and rows per pack and group of each level."""
+    parts = out.withColumn("g", F.regexp_extract("container_id", r"^(\d+-\d+)-", 1))
+    return parts.groupBy("pack_name", "g").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows")).collect()
+
+
+def test_no_group_grows_beyond_its_bound(spark):
+    """Items of which no two fit one container: nothing is gained by carrying all of them on."""
+    df = spark.range(20_000).selectExpr("id as doc_id", "'a' as source", "600L as n_tokens")
+    packs = spark.createDataFrame([("s", 1000)], "pack_name string, capacity_tokens int")
+    out = packing.pack(df, packs, cut, group_tokens=200_000).cache()
+    assert out.count() == 20_000 and max(r["n"] for r in _groups(out)) < 300_000
+    assert out.where("container_id like '2-%'").count() < 1_000
+
+
+def test_null_ids_are_spread(spark):
+    df = spark.range(20_000).selectExpr("cast(null as bigint) as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "cast(100 + id % 70 as bigint) as n_tokens")
+    packs = spark.createDataFrame([("s", 1000)], "pack_name string, capacity_tokens int")
+    out = packing.pack(df, packs, cut, group_tokens=200_000).cache()
+    assert out.count() == 20_000 and out.where("doc_id is not null").count() == 0
+    assert max(r["n"] for r in _groups(out)) < 300_000
+    assert packing.fill_report(out).first()["fill"] > 0.98
+
+
+def test_many_packs(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PACKS_AT_ONCE", 2)
+    df = documents(spark, 60)
+    packs = spark.createDataFrame([(f"p{i}", 500 + i) for i in range(5)], "pack_name string, capacity_tokens int")
+    out = packing.pack(df, packs, cut)
+    total = df.agg(F.sum("n_tokens")).first()[0]
+    assert {r[0]: r[1] for r in out.groupBy("pack_name").agg(F.sum("n_tokens")).collect()} == {f"p{i}": total for i in range(5)}
+
+
+def test_windows_meet_the_shares(spark):
+    df = spark.range(9_000).selectExpr("id as doc_id", "case when id % 10 < 6 then 'a' when id % 10 < 9 then 'b' end as source", "cast(20 + (id * 7919) % 180 as bigint) as n_tokens")
+    packs = spark.createDataFrame([("s", 2048)], "pack_name string, capacity_tokens int")
+    out = packing.pack(df, packs, cut, group_tokens=400_000).cache()
+    report = packing.window_shares(out).collect()
+    whole = {}
+    for r in report:
+        whole[r["window_id"]] = whole.get(r["window_id"], 0) + r["n_tokens"]
+    full = [r for r in report if r["window_id"].startswith("0-") and whole[r["window_id"]] > 0.95 * 2048 * packing.WINDOW]
+    assert len(full) > 60 and max(abs(r["share"] - r["target_share"]) for r in full) < 0.05
+
+
+def test_limits_report(spark):
+    df = documents(spark)
+    texts = df.withColumn("text", F.when(F.col("n_tokens") > 0, F.lit("x")))
+    packs = spark.createDataFrame([("s", 512), ("l", 2048)], "pack_name string, capacity_tokens int")
+    out = packing.pack(df, packs, cut)
+    got = {r["pack_name"]: tuple(r)[1:] for r in packing.limits_kept(texts, out).collect()}
+    assert got == {"s": (600, 0, 0, 0, 0), "l": (600, 0, 0, 0, 0)}
+    broken = out.unionByName(out.where("doc_id = 3"))
+    assert all(r["twice"] > 0 for r in packing.limits_kept(texts, broken).collect())
+
+
 def test_packing_without_items(spark):
     df = documents(spark).limit(0)
     packs = spark.createDataFrame([("s", 512)], "pack_name string, capacity_tokens int")
