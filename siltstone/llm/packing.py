@@ -5,9 +5,9 @@ other: with each container every source is credited its share of the capacity,
 and the source with the largest credit gives its largest text that still fits;
 what a source could not give stays as its credit for later containers. Groups
 of texts of bounded size are packed in parallel. A container is closed when
-nothing left in its group fits. The emptiest ones, up to a bound that lets
-FAN_IN groups meet in one of the same size, are opened again on the next level,
-where the credits are carried on too, until a single group remains.
+nothing left in its group fits. The emptiest ones, and some of many small texts,
+are opened again on the next level, up to a bound that lets FAN_IN groups meet in
+one of the same size; the credits are carried on too, until a single group remains.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from siltstone.session import ensure_importable
 
 #: Tokens of one group, groups that meet on the next level, containers each may open again where group_tokens allows fewer,
 #: fill from which a container is never opened again, containers of a window.
-GROUP_TOKENS, FAN_IN, REOPENED, FULL, WINDOW = 2_000_000, 16, 4, 0.995, 16
+GROUP_TOKENS, FAN_IN, REOPENED, FULL, WINDOW = 2_000_000, 8, 8, 0.995, 16
 #: Packs that are filled in one pass over the texts, and sources up to which their shares are sent to the workers (else they are joined).
 PACKS_AT_ONCE, SENT_SOURCES = 1_000, 100_000
 
@@ -93,14 +93,23 @@ def pack_group(items: dict[str, list[tuple]], capacity: int, shares: dict[str, f
             del queues[source]
 
 
-def reopened(fills: list[int], capacity: int, budget: int) -> set[int]:
-    """Numbers of the containers that are opened again: the emptiest ones below FULL, of budget tokens in all."""
-    out, taken = set(), 0
-    for filled, n in sorted((f, n) for n, f in enumerate(fills) if f < FULL * capacity):
-        taken += filled
-        if taken > budget:
+def reopened(packed: list[tuple[int, list[tuple]]], capacity: int, budget: int) -> set[int]:
+    """Numbers of the containers that are opened again, of budget tokens in all.
+
+    The emptiest ones below FULL, and, so that there is something to fill their gaps with,
+    those of the most items, until these hold as many tokens as the gaps.
+    """
+    out, taken, gaps = set(), 0, 0
+    for filled, n in sorted((f, n) for n, (f, _) in enumerate(packed) if f < FULL * capacity):
+        if taken + filled + gaps + capacity - filled > budget:
+            break
+        out.add(n)
+        taken, gaps = taken + filled, gaps + capacity - filled
+    for _, n in sorted((-len(content), n) for n, (_, content) in enumerate(packed) if n not in out):
+        if gaps <= 0:
             break
         out.add(n)
+        gaps -= packed[n][0]
     return out
 
 
@@ -127,7 +136,7 @@ def _level(frame: DataFrame, level: int, total: int, group_tokens: int) -> DataF
             else:
                 items.setdefault(source, []).append((int(size), doc, int(piece)))
         packed = list(pack_group(items, capacity, shares, credit))
-        again = set() if last else reopened([filled for filled, _ in packed], capacity, max(group_tokens // FAN_IN, REOPENED * capacity))
+        again = set() if last else reopened(packed, capacity, max(group_tokens // FAN_IN, REOPENED * capacity))
         rows = []
         for n, (_, content) in enumerate(packed):
             if n in again:

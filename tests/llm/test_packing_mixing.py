@@ -54,7 +54,7 @@ def test_no_group_grows_beyond_its_bound(spark):
 
 
 def test_null_ids_are_spread(spark):
-    df = spark.range(20_000).selectExpr("cast(null as bigint) as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "cast(100 + id % 70 as bigint) as n_tokens")
+    df = spark.range(20_000).selectExpr("cast(null as bigint) as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "cast(20 + id % 170 as bigint) as n_tokens")
     packs = spark.createDataFrame([("s", 1000)], "pack_name string, capacity_tokens int")
     out = packing.pack(df, packs, cut, group_tokens=200_000).cache()
     assert out.count() == 20_000 and out.where("doc_id is not null").count() == 0
