@@ -8,12 +8,15 @@ token classes upper case; keywords and signs stand for themselves.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from functools import cache
 
 from siltstone.llm.derivatives import Grammar
 
 ERROR = "ERROR"
+#: Kinds that stand for the end of a line.
+LINE_ENDS = {";", "NEWLINE", "SEP"}
 
 
 class Language:
@@ -73,20 +76,31 @@ class Language:
             return None
         if at >= len(kinds):
             return "truncated", text.count("\n") + 1 - shift, ""
-        line, token = self._place(text, at)
+        line, token = self._place(text, at, kinds[at])
         return "failing", line - shift, token
 
-    def _place(self, text: str, at: int) -> tuple[int, str]:
-        """Line and text of the token with this index; laid-out streams give the nearest token of the source."""
-        prefix = 0
-        for m in self.finder.finditer(text):
-            part = [m.group()]
-            if self.kind(part[0]) is None or (self.layout and part[0][0] == "\n"):
-                continue
-            if prefix == at:
-                return text.count("\n", 0, m.start()) + 1, m.group()
-            prefix += 1
-        return text.count("\n") + 1, ""
+    def _place(self, text: str, at: int, kind: str) -> tuple[int, str]:
+        """Line and text of the token whose kind has this index.
+
+        A kind that stands for a line end is placed at the end of the last line with a token,
+        its text being the line end; one for a changed indentation at the token after it.
+        """
+        found = list(self.finder.finditer(text))
+        tokens = [m.group() for m in found]
+        marks: list[int] = []
+        if self.layout:
+            self.layout(self, tokens, marks)
+        else:
+            n = 0
+            for t in tokens:
+                marks.append(n)
+                n += self.kind(t) is not None
+        i = bisect_right(marks, at) - 1
+        if kind in LINE_ENDS and not (tokens[i] in (";", "\n") or self.kind(tokens[i]) == kind):
+            i = max((j for j in range(i) if tokens[j][0] != "\n" and self.kind(tokens[j]) is not None), default=i)
+            return text.count("\n", 0, found[i].end()) + 1, "\n"
+        token = tokens[i]
+        return text.count("\n", 0, found[i].start()) + 1, "\n" if token[0] == "\n" else token
 
 
 # Layout: what line ends mean
@@ -95,12 +109,14 @@ class Language:
 def semicolons(enders: set[str], openers: set[str], in_brackets: bool = True) -> Callable:
     """A line end closes a statement after an ender, unless the next line begins with an opener."""
 
-    def layout(language: Language, tokens: list[str]) -> list[str]:
+    def layout(language: Language, tokens: list[str], marks: list[int] | None = None) -> list[str]:
         memory, kind, out = language.memory, language.kind, []
         stack: list[str] = []
         pending = False
         last = ""
         for t in tokens:
+            if marks is not None:
+                marks.append(len(out))
             k = memory.get(t, 0)
             if k == 0:
                 k = kind(t)
@@ -126,11 +142,16 @@ def semicolons(enders: set[str], openers: set[str], in_brackets: bool = True) ->
     return layout
 
 
-def indents(language: Language, tokens: list[str]) -> list[str]:
-    """NEWLINE, INDENT and DEDENT of a language whose blocks are set off by indentation."""
+def indents(language: Language, tokens: list[str], marks: list[int] | None = None) -> list[str]:
+    """NEWLINE, INDENT and DEDENT of a language whose blocks are set off by indentation.
+
+    marks, in all layouts: gets the number of kinds put out before each token.
+    """
     memory, kind, out = language.memory, language.kind, []
     levels, depth, pending = [0], 0, None
     for t in tokens:
+        if marks is not None:
+            marks.append(len(out))
         if t[0] == "\n":
             if not depth:
                 tail = t[t.rfind("\n") + 1 :]
@@ -782,17 +803,30 @@ redir = REDIR (W | redir)
 body = '{' list '}' | '(' list ')' | 'if' list 'then' list ('elif' list 'then' list)* ('else' list)? 'fi' | ('while' | 'until') list 'do' list 'done' | 'for' (W ('in' (W | 'in')*)? SEP* | ARITH SEP*) 'do' list 'done' | 'case' W 'in' SEP* ('('? W ('|' W)* ')' list (DSEMI SEP*)?)* 'esac' | ARITH
 """
 YAML_GRAMMAR = """
-file = LINE* (DOC LINE*)*
+file = (DIR* DOC)? doc (DOC doc | END+ (DIR* DOC doc)?)*
+doc = (PROPS NL)? node?
+node = map | seq | leaf
+map = entry+
+entry = PROPS? KEY value
+value = PROPS? NL (INDENT node DEDENT | item+)? | PROPS? leaf
+seq = item+
+item = DASH (INDENT (map | seq) DEDENT | PROPS? NL (INDENT node DEDENT)? | PROPS? leaf)
+leaf = (PROPS? SCALAR | PROPS? flow) NL CONT* | BLOCK NL
+flow = '[' (fv (',' fv)* ','?)? ']' | '{' (fp (',' fp)* ','?)? '}'
+fv = flow | W+ | fp
+fp = (W+ | flow) ':' fv? | W+
 """
 
 # Lexers of the languages whose tokens depend on their place
 
 
-def _shell_kinds(language: Language, tokens: list[str]) -> list[str]:
+def _shell_kinds(language: Language, tokens: list[str], marks: list[int] | None = None) -> list[str]:
     """Words are keywords only where a command may begin."""
     out: list[str] = []
     begins, inside = True, []
     for t in tokens:
+        if marks is not None:
+            marks.append(len(out))
         c = t[0]
         if c == "\n":
             if out and out[-1] != "SEP":
@@ -829,126 +863,175 @@ def _shell_kinds(language: Language, tokens: list[str]) -> list[str]:
 
 
 class Yaml:
-    """Lines, with the indentation of block collections and the brackets and quotes of flow ones.
+    """Block structure as INDENT and DEDENT, entries as KEY and DASH, flow collections sign by sign.
 
-    Block structure is judged by the rules for lines below; the grammar sees lines and documents only.
+    The lexer follows indentation, quotes and block scalars; what may follow what is the grammar's.
     """
 
     line = re.compile(r"^( *)(.*)$")
-    key = re.compile(r"""(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s#\-?:,\[\]{}&*!|>'"%@`][^#:\n]*?|[-?:][^\s#:][^#:\n]*?)\s*:(?=\s|$)""")
+    key = re.compile(r"""(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s#\-?:,\[\]{}&*!|>'"%@`][^#:\n]*?|[-?:][^\s#:][^#:\n]*?)\s*:(?=\s|$)|[?:](?=\s|$)""")
+    props = re.compile(r"(?:[&!]\S*(?:\s+|$))+")
     block = re.compile(r"[|>][-+0-9]*\s*(?:#.*)?$")
-    quoted = re.compile(r"""^(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*')\s*(?:#.*)?$""")
+    quoted = re.compile(r"""(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*')(\s*(?:#.*)?)$""")
+    comment = re.compile(r"\s#.*$")
+    flow_finder = re.compile(r"""[\[\]{},]|:(?=\s|$|[\[{,}\]])|"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|(?:[^\s\[\]{},:"']|:(?![\s,\]}]|$))(?:[^\s\[\]{},:]|:(?![\s,\]}]|$))*|["']""")
 
     def __init__(self):
-        self.flow = Grammar("file = v\nv = '[' (v (',' v)* ','?)? ']' | '{' (p (',' p)* ','?)? '}' | W+\np = W+ (':' v?)? | v ':' v")
         self.grammar = Grammar(YAML_GRAMMAR)
-        self.flow_finder = re.compile(r"""[\[\]{},]|:(?=\s)|"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|(?:[^\s\[\]{},:"']|:(?!\s))+|["']""")
-
-    def _value(self, v: str) -> bool:
-        v = v.strip()
-        if not v or v[0] == "#":
-            return True
-        if v[0] in "&!*":
-            v = re.sub(r"^(?:[&!*]\S*\s*)+", "", v)
-            if not v:
-                return True
-        if v[0] in "\"'":
-            return bool(self.quoted.match(v))
-        if v[0] in "[{":
-            v = re.sub(r"\s#.*$", "", v)
-            kinds = [t if t in "[]{},:" else ERROR if t in "\"'" else "W" for t in self.flow_finder.findall(v)]
-            return self.flow.check(kinds) is None
-        return v[0] not in "@`%" and not re.search(r":(?:\s|$)", re.sub(r"\s#.*$", "", v))
 
     def check(self, text: str) -> tuple[str, int, str] | None:
-        lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        """None for a sentence; else ('failing' or 'truncated', its line from 1, the token)."""
+        lines = text.removeprefix("﻿").replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        kinds, where = self.lex(lines)
+        at = self.grammar.check(kinds)
+        if at is None:
+            return None
+        return ("truncated", len(lines), "") if at >= len(kinds) else ("failing", *where[at])
+
+    def lex(self, lines: list[str]) -> tuple[list[str], list[tuple[int, str]]]:
+        """Kinds, and the line and text of each."""
         kinds: list[str] = []
-        where: list[int] = []
-        levels = [-1]
+        where: list[tuple[int, str]] = []
+        levels: list[int] = []
         literal = None  # indentation above which a block scalar goes on
-        flow = ""
         plain = None  # indentation above which a plain scalar may go on
-        shapes: dict[int, str] = {}
+        quote, owner = "", 0  # a quoted scalar that is still open, and the indentation it must stay above
+        nested, tail = 0, ""  # open brackets of a flow collection, a quoted part still open in it
+
+        def put(kind: str, n: int, token: str) -> None:
+            kinds.append(kind)
+            where.append((n, token[:80]))
+
+        def flow(body: str, n: int) -> None:
+            nonlocal nested, tail
+            body, tail = self.comment.sub("", tail + body), ""
+            for m in self.flow_finder.finditer(body):
+                t = m.group()
+                if t in ("\"", "'"):
+                    tail = body[m.start() :] + " "
+                    return
+                nested += (t in "[{") - (t in "]}")
+                put(t if t in "[]{},:" else "W", n, t)
+            if nested <= 0:
+                put("NL", n, "\n")
+
+        def close(n: int) -> None:
+            for _ in levels[1:]:
+                put("DEDENT", n, lines[n - 1].strip() if n <= len(lines) else "")
+            levels.clear()
+
+        def scalar(value: str, own: int, n: int, deepest: int) -> None:
+            """What stands behind a key, a dash or alone on a line."""
+            nonlocal literal, plain, quote, owner, nested
+            m = self.props.match(value)
+            if m:
+                put("PROPS", n, m.group().strip())
+                value = value[m.end() :]
+            if not value or value[0] == "#":
+                put("NL", n, "\n")
+            elif self.block.match(value):
+                put("BLOCK", n, value)
+                put("NL", n, "\n")
+                literal = own
+            elif value[0] in "\"'":
+                m = self.quoted.match(value)
+                if m:
+                    put("SCALAR", n, value)
+                    put("NL", n, "\n")
+                elif re.match(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^']|'')*'(?!')", value):
+                    put(ERROR, n, value)  # something stands behind the closing quote
+                else:
+                    quote, owner = value, own
+            elif value[0] in "[{":
+                nested = 0
+                flow(value, n)
+            elif value[0] in "@`%" or re.search(r":(?:\s|$)", self.comment.sub("", value)):
+                put(ERROR, n, value)
+            else:
+                put("SCALAR", n, value)
+                put("NL", n, "\n")
+                plain = deepest
+
         for n, raw in enumerate(lines, 1):
             indent, body = self.line.match(raw).groups()
-            body = body.rstrip()
+            body, depth = body.rstrip(), len(indent)
             if literal is not None:
-                if not body or len(indent) > literal:
+                if not body or depth > literal:
                     continue
                 literal = None
+            if quote:
+                if body and depth <= owner:
+                    put(ERROR, n, body)
+                    quote = ""
+                    continue
+                quote += " " + body
+                if self.quoted.match(quote):
+                    put("SCALAR", n, body)
+                    put("NL", n, "\n")
+                    quote = ""
+                elif re.match(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^']|'')*'(?!')", quote):
+                    put(ERROR, n, body)
+                    quote = ""
+                continue
+            if nested > 0:
+                if body and (body[0] != "#" or tail):
+                    flow(body, n)
+                continue
             if not body or body[0] == "#":
                 continue
-            if body in ("---", "...") or body.startswith("--- "):
-                kinds.append("DOC")
-                where.append(n)
-                levels, shapes, plain = [-1], {}, None
+            if body in ("---", "...") and not depth or raw.startswith("--- "):
+                close(n)
+                put("END" if body == "..." else "DOC", n, body[:3])
+                plain = None
+                if body[3:].strip() and body[3:].strip()[0] != "#":
+                    scalar(body[3:].strip(), -1, n, -1)
                 continue
-            if body[0] == "%" and (not kinds or lines[where[-1] - 1].strip() == "..."):
+            if body[0] == "%" and not levels and (not kinds or kinds[-1] in ("DIR", "END")):
+                put("DIR", n, body)
                 continue
-            depth = len(indent)
-            if flow:
-                flow += " " + body
-                if flow.count("[") + flow.count("{") > flow.count("]") + flow.count("}"):
-                    continue
-                ok = self._value(flow)
-                flow = ""
-                kinds.append("LINE" if ok else ERROR)
-                where.append(n)
+            if body[0] == "\t":
+                put(ERROR, n, "\t")
+                continue
+            held = self.props.match(body)
+            shaped = body == "-" or body.startswith("- ") or self.key.match(body, held.end() if held else 0)
+            if not shaped and plain is not None and depth > plain:
+                put(ERROR if re.search(r":(?:\s|$)", self.comment.sub("", body)) else "CONT", n, body)
                 continue
-            if raw[depth : depth + 1] == "\t":
-                return "failing", n, "\t"
-            ok, value, shape, inner = True, body, "", depth
-            while value.startswith("- ") or value == "-":
+            plain = None
+            if not levels:
+                levels.append(depth)
+            elif depth > levels[-1]:
+                levels.append(depth)
+                put("INDENT", n, body)
+            else:
+                while len(levels) > 1 and depth < levels[-1]:
+                    levels.pop()
+                    put("DEDENT", n, body)
+                if depth != levels[-1]:
+                    put(ERROR, n, body)
+            value, column = body, depth
+            while value == "-" or value.startswith("- "):
+                put("DASH", n, "-")
                 rest = value[1:].lstrip()
-                shape = shape or "-"
-                inner += len(value) - len(rest)
+                inner = column + len(value) - len(rest)
+                held = self.props.match(rest)
                 value = rest
-            m = self.key.match(value)
+                if not (rest == "-" or rest.startswith("- ") or self.key.match(rest, held.end() if held else 0)):
+                    break
+                levels.append(inner)
+                put("INDENT", n, rest)
+                column = inner
+            held = self.props.match(value)
+            m = self.key.match(value, held.end() if held else 0)
             if m:
-                shape = shape or ":"
+                if held:
+                    put("PROPS", n, held.group().strip())
+                put("KEY", n, m.group())
                 value = value[m.end() :].strip()
-            elif value.startswith("? "):
-                shape, value = shape or ":", value[2:]
-            if not shape and plain is not None and depth > plain:
-                if re.search(r":(?:\s|$)", body):
-                    ok = False
-                kinds.append("LINE" if ok else ERROR)
-                where.append(n)
-                continue
-            while depth < levels[-1]:
-                shapes.pop(levels.pop(), None)
-            if depth > levels[-1]:
-                if len(levels) > 1 and plain is not None and shape:
-                    ok = False  # a scalar cannot hold a collection
-                levels.append(depth)
-                shapes[depth] = shape
-            elif shapes.get(depth) != shape and not (shapes.get(depth) == ":" and shape == "-"):
-                ok = False
-            literal, plain = None, None
-            own = depth
-            if shape == "-" and m:
-                own = inner  # the item is a mapping that goes on below
-                levels.append(own)
-                shapes[own] = ":"
-            if self.block.match(value):
-                literal = own
-            elif value[:1] in "[{" and value.count("[") + value.count("{") > value.count("]") + value.count("}"):
-                flow = value
-                continue
-            else:
-                ok = ok and self._value(value)
-                if value and value[0] not in "#&!":
-                    plain = own if shape else depth - 1
-            kinds.append("LINE" if ok else ERROR)
-            where.append(n)
-        if flow:
-            return "truncated", len(lines), ""
-        if not kinds:
-            return None
-        at = self.grammar.check(kinds)
-        if at is None:
-            return None
-        return ("truncated", len(lines), "") if at >= len(kinds) else ("failing", where[at], lines[where[at] - 1].strip()[:80])
+            scalar(value, column, n, column if shaped else depth - 1)
+        if not quote and nested <= 0:
+            close(len(lines) + 1)
+        return kinds, where
 
 
 def _c(grammar: str, words: str, groups: dict[str, str], signs: str = C_SIGNS, strings: list[str] | None = None) -> Language:

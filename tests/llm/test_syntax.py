@@ -111,3 +111,99 @@ def test_yaml_may_begin_with_a_document_mark(text):
 @pytest.mark.parametrize("text", ["---\na: 'x\nb: 1\n", "---\na: [1, 2\n"])
 def test_yaml_after_a_document_mark_is_checked(text):
     assert language("yaml").check(text) is not None
+
+
+#: A faulty line per language; put behind a valid file it must be found there, with its token.
+FAULTS = {
+    "c": ("int f() { return 1 1; }", "1"), "c++": ("int f() { return 1 1; }", "1"), "c#": ("class Q { int f() { return 1 1; } }", "1"), "java": ("class Q { int f() { return 1 1; } }", "1"),
+    "javascript": ("var q = 1 1", "1"), "typescript": ("let q = 1 1", "1"), "go": ("func q() int { return 1 1 }", "1"), "rust": ("fn q() { let a = 1 1; }", "1"), "kotlin": ("val q = 1 1", "1"), "swift": ("let q = 1 1", "1"),
+    "scala": ("object Q { val q = ) 1 }", ")"), "ruby": ("x = 1 1", "1"), "dart": ("int q = 1 1;", "1"), "python": ("x = 1 1", "1"), "shell": ("if x; fi fi", "fi"), "php": ("$a = 1 1;", "1"), "yaml": ("a: 'b' c", "'b' c"),
+}
+REPEATABLE = {"c", "c++", "javascript", "typescript", "rust", "swift", "ruby", "python", "shell", "yaml"}
+
+
+@pytest.mark.parametrize("name", FAULTS)
+def test_exact_token_deep_in_a_file(name):
+    before = VALID[name] * (20 if name in REPEATABLE else 1)
+    line, token = FAULTS[name]
+    assert syntax.verdict(name, before) == ("valid", None, None)
+    assert syntax.verdict(name, before + line + "\n") == ("failing", before.count("\n") + 1, token)
+
+
+def test_line_ends_and_indentation_have_places():
+    assert syntax.verdict("python", "x = 1\n\n\ndef f(x)\n    return x\n") == ("failing", 4, "\n")
+    assert syntax.verdict("python", "x = 1\ny = 2\n    z = 3\n") == ("failing", 3, "z")
+    assert syntax.verdict("go", "package a\n\n\nfunc f()\n{\n}\n")[1:] == (5, "{")
+
+
+YAML_VALID = [
+    'a:\n- x\n- y\nb: 1\n',
+    '- - x\n  - y\n- z\n',
+    'a: &x\n  b: 1\nc: *x\n',
+    '- !t\n  a: 1\n',
+    '- &q a: 1\n  b: 2\n',
+    '&k a: 1\n',
+    "a: 'one\n  two'\nb: 1\n",
+    'a: "x\n\n  y"\n',
+    'a: [1,\n  2, {b: c},\n]\n',
+    "a: {b: 'x, y', c: [1]}\n",
+    'text that\nruns on\n',
+    'a: text\n  that runs\n  on\nb: 1\n',
+    'a: |\n  x\n   y\n\n  z\nb: >-\n  q\n',
+    '? a\n: b\n',
+    '--- # c\na: 1\n--- |\n x\n',
+    '--- text\n',
+    'a:\n  - b: 1\n    c:\n      - d\n  - e\n',
+    'a: http://x:80/y\n',
+    'a:\n\n\n',
+    '- a\n-\n- b:\n    c\n',
+    '{a: 1}\n',
+    '[a, b]\n',
+    '{"a":1,"b":[{}]}\n',
+    'key with spaces: v # c\n',
+    'a: b#c\n',
+    '"q k": 1\n',
+    'a: []\nb: {}\n',
+    'a: !!str 1\n',
+    'a: x:y\n',
+    "steps:\n  - run: |\n      a\n      b\n    name: q\n  - uses: x@v1\n    with: {a: '${{ b }}'}\n",
+    'a: -b\n',
+    "'it''s': 'x''y'\n",
+]
+YAML_INVALID = [
+    'a: 1\n b: 2\n',
+    "a: 'x\nb: 1\n",
+    'a: [1, 2\nb: 1\n',
+    'a: b: c\n',
+    'a: 1\n- b\n',
+    '- a\nb: 1\n',
+    'a:\n  b: 1\n c: 2\n',
+    '\ta: 1\n',
+    "a: 'x' y\n",
+    'a: @x\n',
+    'a: {b: 1]\n',
+    'a: [1, 2]]\n',
+    'a: "x\n',
+    'a:\n  - b\n  c: 1\n',
+    'a: 1\nb\nc: 2\n',
+    '<<<<<<< HEAD\na: 1\n=======\na: 2\n>>>>>>> x\n',
+    'a: |\nb\n',
+]
+
+
+@pytest.mark.parametrize("text", YAML_VALID)
+def test_yaml_valid(text):
+    assert language("yaml").check(text) is None
+
+
+@pytest.mark.parametrize("text", YAML_INVALID)
+def test_yaml_invalid(text):
+    assert language("yaml").check(text) is not None
+
+
+def test_yaml_places():
+    assert language("yaml").check('a: 1\n b: 2\n')[:2] == ("failing", 2)
+    assert language("yaml").check("a: 'x\nb: 1\n")[:2] == ("failing", 2)
+    assert language("yaml").check('a:\n  b: 1\n c: 2\n')[:2] == ("failing", 3)
+    assert language("yaml").check('a: {b: 1]\n')[:2] == ("failing", 1)
+    assert language("yaml").check('a:\n  - b\n  c: 1\n')[:2] == ("failing", 3)
