@@ -233,74 +233,82 @@ def breaks_off(answer: str, record: str) -> bool:
 PARTS = "defect string, end_key bigint, lead_key bigint"
 
 
-def inspect(records: DataFrame, keep: list[str], text: str = "content") -> DataFrame:
-    """The columns of keep, the defect seen in the record alone, and the keys of its last tokens.
-
-    defect: 'empty', 'refusal', 'copied', 'language' or 'truncated'; null where none is seen.
-    end_key is null unless only the terminal-context model can tell whether the answer ends.
-    A null record has no answer: 'empty'.
+def _seen_defect(record: str | None, prompt: str, answer: str | None) -> tuple[str | None, int | None, int | None]:
+    if is_empty(answer):
+        return "empty", None, None
+    if is_refusal(answer):
+        return "refusal", None, None
+    if is_copy(answer, prompt):
+        return "copied", None, None
+    asked, told = language_of(prompt), language_of(prose_of(answer))
+    if asked and told and asked != told:
+        return "language", None, None
+    ended = surely_ended(answer)
+    if ended is True:
+        return None, None, None
+    if ended is False or breaks_off(answer, record):
+        return "truncated", None, None
+    tokens = end_tokens(pieces(answer)[-1][0])
+    if not tokens:
+        return None, None, None
+    return None, end_key(tokens, len(tokens), ORDER), end_key(tokens, len(tokens) - 1, ORDER - 1)
+
+
+def _count_ends(answer: str | None, seen: Counter[int], ends: Counter[int]) -> None:
+    if is_empty(answer):
+        return
+    for piece, _ in pieces(answer):
+        tokens = end_tokens(piece)
+        n = len(tokens)
+        for at in range(1, n + 1):
+            seen[end_key(tokens, at, ORDER)] += 1
+            seen[end_key(tokens, at, ORDER - 1)] += 1
+        if n:
+            ends[end_key(tokens, n, ORDER)] += 1
+
+
+def survey(records: DataFrame, keep: list[str], text: str = "content") -> DataFrame:
+    """What inspect() and end_counts() need, from one pass over the records.
+
+    Rows with counts false are those of inspect(); rows with counts true have key, n and
+    ends of one batch, and nulls in the columns of keep.
     """
     types = dict(records.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [PARTS])
-
-    def one(t: str | None) -> tuple[str | None, int | None, int | None]:
-        prompt, code, answer = sections(t)
-        if is_empty(answer):
-            return "empty", None, None
-        if is_refusal(answer):
-            return "refusal", None, None
-        if is_copy(answer, prompt):
-            return "copied", None, None
-        asked, told = language_of(prompt), language_of(prose_of(answer))
-        if asked and told and asked != told:
-            return "language", None, None
-        ended = surely_ended(answer)
-        if ended is True:
-            return None, None, None
-        if ended is False or breaks_off(answer, t):
-            return "truncated", None, None
-        tokens = end_tokens(pieces(answer)[-1][0])
-        if not tokens:
-            return None, None, None
-        return None, end_key(tokens, len(tokens), ORDER), end_key(tokens, len(tokens) - 1, ORDER - 1)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [PARTS, "counts boolean, key bigint, n bigint, ends bigint"])
+    none = (None,) * (len(keep) + 3)
 
     def make():
         def work(texts, *kept):
-            return [(*k, *one(t)) for t, *k in zip(texts, *kept, strict=True)]
+            seen: Counter[int] = Counter()
+            ends: Counter[int] = Counter()
+            rows = []
+            for t, *k in zip(texts, *kept, strict=True):
+                prompt, _, answer = sections(t)
+                rows.append((*k, *_seen_defect(t, prompt, answer), False, None, None, None))
+                _count_ends(answer, seen, ends)
+            return rows + [(*none, True, key, n, ends[key]) for key, n in seen.items()]
 
         return work
 
     return map_rows(records, [text, *keep], schema, make)
 
 
-def end_counts(records: DataFrame, text: str = "content") -> DataFrame:
-    """key, n, ends: how often each run of tokens occurs in answers, and how often it ends a piece of one.
+def inspect(surveyed: DataFrame) -> DataFrame:
+    """The kept columns, the defect seen in the record alone, and the keys of its last tokens.
 
-    Counted over all records: in each batch first, then by key.
+    defect: 'empty', 'refusal', 'copied', 'language' or 'truncated'; null where none is seen.
+    end_key is null unless only the terminal-context model can tell whether the answer ends.
+    A null record has no answer: 'empty'. Rows that agree in all of that are one.
     """
+    return surveyed.where("not counts").drop("counts", "key", "n", "ends").distinct()
 
-    def make():
-        def work(texts):
-            seen: Counter[int] = Counter()
-            ends: Counter[int] = Counter()
-            for t in texts:
-                answer = sections(t)[2]
-                if is_empty(answer):
-                    continue
-                for piece, _ in pieces(answer):
-                    tokens = end_tokens(piece)
-                    n = len(tokens)
-                    for at in range(1, n + 1):
-                        seen[end_key(tokens, at, ORDER)] += 1
-                        seen[end_key(tokens, at, ORDER - 1)] += 1
-                    if n:
-                        ends[end_key(tokens, n, ORDER)] += 1
-            return [(k, v, ends[k]) for k, v in seen.items()]
 
-        return work
+def end_counts(surveyed: DataFrame) -> DataFrame:
+    """key, n, ends: how often each run of tokens occurs in answers, and how often it ends a piece of one.
 
-    counted = map_rows(records, [text], "key bigint, n bigint, ends bigint", make)
-    return counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
+    Counted over all records: in each batch first, then by key.
+    """
+    return surveyed.where("counts").groupBy("key").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
 
 
 def defects(inspected: DataFrame, counts: DataFrame) -> DataFrame:

@@ -139,8 +139,8 @@ def p4_by_verdict(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     records = table(spark, folder, "synthetic_documents").where("method in ('codeqa', 'codedev')")
-    seen = cut(pairs.inspect(records, ["document_id", "method", "model"]).distinct())
-    return pairs.defects(seen, pairs.end_counts(records))
+    surveyed = cut(pairs.survey(records, ["document_id", "method", "model"]))
+    return pairs.defects(pairs.inspect(surveyed), cut(pairs.end_counts(surveyed)))
 
 
 @query
