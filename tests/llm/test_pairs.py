@@ -29,14 +29,16 @@ def test_defects(spark, layout):
     rows = [(k, layout.format(q=q, a=a)) for k, (q, a, _) in RECORDS.items()]
     usual = [(f"u{i}", layout.format(q=QUESTION, a=f"{ANSWER} In short: only `name{i}`")) for i in range(6)]
     df = spark.createDataFrame(rows + usual + [("null", None), ("plain", "no sections at all")], "document_id string, content string")
-    out = {r["document_id"]: r["defect"] for r in P.defects(P.inspect(s := P.survey(df, ["document_id"])), P.end_counts(s)).collect()}
+    surveyed = P.survey(df, ["document_id"])
+    out = {r["document_id"]: r["defect"] for r in P.defects(P.inspect(surveyed), P.end_counts(surveyed)).collect()}
     assert {k: out[k] for k in RECORDS} == {k: d for k, (_, _, d) in RECORDS.items()}
     assert all(out[f"u{i}"] is None for i in range(6)) and out["null"] == out["plain"] == "empty"
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "document_id string, content string")
-    assert P.defects(P.inspect(s := P.survey(df, ["document_id"])), P.end_counts(s)).count() == 0
+    surveyed = P.survey(df, ["document_id"])
+    assert P.defects(P.inspect(surveyed), P.end_counts(surveyed)).count() == 0
 
 
 def test_sections_and_languages():
