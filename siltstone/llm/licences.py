@@ -1,17 +1,21 @@
 """The licence of each source file and of each repository.
 
-Wordings of each licence are templates: short sequences of normalised tokens.
-They stand in a metric tree under the edit distance of tokens, computed with one
-bit per template token; the triangle inequality leaves out branches that cannot
-hold a near template, and the difference of lengths those that cannot be near.
-A run of words names a licence if its nearest template lies within a bound that
-grows with its length and if their numbers agree, as a number tells versions
-apart. Of overlapping runs the longest counts; "A or B" is one choice.
+Templates are sequences of normalised tokens: the wordings of each licence's name
+and the paragraphs of its text and of its notices. They stand in metric trees
+under the edit distance of tokens, computed with one bit per template token; the
+triangle inequality leaves out branches that cannot hold a near template, and the
+difference of lengths those that cannot be near. A run of words names a licence if
+its nearest template lies within a bound that grows with its length and if their
+numbers agree, as a number tells versions apart. Of overlapping runs the longest
+counts; "A or B" is one choice. A passage is the text of a licence if its nearest
+paragraph differs in no more than a share of its tokens; runs of words inside such
+a passage name nothing more.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from siltstone.llm.arrow import map_rows
+from siltstone.llm.licence_texts import TEXTS
 from siltstone.llm.origin import top_comment
 
 #: Wordings per licence, in normalised tokens (fixed values).
@@ -44,6 +49,8 @@ COPYLEFT_PREFIXES = ("GPL", "LGPL", "AGPL", "MPL")
 #: Tokens that may differ between a run of words and its template.
 BOUND = 1
 _TOKENS_PER_ERROR = 5
+#: Share of the tokens of a passage that may differ from a paragraph of a licence text, and the shortest such paragraph.
+TEXT_SHARE, SHORTEST_TEXT = 0.2, 10
 #: Names that are also words; in running text they count only beside one of the cues (fixed values).
 AMBIGUOUS = {"mit", "isc", "expat"}
 CUES = {"license", "licensed", "spdx", "identifier", "licenses"}
@@ -101,21 +108,17 @@ class _Node:
         self.shortest = self.longest = len(tokens)
 
 
-class TemplateTree:
-    """Metric tree of templates under token edit distance."""
+class MetricTree:
+    """Templates under token edit distance."""
 
-    def __init__(self, wordings: dict[str, list[str]] = WORDINGS):
+    def __init__(self, templates: list[tuple[tuple[str, ...], str]]):
         self.root: _Node | None = None
-        self.numbers: dict[tuple[str, ...], tuple[str, ...]] = {}
-        self.longest = 0
-        for name, texts in wordings.items():
-            for text in texts:
-                self._add(_Node(tuple(text.split()), name))
-        self.memory: dict[tuple[str, ...], tuple[int, str] | None] = {}
-        self.vocabulary = {t for texts in wordings.values() for text in texts for t in text.split()}
+        self.longest, self.shortest = 0, 1 << 30
+        for tokens, name in templates:
+            self._add(_Node(tokens, name))
 
     def _add(self, node: _Node) -> None:
-        self.longest = max(self.longest, len(node.tokens))
+        self.longest, self.shortest = max(self.longest, len(node.tokens)), min(self.shortest, len(node.tokens))
         at = self.root
         if at is None:
             self.root = node
@@ -128,23 +131,84 @@ class TemplateTree:
                 return
             at = at.children[d]
 
-    def nearest(self, tokens: tuple[str, ...]) -> tuple[int, str] | None:
-        """(distance, licence) of the nearest template within the bound of this length."""
-        if tokens in self.memory:
-            return self.memory[tokens]
+    def within(self, tokens: tuple[str, ...], bound: int) -> Iterator[tuple[int, _Node]]:
+        """(distance, template) of all templates within a distance."""
         n = len(tokens)
-        bound = min(BOUND, n // _TOKENS_PER_ERROR)
-        numbers = [t for t in tokens if t[0].isdigit()]
-        best: tuple[int, str] | None = None
-        stack = [self.root]
+        stack = [self.root] if self.root else []
         while stack:
             at = stack.pop()
             d = token_distance(at.masks, len(at.tokens), tokens)
-            if d <= bound and (best is None or (d, at.name) < best) and [t for t in at.tokens if t[0].isdigit()] == numbers:
-                best = (d, at.name)
+            if d <= bound:
+                yield d, at
             for k, child in at.children.items():
                 if abs(k - d) <= bound and child.shortest - bound <= n <= child.longest + bound:
                     stack.append(child)
+
+
+class TextIndex:
+    """Paragraphs of licence texts by their length; finds the one a passage is a copy of, with small changes."""
+
+    def __init__(self, texts: dict[str, list[str]] = TEXTS):
+        templates = [(tuple(normalise(p)), name) for name, paragraphs in texts.items() for p in paragraphs]
+        self.tree = MetricTree(templates)
+        self.rare = self._rare(templates)
+
+    @staticmethod
+    def _rare(templates: list[tuple[tuple[str, ...], str]]) -> set[str]:
+        """Words of the paragraphs, without those short ones any text has."""
+        return {t for tokens, _ in templates for t in tokens if len(t) > 4}
+
+    def nearest(self, tokens: tuple[str, ...]) -> str | None:
+        """The licence whose paragraph lies nearest, within TEXT_SHARE of the passage's length."""
+        n = len(tokens)
+        bound = int(n * TEXT_SHARE)
+        if n < SHORTEST_TEXT or n + bound < self.tree.shortest or n - bound > self.tree.longest:
+            return None
+        best = min(((d, node.name) for d, node in self.tree.within(tokens, bound)), default=None)
+        return best[1] if best else None
+
+    def named(self, passages: list[str]) -> tuple[set[str], set[int]]:
+        """Licences whose text stands in a list of passages, and the numbers of the passages that hold it.
+
+        A passage is tried alone and together with those that follow it, as lists of
+        conditions are often set apart.
+        """
+        lists = [tuple(normalise(p)) for p in passages]
+        names, held = set(), set()
+        for i in range(len(lists)):
+            # most passages share too few words with any licence text to lie near one
+            if i in held or len(self.rare.intersection(lists[i])) < 3:
+                continue
+            joined: tuple[str, ...] = ()
+            for j in range(i, len(lists)):
+                joined += lists[j]
+                if len(joined) * (1 - TEXT_SHARE) > self.tree.longest:
+                    break
+                found = self.nearest(joined)
+                if found:
+                    names.add(found)
+                    held.update(range(i, j + 1))
+        # the conditions of the longer licence begin with those of the shorter one
+        return names - {"BSD-2-Clause"} if "BSD-3-Clause" in names else names, held
+
+
+class TemplateTree:
+    """Wordings of the names of licences."""
+
+    def __init__(self, wordings: dict[str, list[str]] = WORDINGS):
+        self.tree = MetricTree([(tuple(text.split()), name) for name, texts in wordings.items() for text in texts])
+        self.longest = self.tree.longest
+        self.memory: dict[tuple[str, ...], tuple[int, str] | None] = {}
+        self.vocabulary = {t for texts in wordings.values() for text in texts for t in text.split()}
+
+    def nearest(self, tokens: tuple[str, ...]) -> tuple[int, str] | None:
+        """(distance, licence) of the nearest template within the bound of this length."""
+        if tokens in self.memory:
+            return self.memory[tokens]
+        bound = min(BOUND, len(tokens) // _TOKENS_PER_ERROR)
+        numbers = [t for t in tokens if t[0].isdigit()]
+        near = [(d, node.name) for d, node in self.tree.within(tokens, bound) if [t for t in node.tokens if t[0].isdigit()] == numbers]
+        best = min(near, default=None)
         if len(self.memory) > 200_000:
             self.memory.clear()
         self.memory[tokens] = best
@@ -191,6 +255,11 @@ def _tree() -> TemplateTree:
     return TemplateTree()
 
 
+@cache
+def _texts() -> TextIndex:
+    return TextIndex()
+
+
 _STATEMENTS: dict[tuple[str, bool], list[str]] = {}
 #: Longer statements are not remembered: hardly one comes again, and many would fill the memory.
 _REMEMBERED = 10_000
@@ -208,24 +277,42 @@ def statement_names(text: str, alone: bool = False) -> list[str]:
 
 
 def header_names(text: str | None) -> list[str]:
-    """Licences named in the comment a file begins with."""
+    """Licences named, or given by their text, in the comment a file begins with."""
     if not text:
         return []
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    return statement_names(" ".join(top_comment(text)))
+    lines = top_comment(text)
+    passages = _passages(lines)
+    names, held = _texts().named(passages) if len(passages) > 1 or sum(map(len, passages)) > 60 else (set(), set())
+    if not held:
+        return statement_names(" ".join(lines))
+    return sorted({*names, *statement_names(" ".join(p for i, p in enumerate(passages) if i not in held))})
+
+
+def _passages(lines: list[str]) -> list[str]:
+    """Lines joined to paragraphs; empty ones, and rows of signs, part them."""
+    out: list[list[str]] = [[]]
+    for line in lines:
+        if re.search(r"\w", line):
+            out[-1].append(line)
+        elif out[-1]:
+            out.append([])
+    return [" ".join(p) for p in out if p]
 
 
 def licence_file_names(text: str | None) -> list[str]:
-    """Licences named in a licence file: in any paragraph, or as a line by itself."""
-    names: set[str] = set()
-    for paragraph in re.split(r"\n\s*\n", (text or "").replace("\r\n", "\n").replace("\r", "\n")):
-        lines = [line.strip() for line in paragraph.split("\n") if line.strip()]
-        names.update(statement_names(" ".join(lines)))
-        for line in lines:
-            tokens = normalise(line)
-            if len(tokens) <= 2:
-                names.update(statement_names(line, alone=True))
+    """Licences named in a licence file: in any paragraph, or as a line by itself; or given by its text."""
+    lines = [line.strip() for line in (text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n")]
+    passages = _passages(lines)
+    names, held = _texts().named(passages)
+    for i, p in enumerate(passages):
+        if i not in held:
+            names.update(statement_names(p))
+    for line in lines:
+        tokens = normalise(line)
+        if 0 < len(tokens) <= 2:
+            names.update(statement_names(line, alone=True))
     return sorted(names)
 
 

@@ -104,3 +104,62 @@ def test_licence_on_line_80(top):
     assert L.header_names(text) == ["MIT"]
     assert L.header_names(text.replace("\n", "\r\n")) == ["MIT"]
     assert L.header_names("// licensed under the ISC License\n" + text) == ["ISC", "MIT"]
+
+
+BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."
+
+
+def changed(text, share, rng):
+    """A text with a share of its words replaced or left out."""
+    out = []
+    for w in text.split():
+        x = rng.random()
+        if x < share / 2:
+            continue
+        out.append(rng.choice(["our", "program", "such", "party"]) if x < share else w)
+    return " ".join(out)
+
+
+def wrapped(text, width=70):
+    import textwrap
+
+    return textwrap.fill(text, width)
+
+
+@pytest.mark.parametrize("name", sorted(L.TEXTS))
+def test_texts_without_a_title_are_known(name):
+    rng = random.Random(7)
+    hits = tries = 0
+    for _ in range(10):
+        body = "\n\n".join(wrapped(changed(p, 0.05, rng)) for p in L.TEXTS[name])
+        tries += 1
+        hits += L.licence_file_names(f"Copyright (c) 2020 Some Org\n\n{body}\n") == [name]
+    assert hits >= 0.9 * tries
+
+
+def test_texts_in_comments_and_lists():
+    body = L.TEXTS["MIT"]
+    head = "/*\n * Copyright 2020 Some Org\n *\n" + "".join(" *\n" + "".join(f" * {line}\n" for line in wrapped(p).split("\n")) for p in body) + " */\nint a;\n"
+    assert L.header_names(head) == ["MIT"]
+    items = L.TEXTS["BSD-3-Clause"][0].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ").replace(" 3. ", "\n\n3. ")
+    assert L.licence_file_names(f"Copyright 2020 Org\n\n{items}\n\n{BSD_END}\n") == ["BSD-3-Clause"]
+    two = L.TEXTS["BSD-2-Clause"][0].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+    assert L.licence_file_names(f"Copyright 2020 Org\n\n{two}\n\n{BSD_END}\n") == ["BSD-2-Clause"]
+    assert L.licence_file_names("MIT License\n\n" + "\n\n".join(body)) == ["MIT"]
+    assert L.licence_file_names("\n\n".join(body) + "\n\n" + "\n\n".join(L.TEXTS["ISC"])) == ["ISC", "MIT"]
+    assert L.licence_file_names("Copies have to keep this notice. The authors give no warranty of any kind, and the software is provided without conditions.\n") == []
+
+
+def test_text_index_agrees_with_a_scan():
+    index, rng = L.TextIndex(), random.Random(8)
+    templates = [(tuple(L.normalise(p)), n) for n, ps in L.TEXTS.items() for p in ps]
+    for _ in range(60):
+        tokens = tuple(L.normalise(changed(" ".join(rng.choice(templates)[0]), rng.choice([0.05, 0.2, 0.4]), rng)))
+        bound = int(len(tokens) * L.TEXT_SHARE)
+        near = [(plain_distance(t, tokens), n) for t, n in templates]
+        near = [x for x in near if x[0] <= bound and len(tokens) >= L.SHORTEST_TEXT]
+        assert index.nearest(tokens) == (min(near)[1] if near else None)
+
+
+def test_a_wrong_letter_in_a_name():
+    assert L.header_names("// Licensed under the GNU General Publik License version 3.\n") == ["GPL-3.0-only"]
