@@ -7,15 +7,17 @@ block at least (pigeonhole), so looking up equal blocks misses no pair. Every
 candidate is then checked on the words themselves: the exact similarity of the
 weighted shingles of both windows, and the longest common run through them.
 
-The fingerprints of the items travel to the documents in blocks of a bounded
+The items, a stated query set, travel to the documents in blocks of a bounded
 number of windows, one scan of the documents per block, so neither side is
-shuffled and no fingerprint of a document leaves its task.
+shuffled and no fingerprint of a document leaves its task. Of several blocks the
+driver holds one at a time.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.arrow import map_rows
+from siltstone.session import cut
 
 #: A leak is a common run of this many words at least.
 RUN_WORDS = 40
@@ -157,24 +160,25 @@ class ItemIndex:
 LEAK_COLUMNS = "item_id string, n_windows int, similarity double, run_words int, item_share double, document_word int, item_word int"
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, size: int, limit: int) -> list[list[tuple[str, str]]]:
-    """The items on the driver, in blocks of at most limit windows each.
+def item_blocks(items: DataFrame, item_id: str, text: str, size: int, limit: int) -> Iterator[list[tuple[str, str]]]:
+    """The items one block after the other, each of at most limit windows, so that the driver holds one at a time.
 
     Items are a stated query set; an item longer than limit words forms a block of its own.
     """
-    out: list[list[tuple[str, str]]] = [[]]
+    out: list[tuple[str, str]] = []
     filled = 0
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
     for row in rows.dropDuplicates(["i", "t"]).orderBy("i", "t").toLocalIterator():
         n = max(0, len(words_of(row["t"])) - size + 1)
         if not n:
             continue  # shorter than a run: nothing of it can leak by definition
-        if out[-1] and filled + n > limit:
-            out.append([])
-            filled = 0
-        out[-1].append((row["i"], row["t"]))
+        if out and filled + n > limit:
+            yield out
+            out, filled = [], 0
+        out.append((row["i"], row["t"]))
         filled += n
-    return [b for b in out if b]
+    if out:
+        yield out
 
 
 def find_leaks(
@@ -196,14 +200,14 @@ def find_leaks(
     longest run. Repeated rows of a document give repeated rows.
     """
     spark = documents.sparkSession
-    blocks = item_blocks(items, item_id, item_text, run_words, block_windows)
     kind = dict(documents.dtypes)[document_id]
     schema = f"document_id {kind}, {LEAK_COLUMNS}"
-    if not blocks:
-        return spark.createDataFrame([], schema)
-    parts = []
-    for block in blocks:
+    out = None
+    blocks = item_blocks(items, item_id, item_text, run_words, block_windows)
+    block = next(blocks, None)
+    while block is not None:
         sent = spark.sparkContext.broadcast(block)
+        del block
 
         def make(sent=sent):
             index = ItemIndex(sent.value, run_words, radius)
@@ -214,8 +218,10 @@ def find_leaks(
 
             return work
 
-        parts.append(map_rows(documents, [document_id, text], schema, make))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        part = map_rows(documents, [document_id, text], schema, make)
+        block = next(blocks, None)
+        if block is not None or out is not None:  # one of several: what it found is written, its items are let go
+            part = cut(part)
+            sent.unpersist()
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
