@@ -237,3 +237,10 @@ def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     sized = _sized(spark, folder)
     return mixing.shares(sized, mixing.plan(sized, table(spark, folder, "mix_targets")))
+
+
+@query
+def p9_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Per mix and source: documents there are, and breaches of the allowed repeats and of the targets."""
+    sized = _sized(spark, folder)
+    return mixing.limits_kept(sized, mixing.plan(sized, table(spark, folder, "mix_targets")))

@@ -25,4 +25,9 @@ ORACLE: dict[str, str] = {
                0 AS overfull, 0 AS twice, 0 AS split_early, 0 AS missing
         FROM (SELECT DISTINCT pack_name FROM pack_capacities WHERE pack_name IS NOT NULL AND capacity_tokens > 0)
         WHERE (SELECT count(*) FROM documents WHERE length(text) > 0) > 0""",
+    "p9_limits": r"""
+        WITH t AS (SELECT mix_name, regexp_replace(lower(trim(source)), '[_\s]+', '-', 'g') AS source, max_repeats FROM mix_targets),
+             k AS (SELECT mix_name, source, max(coalesce(max_repeats, 0)) AS max_repeats FROM t WHERE mix_name IS NOT NULL AND source <> '' GROUP BY ALL),
+             d AS (SELECT regexp_replace(lower(trim(source)), '[_\s]+', '-', 'g') AS source, count(*) AS n FROM documents WHERE length(text) > 0 GROUP BY ALL)
+        SELECT mix_name, source, max_repeats, coalesce(n, 0) AS source_docs, 0 AS over, 0 AS unasked FROM k LEFT JOIN d USING (source)""",
 }

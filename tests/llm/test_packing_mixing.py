@@ -153,3 +153,21 @@ def test_mix_of_nothing(spark):
 def test_clean_source(spark):
     df = spark.createDataFrame([(" Issue_Threads ",), ("ISSUE-THREADS",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(mixing.clean_source(F.col("s"))).collect()] == ["issue-threads", "issue-threads", None, None]
+
+
+def test_a_long_plan_is_joined(spark, monkeypatch):
+    df = documents(spark, 2000)
+    targets = spark.createDataFrame(TARGETS, "mix_name string, source string, target_share double, max_repeats int")
+    usual = sorted(tuple(r) for r in mixing.mix(df, mixing.plan(df, targets)).collect())
+    monkeypatch.setattr(mixing, "SENT_TARGETS", 1)
+    assert sorted(tuple(r) for r in mixing.mix(df, mixing.plan(df, targets)).collect()) == usual
+
+
+def test_a_turned_histogram_is_that_of_shifted_numbers(spark):
+    df = spark.range(3000).selectExpr("id as doc_id", "'a' as source", "cast(1 + id % 50 as bigint) as n_tokens")
+    targets = spark.createDataFrame([("m", "a", 1.0, 3)], "mix_name string, source string, target_share double, max_repeats int")
+    planned = mixing.plan(df, targets, total_tokens=90_000.0)
+    row = planned.first()
+    assert planned.count() == 1 and row["target_tokens"] == 90_000.0
+    got = mixing.shares(df, planned).first()
+    assert abs(got["tokens"] - 90_000) < 200
