@@ -1,12 +1,14 @@
 """Personal data in free text, found by a semi-Markov conditional random field.
 
-Candidate segments of bounded length carry features of the whole span: its form,
-the words before and after it, the words in it. A text's labelling is a set of
-segments that do not overlap, everything else being plain text; its weight is
-the sum of the weights of its segments. A dynamic program over the ends of the
-candidates finds the best set, deciding boundaries and kinds together; the same
-lattice gives the expected features by which the weights are fitted to weakly
-labelled segments of a bounded sample.
+Candidate segments carry features of the whole span: its form, the words before
+and after it, the words in it. A text's labelling is a set of segments that do not
+overlap, everything else being plain text; its weight is the sum of the weights of
+its segments and of its transitions: a segment that follows another one closely
+has a weight for both kinds and for what stands between them. A dynamic program
+over the ends of the candidates finds the best labelling, deciding boundaries and
+kinds together; the same lattice gives the expected features by which the weights
+are fitted to the weakly labelled segments of a bounded sample. Segments without a
+label take any part in it that agrees with the labels.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.arrow import map_rows
 
 KINDS = ("email", "phone", "id_number", "address", "name")
-#: Texts the weights are fitted on at most, passes over them, and the longest segment.
-TRAINING_TEXTS, PASSES, LONGEST = 2_500, 6, 160
+#: Texts the weights are fitted on at most, passes over them, and the characters up to which segments are neighbours.
+TRAINING_TEXTS, PASSES, NEAR = 2_500, 6, 24
 
 _U = "A-ZÀ-ÖØ-Þ"
 _L = "a-zß-öø-ÿ"
@@ -93,7 +95,17 @@ def _around(pattern: re.Pattern, text: str, low: str, words: tuple[str, ...] | r
     found: dict[int, re.Match] = {}
 
     def look(at: int) -> None:
-        for m in pattern.finditer(text, max(0, at - left), at + right):
+        low_end, high_end = max(0, at - left), min(len(text), at + right)
+        while low_end > 0 and not text[low_end - 1].isspace():
+            low_end -= 1  # no word is cut in two
+        while True:
+            while high_end < len(text) and not text[high_end].isspace():
+                high_end += 1
+            matches = list(pattern.finditer(text, low_end, high_end))
+            if not matches or matches[-1].end() < high_end - 1 or high_end == len(text):
+                break
+            high_end = min(len(text), high_end + right)  # it may go on behind the window
+        for m in matches:
             known = found.get(m.start())
             if known is None or known.end() < m.end():
                 found[m.start()] = m
@@ -165,8 +177,6 @@ def segments(text: str) -> list[Segment]:
     out: list[Segment] = []
 
     def add(start: int, end: int, kind: str, form: str, weak: int | None, *more: str) -> None:
-        if end - start > LONGEST:
-            return
         before, after = _near(text, start, end)
         names = [f"{kind}", f"{kind}|{form}"]
         names += [f"{kind}<{i}{w}" for i, w in enumerate(reversed(before[-2:]))]
@@ -235,11 +245,11 @@ def segments(text: str) -> list[Segment]:
 
 
 def clusters(found: list[Segment]) -> list[list[Segment]]:
-    """Groups of segments that overlap; the labelling of one does not bear on another."""
+    """Groups of segments that overlap or are neighbours; the labelling of one does not bear on another."""
     out: list[list[Segment]] = []
-    end = -1
+    end = -NEAR - 1
     for s in found:
-        if s.start < end:
+        if s.start <= end + NEAR:
             out[-1].append(s)
         else:
             out.append([s])
@@ -247,61 +257,113 @@ def clusters(found: list[Segment]) -> list[list[Segment]]:
     return out
 
 
-def _previous(group: list[Segment]) -> list[int]:
-    """For segments in order of their end: how many of them end before each begins."""
-    ends = [s.end for s in group]
-    out = []
+_SIGNS = re.compile(r"[^\w\s]|\n|\w")
+
+
+def between(a: Segment, b: Segment, gap: str) -> str:
+    """The transition feature of b following a: both kinds, and the first sign that parts them."""
+    m = _SIGNS.search(gap)
+    sign = "" if not m else "w" if m.group().isalnum() or m.group() == "_" else m.group()
+    return f"{a.kind}>{b.kind}{sign}"
+
+
+@dataclass
+class Lattice:
+    """Segments of a cluster in order of their end, and which may follow which.
+
+    far: for each segment, how many of the others end so far before it that no transition
+    has a weight (they come first); near: those that end before it but closer, each with its transition.
+    """
+
+    group: list[Segment]
+    far: list[int]
+    near: list[list[tuple[int, str]]]
+
+
+def lattice(group: list[Segment], text: str) -> Lattice:
+    group = sorted(group, key=lambda s: (s.end, s.start))
+    far, near = [], []
     for s in group:
         k = 0
-        while k < len(ends) and ends[k] <= s.start:
+        while group[k].end < s.start - NEAR:
             k += 1
-        out.append(k)
-    return out
+        far.append(k)
+        close = []
+        while group[k].end <= s.start and group[k] is not s:
+            close.append((k, between(group[k], s, text[group[k].end : s.start])))
+            k += 1
+        near.append(close)
+    return Lattice(group, far, near)
 
 
-def best(group: list[Segment]) -> list[Segment]:
-    """The set of segments of a cluster with the largest sum of scores, by dynamic programming."""
+def best(lat: Lattice, weights: dict[str, float]) -> list[Segment]:
+    """The labelling of a cluster with the largest weight, by dynamic programming."""
+    group = lat.group
     if len(group) == 1:
         return group if group[0].score > 0 else []
-    group = sorted(group, key=lambda s: s.end)
-    before = _previous(group)
-    value, chosen = [0.0], [[]]
-    for i, s in enumerate(group):
-        take = value[before[i]] + s.score
-        if take > value[i]:
-            value.append(take)
-            chosen.append([*chosen[before[i]], s])
+    value: list[float] = []  # of the best labelling whose last segment is this one
+    back: list[int] = []
+    top, top_at = [0.0], [-1]  # best value over the first k segments, nothing being one choice
+    for j, s in enumerate(group):
+        most, from_ = top[lat.far[j]], top_at[lat.far[j]]
+        for i, name in lat.near[j]:
+            v = value[i] + weights.get(name, 0.0)
+            if v > most:
+                most, from_ = v, i
+        value.append(most + s.score)
+        back.append(from_)
+        if value[j] > top[j]:
+            top.append(value[j])
+            top_at.append(j)
         else:
-            value.append(value[i])
-            chosen.append(chosen[i])
-    return chosen[-1]
-
-
-def marginals(group: list[Segment]) -> list[float]:
-    """Chance of each segment (in order of its end) under the field: sums over all sets that do not overlap."""
-    group.sort(key=lambda s: s.end)
-    before = _previous(group)
-    n = len(group)
-
-    def log_add(a: float, b: float) -> float:
-        m = max(a, b)
-        return m + math.log(math.exp(a - m) + math.exp(b - m))
-
-    forward = [0.0]
-    for i in range(n):
-        forward.append(log_add(forward[i], forward[before[i]] + group[i].score))
-    total = forward[n]
-    # chance by the derivative of the logarithm of the sum
-    weight = [0.0] * (n + 1)
-    weight[n] = 1.0
-    out = [0.0] * n
-    for i in range(n - 1, -1, -1):
-        take = weight[i + 1] * math.exp(min(0.0, forward[before[i]] + group[i].score - forward[i + 1]))
-        out[i] = take
-        weight[before[i]] += take
-        weight[i] += weight[i + 1] - take
+            top.append(top[j])
+            top_at.append(top_at[j])
+    out, at = [], top_at[-1]
+    while at >= 0:
+        out.append(group[at])
+        at = back[at]
+    return out[::-1]
+
+
+_NEVER = -1e9
+
+
+def _log_sum(values: list[float]) -> float:
+    m = max(values)
+    return m + math.log(sum(math.exp(v - m) for v in values)) if m > _NEVER else _NEVER
+
+
+def expected(lat: Lattice, scores: list[float], weights: dict[str, float]) -> tuple[list[float], dict[str, float]]:
+    """Chance of each segment, and expected number of each transition, over all labellings."""
+    n = len(scores)
+    ahead: list[float] = []  # logarithm of the summed weights of labellings that end with this segment
+    sums = [0.0]  # of those whose last segment is among the first k, or that are empty
+    for j in range(n):
+        ways = [sums[lat.far[j]]] + [ahead[i] + weights.get(name, 0.0) for i, name in lat.near[j]]
+        ahead.append(_log_sum(ways) + scores[j])
+        sums.append(_log_sum([sums[j], ahead[j]]))
+    total = sums[n]
+    # chance by the derivative of the logarithm of the sum: of a segment as the last so far, and of each sum
+    last, part = [0.0] * n, [0.0] * (n + 1)
+    part[n] = 1.0
+    chance = [0.0] * n
+    moves: dict[str, float] = {}
+    for j in range(n - 1, -1, -1):
+        if part[j + 1]:
+            share = math.exp(min(0.0, ahead[j] - sums[j + 1]))
+            last[j] += part[j + 1] * share
+            part[j] += part[j + 1] * (1.0 - share)
+        chance[j] = last[j]
+        if last[j] <= 0.0:
+            continue
+        whole = ahead[j] - scores[j]
+        part[lat.far[j]] += last[j] * math.exp(min(0.0, sums[lat.far[j]] - whole))
+        for i, name in lat.near[j]:
+            p = last[j] * math.exp(min(0.0, ahead[i] + weights.get(name, 0.0) - whole))
+            last[i] += p
+            moves[name] = moves.get(name, 0.0) + p
     del total
-    return out
+    return chance, moves
 
 
 def _score(group: list[Segment], weights: dict[str, float]) -> None:
@@ -309,31 +371,56 @@ def _score(group: list[Segment], weights: dict[str, float]) -> None:
         s.score = sum(weights.get(f, 0.0) for f in s.names)
 
 
+def _gold(group: list[Segment]) -> list[Segment]:
+    """Of segments labelled 1 the longest ones that do not overlap."""
+    gold: list[Segment] = []
+    for s in sorted(group, key=lambda s: s.start - s.end):
+        if s.weak == 1 and all(s.end <= o.start or s.start >= o.end for o in gold):
+            gold.append(s)
+    return gold
+
+
 def fit(texts: list[str], passes: int = PASSES, rate: float = 0.3, decay: float = 1e-4) -> dict[str, float]:
-    """Weights that make the weak labels of the texts likely; clusters with an unlabelled segment are left out."""
-    groups: list[tuple[list[Segment], list[float]]] = []
+    """Weights that make the weak labels of the texts likely.
+
+    Segments labelled 1 are held to be in, those labelled 0 or crossing one labelled 1 to be
+    out, the others are free: the weights move by the difference between what is expected
+    under these ties and without them.
+    """
+    groups: list[tuple[Lattice, list[int | None]]] = []
     for t in texts:
         for g in clusters(segments(t)):
-            g.sort(key=lambda s: s.end)
-            gold: list[Segment] = []
-            for s in sorted(g, key=lambda s: s.start - s.end):
-                if s.weak == 1 and all(s.end <= o.start or s.start >= o.end for o in gold):
-                    gold.append(s)
-            if any(s.weak is None and all(s.end <= o.start or s.start >= o.end for o in gold) for s in g):
-                continue
-            groups.append((g, [1.0 if s in gold else 0.0 for s in g]))
+            lat = lattice(g, t)
+            gold = _gold(lat.group)
+            held = [1 if s in gold else 0 if s.weak is not None or any(s.start < o.end and o.start < s.end for o in gold) else None for s in lat.group]
+            if any(y is not None for y in held):
+                groups.append((lat, held))
     weights: dict[str, float] = {}
     power: dict[str, float] = {}
+
+    def move(name: str, by: float) -> None:
+        step = by - decay * weights.get(name, 0.0)
+        power[name] = power.get(name, 1e-8) + step * step
+        weights[name] = weights.get(name, 0.0) + rate * step / math.sqrt(power[name])
+
     for _ in range(passes):
-        for g, truth in groups:
-            _score(g, weights)
-            for s, p, y in zip(g, marginals(g), truth, strict=True):
-                if abs(y - p) < 1e-3:
-                    continue
-                for f in s.names:
-                    step = (y - p) - decay * weights.get(f, 0.0)
-                    power[f] = power.get(f, 1e-8) + step * step
-                    weights[f] = weights.get(f, 0.0) + rate * step / math.sqrt(power[f])
+        for lat, held in groups:
+            _score(lat.group, weights)
+            scores = [s.score for s in lat.group]
+            if len(scores) == 1:
+                own = [1 / (1 + math.exp(-max(-30.0, min(30.0, scores[0]))))], {}
+                tied = [float(held[0])], {}
+            else:
+                own = expected(lat, scores, weights)
+                tied = expected(lat, [x + 50.0 if y == 1 else _NEVER if y == 0 else x for x, y in zip(scores, held, strict=True)], weights)
+            for s, p, y in zip(lat.group, own[0], tied[0], strict=True):
+                if abs(y - p) >= 1e-3:
+                    for f in s.names:
+                        move(f, y - p)
+            for name in own[1].keys() | tied[1].keys():
+                by = tied[1].get(name, 0.0) - own[1].get(name, 0.0)
+                if abs(by) >= 1e-3:
+                    move(name, by)
     return {f: w for f, w in weights.items() if abs(w) > 1e-6}
 
 
@@ -349,7 +436,7 @@ def spans(text: str | None, weights: dict[str, float]) -> list[Segment]:
     out = []
     for g in clusters(segments(text)):
         _score(g, weights)
-        out += best(g)
+        out += best(lattice(g, text) if len(g) > 1 else Lattice(g, [], []), weights)
     return sorted(out, key=lambda s: s.start)
 
 

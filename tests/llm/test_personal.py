@@ -59,19 +59,46 @@ def allowed(group):
                 yield chosen
 
 
-def test_dynamic_program_against_all_sets():
+def weight_of(chosen, text, moves):
+    chosen = sorted(chosen, key=lambda s: s.start)
+    names = [P.between(a, b, text[a.end : b.start]) for a, b in itertools.pairwise(chosen) if b.start - a.end <= P.NEAR]
+    return sum(s.score for s in chosen) + sum(moves.get(n, 0.0) for n in names), names
+
+
+def test_dynamic_programs_against_all_labellings():
     rng = random.Random(4)
     for _ in range(150):
+        text = "".join(rng.choice("a ,;\n<") for _ in range(90))
         group = []
         for _ in range(rng.randrange(1, 8)):
-            start = rng.randrange(20)
-            group.append(P.Segment(start, start + rng.randrange(1, 8), "name", "x", score=rng.uniform(-2, 3)))
-        total = max(sum(s.score for s in c) for c in allowed(group))
-        assert sum(s.score for s in P.best(list(group))) == pytest.approx(total)
-        chances = P.marginals(group)
-        whole = sum(math.exp(sum(s.score for s in c)) for c in allowed(group))
-        for s, p in zip(group, chances):
-            assert p == pytest.approx(sum(math.exp(sum(x.score for x in c)) for c in allowed(group) if s in c) / whole)
+            start = rng.randrange(75)
+            group.append(P.Segment(start, start + rng.randrange(1, 14), rng.choice(["name", "email"]), "x", score=rng.uniform(-2, 3)))
+        moves = {f"{a}>{b}{c}": rng.uniform(-3, 3) for a in ("name", "email") for b in ("name", "email") for c in ("", "w", ",", ";", "\n", "<")}
+        lat = P.lattice(group, text)
+        all_of = [(c, *weight_of(c, text, moves)) for c in allowed(group)]
+        assert weight_of(P.best(lat, moves), text, moves)[0] == pytest.approx(max(w for _, w, _ in all_of))
+        chances, counts = P.expected(lat, [s.score for s in lat.group], moves)
+        whole = sum(math.exp(w) for _, w, _ in all_of)
+        for s, p in zip(lat.group, chances, strict=True):
+            assert p == pytest.approx(sum(math.exp(w) for c, w, _ in all_of if any(x is s for x in c)) / whole)
+        for name in {n for _, _, names in all_of for n in names}:
+            assert counts.get(name, 0.0) == pytest.approx(sum(math.exp(w) * names.count(name) for _, w, names in all_of) / whole)
+
+
+def test_neighbours_bear_on_each_other():
+    """What follows a person closely is learned: the same span counts behind a name and not alone."""
+    names = ["Ines Varga", "Tom Hale", "Mara Berg", "Otto Stone", "Lena Moss", "Ravi Lind"]
+    texts = [f"Thanks to {n} <{n.split()[0].lower()}.{i}@host.example> for the patch." for i in range(20) for n in names]
+    weights = P.fit(texts, passes=4)
+    assert any(k.startswith("name>email") and v > 0.1 for k, v in weights.items())
+
+
+def test_long_segments_and_far_windows(weights):
+    local = "a" * 400
+    text = f"Mail bounced for {local}[at]host.example today."
+    assert [(s.kind, text[s.start : s.end]) for s in P.spans(text, weights)] == [("email", f"{local}[at]host.example")]
+    many = "jane at " + " dot ".join(f"part{i}" for i in range(60)) + " dot org today"
+    assert [m.span() for m in P._around(P._HIDDEN, many, many, P._HIDDEN_ANCHOR, 130, 130)] == [m.span() for m in P._HIDDEN.finditer(many)]
 
 
 def test_positions_in_code_points(spark, weights):
