@@ -234,6 +234,7 @@ def segments(text: str) -> list[Segment]:
         line = not left.rsplit("\n", 1)[-1].strip() and text[m.end() : m.end() + 1] in ("", "\n", "\r")
         more = ["cue" if cue else "none", "small" if small else "large", "heading" if heading else "text", *[f"w{w.lower()}" for w in words if len(w) > 1], f"s{words[-1].lower()[-4:]}"]
         add(m.start(), m.end(), "name", form, weak, *more, *(["line"] if line else []))
+        at = m.start() + len(words[0])  # the next word may begin a name too; which of them counts is the field's to decide
     for m in _around(_SMALL, text, low, (*_PERSON_WORDS, " wrote on "), 70, 90):
         which = 1 if m.group(1) else 2
         words = m.group(which).split()

@@ -136,3 +136,44 @@ def test_identity_numbers_are_all_searched(cue):
         whole = [m.span() for m in P._ID_CUED.finditer(text)]
         assert [m.span() for m in P._around(P._ID_CUED, text, text.lower(), P._ID_FIRST, 30, 100)] == whole, text
         assert whole, text
+
+
+UNSEEN = [
+    ("A big thanks to {name}, who found it before the freeze.", "name"),
+    ("It was reported by {name} on the list and closed at once.", "name"),
+    ("We spoke with {name} on the phone about it.", "name"),
+    ("Written by {name} in a hurry, so check it.", "name"),
+    ("The invoice was returned to {address}, unopened.", "address"),
+    ("The old office at {address} is closed.", "address"),
+    ("You can reach the night shift under {phone} until six.", "phone"),
+    ("Please text {phone} before the window opens.", "phone"),
+    ("Bounces go to {email} and nowhere else.", "email"),
+    ("The form was filled in by {email} last week.", "email"),
+    ("His passport number is {id_number} according to the form.", "id_number"),
+    ("The DNI {id_number} was in the fixture.", "id_number"),
+]
+
+
+def test_held_out_sentences(data):
+    """Fitted on the weak labels of real texts; sentences and values are of other forms than those."""
+    import pyarrow.parquet as pq
+
+    weights = P.fit([t for t in pq.read_table(f"{data}/documents.parquet", columns=["text"])["text"].to_pylist() if t][:400])
+    rng = random.Random(3)
+    first, last = ["Aino", "Bruno", "Chiara", "Derya", "Emil", "Femke"], ["Okafor", "Lindqvist", "Moreau", "Castellan", "Weiss", "Tanaka"]
+    make = {
+        "name": lambda: f"{rng.choice(first)} {rng.choice(last)}",
+        "address": lambda: f"{rng.randrange(1, 300)} {rng.choice(['Copper', 'Harbour', 'Willow'])} {rng.choice(['Street', 'Road', 'Lane'])}, {rng.choice(['Brookton', 'Eastmoor'])}",
+        "phone": lambda: rng.choice([f"+49 30 {rng.randrange(10**6, 10**7)}", f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", f"+33 6 {rng.randrange(10, 99)} {rng.randrange(10, 99)} {rng.randrange(10, 99)} {rng.randrange(10, 99)}"]),
+        "email": lambda: f"{rng.choice(first).lower()}.{rng.choice(last).lower()}@{rng.choice(['corp', 'labs'])}.example",
+        "id_number": lambda: f"{rng.choice('XYZ')}{rng.randrange(10**6, 10**7)}{rng.choice('ABCDE')}",
+    }
+    found = dict.fromkeys(P.KINDS, 0)
+    tries = dict.fromkeys(P.KINDS, 0)
+    for sentence, kind in UNSEEN:
+        for _ in range(20):
+            value = make[kind]()
+            text = sentence.format(**{kind: value})
+            tries[kind] += 1
+            found[kind] += any(s.kind == kind and text[s.start : s.end] == value for s in P.spans(text, weights))
+    assert {k: found[k] >= 0.9 * tries[k] for k in P.KINDS} == dict.fromkeys(P.KINDS, True), (found, tries)
