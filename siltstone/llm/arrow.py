@@ -12,8 +12,18 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from siltstone.session import ensure_importable
 
 
-#: Nodes of a plan that move rows; a plan without them only reads.
-_MOVES = ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "Limit")
+#: Nodes of a logical plan that only read, choose and compute columns of rows where they are.
+_READS = {"LogicalRelation", "Relation", "DataSourceV2Relation", "DataSourceV2ScanRelation", "LogicalRDD", "LocalRelation", "Project", "Filter", "SubqueryAlias", "Range"}
+
+
+def _nodes(plan) -> Iterator[str]:
+    """Names of the nodes of a logical plan."""
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        yield node.nodeName().split(" ")[0]
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -22,7 +32,7 @@ def spread(df: DataFrame) -> DataFrame:
     Only a small input is read in so few partitions, so only a small input is moved.
     """
     execution = df._jdf.queryExecution()
-    if any(move in execution.optimizedPlan().toString() for move in _MOVES):
+    if not _READS.issuperset(_nodes(execution.optimizedPlan())):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df

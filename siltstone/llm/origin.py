@@ -34,7 +34,6 @@ THIRD_PARTY_DIRECTORIES = ["bower_components", "contrib", "deps", "external", "n
 
 _TOKEN = re.compile(r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|[^\W\d]\w*|\d[\w.]*|[^\w\s]')
 _DIGITS = re.compile(r"\d+")
-_STRING = re.compile(r"\"([^\"\s]{120,})\"|'([^'\s]{120,})'")
 _STRING = re.compile(r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'')
 _COMMENT_LINE = re.compile(r"\s*(?://+|#(?!\s*include\b)|--|;|/\*+!?|\*+/?|<!--|\"\"\"|%)\s?(.*)")
 _GENERATED = re.compile(

@@ -14,6 +14,7 @@ import os
 
 import numpy as np
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,8 +155,12 @@ def token_sizes(df: DataFrame, text: str, keep: list[str], vocabulary: str = DEF
     types = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_tokens bigint", "n_words bigint"])
 
+    context = df.sparkSession.sparkContext
+    if not context.master.startswith("local"):
+        context.addFile(vocabulary)  # workers need not have it
+
     def make():
-        count = counter(vocabulary).counts
+        count = counter(vocabulary if os.path.exists(vocabulary) else SparkFiles.get(os.path.basename(vocabulary))).counts
 
         def work(texts, *kept):
             words = [len(t.split()) if t else 0 for t in texts]
