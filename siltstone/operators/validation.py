@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,3 +63,20 @@ def validate_generated(records: DataFrame, content: str = "content") -> DataFram
     out = records.drop("validation", "rejection_reason").withColumn("_code", code).withColumn("_valid", all_parse(F.col("_code")))
     made = F.struct(F.col("_valid").alias("syntax_valid"), kind.alias("syntax_check"), F.lit(False).alias("correctness_verified"), checked.alias("execution_checked"), deterministic.alias("trace_deterministic"))
     return out.withColumn("validation", made).withColumn("rejection_reason", reason).drop("_code", "_valid")
+
+
+_BLOCKS = re.compile(r"```(?:python|py)\s*\n(.*?)```", re.DOTALL)
+_SECRET = re.compile(r"(?:api[_-]?key|secret|password|token)\s*[:=]\s*['\"][^'\"]{8,}['\"]|AKIA[0-9A-Z]{16}", re.IGNORECASE)
+
+
+def worker_reason(record: dict) -> str | None:
+    """What validate_generated() would say of one record, for a worker that is to try again at once."""
+    text, method = record.get("content"), record.get("method")
+    if method == "codetrace" and not record.get("mock") and not (record.get("execution_checked") and record.get("trace_deterministic")):
+        return "missing_runtime_trace_evidence"
+    if text is None or not text.strip() or "\x00" in text:
+        return "malformed"
+    if _SECRET.search(text):
+        return "secret"
+    code = _BLOCKS.findall(text) if method in WRAPPED else [text] if record.get("language") == "Python" else []
+    return None if all(map(parses, code)) else "syntax_invalid"

@@ -2,32 +2,31 @@
 
 from __future__ import annotations
 
+import argparse
 import json
-import os
-from collections.abc import Callable
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import filters, statistics, trace
-from siltstone.operators.generation import MODEL_VERSIONS, Client, generate_batch, generate_mock
+from siltstone.operators.generation import MODEL_VERSIONS, Client, generate_mock, generate_real
 from siltstone.operators.quotas import COHORT_METHOD, cohort
 from siltstone.operators.validation import validate_generated
-from siltstone.plans.pipeline import Options, clean
-from siltstone.session import cut
+from siltstone.plans.pipeline import Options, add_model_arguments, clean, client_of
+from siltstone.session import build_session, cut
+from siltstone.sources import files
+from siltstone.sources.jsonl import read_jsonl
 
 FIRST, SECOND = MODEL_VERSIONS
 
 
-def attempts(documents: DataFrame, order: list[str], limit: int, client: Client | None = None, check: Callable[[dict], str | None] = lambda record: None, retries: int = 2) -> tuple[DataFrame, DataFrame]:
+def attempts(documents: DataFrame, order: list[str], limit: int, client: Client | None = None, retries: int = 2, concurrency: int = 2) -> tuple[DataFrame, DataFrame]:
     """Parents, and one record per parent and model with its rejection_reason; without a client in mock mode."""
     parents = cut(cohort(documents, order, limit))
     asked = parents.drop("model", "method").withColumn("model", F.explode(F.array(F.lit(FIRST), F.lit(SECOND)))).withColumn("method", F.lit(COHORT_METHOD))
     if client is None:
         return parents, cut(validate_generated(generate_mock(asked)))
-    made = cut(generate_batch(asked.withColumn("parent_document_id", F.col("document_id").cast("string")), client, check, retries))
-    judged = validate_generated(made)
+    judged = validate_generated(generate_real(asked, client, retries=retries, concurrency=concurrency))
     return parents, cut(judged.withColumn("rejection_reason", F.coalesce("error", "rejection_reason")))
 
 
@@ -63,15 +62,35 @@ def summarise(parents: DataFrame, records: DataFrame, requested: int, rejected:
     }
 
 
-def run(documents: DataFrame, order: list[str], output: str, limit: int = 1000, options: Options | None = None, client: Client | None = None, retries: int = 2) -> dict:
+def run(documents: DataFrame, order: list[str], output: str, limit: int = 1000, options: Options | None = None) -> dict:
     """Cleans, samples, generates and compares; writes records per model, failures and summary.json, over earlier ones."""
+    options = options or Options()
+    options.check()
+    spark = documents.sparkSession
     judged = cut(clean(documents, order, options))
-    parents, records = attempts(filters.accepted(judged), order, limit, client, retries=retries)
-    os.makedirs(output, exist_ok=True)
+    parents, records = attempts(filters.accepted(judged), order, limit, options.client, options.retries, options.concurrency)
+    files.make_folder(spark, output)
     for model in MODEL_VERSIONS:
         records.where((F.col("model") == model) & F.col("rejection_reason").isNull()).drop("rejection_reason").write.mode("overwrite").json(f"{output}/{model}")
     failed = records.where("rejection_reason is not null").select("parent_document_id", "model", "method", F.col("rejection_reason").alias("error"))
     failed.write.mode("overwrite").json(f"{output}/failures")
-    summary = summarise(parents, records, limit, judged.where("rejection_reason is not null").count(), "mock" if client is None else "real")
-    Path(output, "summary.json").write_text(json.dumps(summary, indent=2) + "\n", encoding="utf-8")
+    summary = summarise(parents, records, limit, judged.where("rejection_reason is not null").count(), options.mode)
+    files.write_text(spark, f"{output}/summary.json", json.dumps(summary, indent=2) + "\n", overwrite=True)
     return summary
+
+
+def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    parser = argparse.ArgumentParser(description="Compare both models on the same parents.")
+    parser.add_argument("--input", required=True)
+    parser.add_argument("--output", required=True)
+    parser.add_argument("--documents", type=int, default=1000)
+    add_model_arguments(parser)
+    given = parser.parse_args(arguments)
+    options = Options(mode=given.mode, client=client_of(given), retries=given.retries, concurrency=given.concurrency)
+    spark = spark or build_session()
+    run(read_jsonl(spark, given.input), ["document_id"], given.output, given.documents, options)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

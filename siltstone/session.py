@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_TABLES: list[str] = []
+
+
+def _remove_tables() -> None:
+    """Takes the tables of stored() away at the end of the program, where the session still lives."""
+    spark = SparkSession.getActiveSession()
+    while spark is not None and _TABLES:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the session is gone: nothing can be removed through it any more
+            return
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder, computed once.
+
+    Unlike cut() its readers read only the columns they need, and Spark knows its size, so
+    that a small one is broadcast and a large one is not.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _TABLES:
+        atexit.register(_remove_tables)
+    _TABLES.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A plain scan over all cores where it has fewer partitions than cores; only a small input has so few."""
     cores = scan.sparkSession.sparkContext.defaultParallelism

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, datetime
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
+from siltstone.sources import files
 
 #: The only fields an audit may hold: never a text (fixed values).
 AUDIT_FIELDS = ["document_id", "parent_document_id", "model", "method", "quality_signals", "rejection_reason", "rejection_signal", "rejection_value", "rejection_threshold", "error"]
@@ -45,22 +45,20 @@ def write_manifest(manifest: DataFrame, path: str, **more: object) -> dict:
     """The single row of a manifest, further fields and the time, as a JSON file that must not exist."""
     row = json.loads(manifest.toJSON().first())
     body = {"created_at_utc": datetime.now(UTC).isoformat(), "token_count_method": "whitespace_estimate_not_model_tokens", **row, **more}
-    with Path(path).open("x", encoding="utf-8") as f:
-        json.dump(body, f, indent=2, ensure_ascii=False)
-        f.write("\n")
+    files.write_text(manifest.sparkSession, path, json.dumps(body, indent=2, ensure_ascii=False) + "\n")
     return body
 
 
 class RunStatus:
     """A JSON file beside the output that tells whether a run goes on, has ended, failed or was broken off."""
 
-    def __init__(self, output: str):
-        self.path = Path(f"{output}.status.json")
-        if Path(output).exists():
+    def __init__(self, spark: SparkSession, output: str):
+        self.spark, self.path = spark, f"{output.rstrip('/')}.status.json"
+        if files.exists(spark, output):
             raise FileExistsError(output)
 
     def _write(self, state: str, **more: object) -> None:
-        self.path.write_text(json.dumps({"state": state, "time_utc": datetime.now(UTC).isoformat(), **more}) + "\n", encoding="utf-8")
+        files.write_text(self.spark, self.path, json.dumps({"state": state, "time_utc": datetime.now(UTC).isoformat(), **more}) + "\n", overwrite=True)
 
     def __enter__(self) -> RunStatus:
         self._write("running")

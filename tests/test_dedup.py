@@ -100,9 +100,9 @@ def test_cross_dedup_against_brute_force(spark):
 EVAL = ["short text", "a passage of evaluation text that is longer than forty characters", "x" * 39, "y" * 40, None, "  "]
 
 
-@pytest.mark.parametrize("sent", [2000, 0])
-def test_decontamination_by_both_ways(spark, monkeypatch, sent):
-    monkeypatch.setattr(D, "SENT_TEXTS", sent)
+@pytest.mark.parametrize("block", [8_000_000, 1])
+def test_decontamination_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(D, "BLOCK_CHARACTERS", block)
     texts = ["short text", "has short text inside", "pre a passage  of evaluation\ntext that is longer than forty characters post", "A passage of evaluation text that is longer than forty characters", "x" * 39, "z" + "x" * 39, "z" + "y" * 41, None, "", " short   text "]
     docs = spark.createDataFrame(list(enumerate(texts)), "i int, content string")
     evaluation = spark.createDataFrame([(t,) for t in EVAL], "content string")
@@ -110,3 +110,33 @@ def test_decontamination_by_both_ways(spark, monkeypatch, sent):
     assert {i for i, r in out.items() if r == D.REASON} == {0, 2, 4, 6, 9} and len(out) == len(texts)
     assert D.drop_evaluation_matches(docs, evaluation, "i").count() == len(texts) - 5
     assert D.drop_evaluation_matches(docs, evaluation.limit(0), "i").count() == len(texts)
+
+
+def test_parts_against_plain_search():
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("ab c") for _ in range(n))
+    head = line(60)
+    texts = [head + line(rng.choice([0, 5, 80])) for _ in range(30)] + [line(rng.choice([3, 39, 40, 41, 200])) for _ in range(30)]
+    index = D.PartIndex(texts)
+    for _ in range(300):
+        t = line(rng.randrange(90))
+        if rng.random() < 0.5:
+            part = rng.choice(texts)
+            part = part if rng.random() < 0.7 else part[: rng.randrange(1, len(part) + 1)]
+            at = rng.randrange(len(t) + 1)
+            t = t[:at] + part + t[at:]
+        assert index.held(t) == (t in texts or any(len(x) >= 40 and x in t for x in texts)), t
+
+
+def test_rolling_hashes_are_those_of_the_runs():
+    text = "añ🐛b" * 40
+    hashes = D.run_hashes(text)
+    assert len(hashes) == len(text) - 39
+    assert all(int(D.run_hashes(text[i : i + 40])[0]) == int(h) for i, h in enumerate(hashes))
+
+
+def test_no_cross_join_in_decontamination(spark):
+    docs = spark.createDataFrame([(1, "x")], "i int, content string")
+    out = D.decontaminate(docs, spark.createDataFrame([(t,) for t in EVAL], "content string"), "i")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -81,14 +81,14 @@ def test_shards_and_manifest(spark, tmp_path):
     assert [tuple(r) for r in R.sample_manifest(df, ["Go", "C"], 2).orderBy("language").collect()] == [("C", 0, 2), ("Go", 2, 0)]
 
 
-def test_run_status(tmp_path):
+def test_run_status(spark, tmp_path):
     out = str(tmp_path / "run")
-    with sinks.RunStatus(out):
+    with sinks.RunStatus(spark, out):
         assert json.loads((tmp_path / "run.status.json").read_text())["state"] == "running"
     assert json.loads((tmp_path / "run.status.json").read_text())["state"] == "finished"
-    with pytest.raises(ZeroDivisionError), sinks.RunStatus(out):
+    with pytest.raises(ZeroDivisionError), sinks.RunStatus(spark, out):
         _ = 1 / 0
     assert json.loads((tmp_path / "run.status.json").read_text())["state"] == "failed"
     (tmp_path / "run").mkdir()
     with pytest.raises(FileExistsError):
-        sinks.RunStatus(out)
+        sinks.RunStatus(spark, out)
