@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
-from siltstone.session import cut
+from siltstone.session import cut, ensure_importable, spread, stored
 
 #: Similarity from which texts are near duplicates, and that of the reference for those who ask for it.
 THRESHOLD, REFERENCE_THRESHOLD = 0.8, 0.92
 SALTS = 32
-#: Texts from which a shingle in a prefix counts as common, and common shingles that are set aside at most.
-COMMON_FROM, MOST_COMMON = 8, 100_000
+#: One text in COMMON_SAMPLE, chosen by hash, shows which shingles are common: those in the prefixes of COMMON_FROM of
+#: them or more, at most MOST_COMMON. Only the order of shingles, and so the speed, depends on it, never the result.
+COMMON_SAMPLE, COMMON_FROM, MOST_COMMON = 8, 2, 100_000
+#: Buckets in which the shingles of a text are counted, to tell pairs that cannot be similar without their shingles.
+BUCKETS = 256
 _EPS = 1e-9
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "content") -> DataFrame:
@@ -32,7 +44,7 @@ def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "co
     ranked = slim.withColumn("a", F.row_number().over(part)).withColumn("tie", (F.col("a") > 1) & (F.col("_k1") == F.first("_k1").over(part)) & (F.col("_k2") == F.first("_k2").over(part)))
     firsts = Window.partitionBy("content_hash", F.when(F.col("a") == 1, SALTS).otherwise(F.col("salt"))).orderBy("o")
     judged = ranked.withColumn("b", F.row_number().over(firsts)).where("a > 1 OR b > 1").select("content_hash", "_k1", "_k2", "tie")
-    losers = cut(judged)
+    losers = stored(judged)
     gone = losers.where("not tie").select("_k1", "_k2").distinct()
     kept = hashed.withColumns({"_k1": key[0], "_k2": key[1]}).join(gone, ["_k1", "_k2"], "left_anti")
     tied = losers.where("tie").select("content_hash").distinct()
@@ -42,33 +54,96 @@ def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "co
 
 
 def keyed(documents: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """key and text; a null text counts as empty."""
-    return documents.select(F.col(key).alias("key"), F.coalesce(F.col(content), F.lit("")).alias("text"))
+    """key and text of the rows with a text: a null text is like no other."""
+    return documents.where(F.col(content).isNotNull()).select(F.col(key).alias("key"), F.col(content).alias("text"))
 
 
-def prefix_length(n: Column, threshold: float) -> Column:
+def prefix_length(n: int, threshold: float) -> int:
     """Shingles, in any fixed order, among which any partner of the threshold shares one."""
-    return n - F.ceil(n * threshold - _EPS).cast("int") + 1
-
-
-def _shingle_hashes(text: Column) -> Column:
-    """Distinct 64-bit hashes of the shingles of a text, made from hashes of its tokens."""
-
-    def runs(h: Column) -> Column:
-        size = T.SHINGLE_TOKENS
-        run = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)])
-        return F.array_distinct(F.when(F.size(h) < size, F.array(F.xxhash64(h))).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - size, F.lit(0))), run)))
-
-    return T.let(F.transform(T.tokens(text), lambda t: F.xxhash64(t)), runs)
-
-
-def _prefixes(texts: DataFrame, threshold: float, common: list[int]) -> DataFrame:
-    """id, side, n, i, h: the first hashes of each text, those of common shingles after all others."""
-    rank = (lambda x: F.struct(x.isin(common).alias("late"), x.alias("h"))) if common else (lambda x: F.struct(F.lit(False).alias("late"), x.alias("h")))
-    ordered = texts.select(F.xxhash64("key").alias("id"), "side", _shingle_hashes(F.col("text")).alias("s"))
-    ordered = ordered.select("id", "side", F.size("s").alias("n"), F.sort_array(F.transform("s", rank)).alias("s"))
-    first = F.slice("s", 1, prefix_length(F.col("n"), threshold))
-    return ordered.select("id", "side", "n", F.posexplode(first).alias("i", "x")).select("id", "side", "n", "i", "x.h")
+    return n - math.ceil(n * threshold - _EPS) + 1
+
+
+class Hasher:
+    """Distinct 64-bit hashes of the shingles of texts, sorted; remembers the hashes of tokens."""
+
+    def __init__(self):
+        self.memory: dict[str, int] = {}
+
+    def _token(self, t: str) -> int:
+        if len(self.memory) > 500_000:
+            self.memory.clear()
+        digest = hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        h = self.memory[t] = int.from_bytes(digest, "little")
+        return h
+
+    def hashes(self, text: str) -> np.ndarray:
+        """Fewer tokens than a shingle has are one run; no tokens are the empty run."""
+        tokens, size = _TOKEN.findall(text), T.SHINGLE_TOKENS
+        known, make = self.memory.get, self._token
+        of = np.array([known(t) or make(t) for t in tokens], np.uint64)
+        with np.errstate(over="ignore"):
+            if len(of) < size:
+                h = np.full(1, len(of), np.uint64)
+                for x in of:
+                    h = h * _BASE + x
+            else:
+                h = of[: len(of) - size + 1]
+                for k in range(1, size):
+                    h = h * _BASE + of[k : len(of) - size + 1 + k]
+            # spreads the sums over all numbers, so that their order is no order of texts
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(31)
+        return np.unique(h.view(np.int64))
+
+
+def bucket_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes fall in each bucket, in bytes that wrap around."""
+    return np.bincount(hashes.view(np.uint64) & np.uint64(BUCKETS - 1), minlength=BUCKETS).astype(np.uint8).view(np.int8)
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts) if parts else np.zeros(0), type=kind))
+
+
+def _hashed(texts: DataFrame, threshold: float | None = None, common: np.ndarray | None = None) -> DataFrame:
+    """id, side, n, s of each text: all its hashes, or with a threshold those of its prefix, common ones last, and its buckets."""
+    ensure_importable(texts.sparkSession)
+    late = np.zeros(0, np.int64) if common is None else np.sort(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            lists, counts, sizes = [], [], []
+            for text in batch.column(2).to_pylist():
+                h = hasher.hashes(text)
+                sizes.append(len(h))
+                if threshold is not None:
+                    counts.append(bucket_counts(h))
+                    if len(late):
+                        at = np.searchsorted(late, h)
+                        at[at == len(late)] = 0
+                        held = late[at] == h
+                        h = np.concatenate([h[~held], h[held]])
+                    h = h[: prefix_length(len(h), threshold)]
+                lists.append(h)
+            arrays = [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), _lists(lists, pa.int64())]
+            names = ["id", "side", "n", "s"]
+            if threshold is not None:
+                arrays.append(_lists(counts, pa.int8()))
+                names.append("buckets")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    more = "" if threshold is None else ", buckets array<tinyint>"
+    return texts.select(F.xxhash64("key").alias("id"), "side", "text").mapInArrow(run, f"id bigint, side int, n int, s array<bigint>{more}")
+
+
+def _common(texts: DataFrame, threshold: float) -> np.ndarray:
+    some = _hashed(texts.where(F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(COMMON_SAMPLE)) == 0), threshold)
+    counted = some.select(F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") >= COMMON_FROM)
+    rows = counted.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()
+    return np.array([r["h"] for r in rows], np.int64)
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -78,7 +153,7 @@ def _ids(pairs: DataFrame) -> DataFrame:
 def _scored(pairs: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """pairs of ids with the similarity of their sets s, and their keys where the sides have some."""
     renamed = lambda df, c: df.select(*[F.col(x).alias(x[0] + c) for x in ("id", "key", "s") if x in df.columns])
-    joined = pairs.join(renamed(first, "a").hint("shuffle_hash"), "ia").join(renamed(second, "b").hint("shuffle_hash"), "ib")
+    joined = pairs.join(renamed(first, "a"), "ia").join(renamed(second, "b"), "ib")
     joined = joined.withColumn("shared", F.size(F.array_intersect("sa", "sb")))
     score = F.col("shared").cast("double") / F.greatest(F.size("sa") + F.size("sb") - F.col("shared"), F.lit(1)).cast("double")
     return joined.withColumn("similarity", score).drop("sa", "sb", "shared")
@@ -90,33 +165,51 @@ def similar_pairs(texts: DataFrame, threshold: float, other: DataFrame | None =
     texts: keyed(). Within texts a < b; with other (whose keys differ), a is from texts and b
     from other. In whatever order all shingles are put, pairs that can reach the threshold
     share one of their first shingles, at places that leave room for the shared part; only
-    those meet. The order is that of the hashes, so it needs no counts; shingles seen to be
-    common come last, which keeps them out of the joins and changes no result. Each pair that
-    meets is verified on its whole sets of shingles. Between stages only hashes are kept.
+    those meet. The order is that of the hashes, those seen to be common last, which keeps
+    them out of the join and changes no result. Of pairs that met, the counts of shingles per
+    bucket give a least number of shingles in which they differ; pairs that differ too much
+    by that need no shingles. What is left, as a rule few, is verified on whole sets of
+    hashes, then on the shingles themselves. Between stages only hashes are kept.
     """
     side = texts.withColumn("side", F.lit(0))
     both = side if other is None else side.unionByName(other.withColumn("side", F.lit(1)))
-    counted = _prefixes(both, threshold, []).groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") >= COMMON_FROM)
-    common = [r["h"] for r in counted.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()]
-    prefix = _prefixes(both, threshold, common)
-    a = prefix.where("side = 0").select(F.col("id").alias("ia"), F.col("n").alias("na"), F.col("i").alias("pa"), "h")
-    b = prefix.where(F.col("side") == (0 if other is None else 1)).select(F.col("id").alias("ib"), F.col("n").alias("nb"), F.col("i").alias("pb"), "h")
-    order = F.col("ia") < F.col("ib") if other is None else F.lit(True)
-    fits = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - _EPS
-    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - _EPS
-    met = cut(a.join(b.hint("shuffle_hash"), "h").where(order & fits & room).select("ia", "ib").distinct())
-    hashes = both.select(F.xxhash64("key").alias("id"), _shingle_hashes(F.col("text")).alias("s")).join(_ids(met), "id", "left_semi")
-    close = _scored(met, hashes, hashes).where(F.col("similarity") >= threshold - _EPS).select("ia", "ib")
-    close = cut(close)
-    sets = both.withColumn("id", F.xxhash64("key")).join(_ids(close), "id", "left_semi").select("id", "key", "side", T.shingles(T.tokens(F.col("text"))).alias("s"))
-    second = sets.where(F.col("side") == (0 if other is None else 1))
-    found = _scored(close, sets.where("side = 0"), second).where(F.col("similarity") >= threshold)
+    prefixes = stored(_hashed(spread(both), threshold, _common(both, threshold)))
+    rows = prefixes.select("id", "side", "n", F.posexplode("s").alias("i", "h"))
+    last = 0 if other is None else 1
+    a, b = rows.where("side = 0").drop("side"), rows.where(F.col("side") == last).drop("side")
+    a, b = a.alias("a"), b.alias("b")
+    order = F.col("a.id") < F.col("b.id") if other is None else F.lit(True)
+    na, nb, pa_, pb = (F.col(x) for x in ("a.n", "b.n", "a.i", "b.i"))
+    fits = F.least(na, nb) >= threshold * F.greatest(na, nb) - _EPS
+    room = F.least(na - pa_, nb - pb) >= threshold / (1 + threshold) * (na + nb) - _EPS
+    met = stored(a.join(b, F.col("a.h") == F.col("b.h")).where(order & fits & room).select(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).distinct())
+    close = stored(_not_too_far(met, prefixes.where("side = 0"), prefixes.where(F.col("side") == last), threshold))
+    wanted = stored(_ids(close))
+    hashes = stored(_hashed(both.withColumn("id", F.xxhash64("key")).join(wanted, "id", "left_semi")))
+    close = _scored(close, hashes.where("side = 0"), hashes.where(F.col("side") == last)).where(F.col("similarity") >= threshold - _EPS).select("ia", "ib")
+    close = stored(close)
+    sets = both.withColumn("id", F.xxhash64("key")).join(stored(_ids(close)), "id", "left_semi").select("id", "key", "side", T.shingles(T.tokens(F.col("text"))).alias("s"))
+    found = _scored(close, sets.where("side = 0"), sets.where(F.col("side") == last)).where(F.col("similarity") >= threshold)
     if other is not None:
         return found.select(F.col("ka").alias("a"), F.col("kb").alias("b"), "similarity")
     swap = F.col("ka") > F.col("kb")
     return found.select(F.when(swap, F.col("kb")).otherwise(F.col("ka")).alias("a"), F.when(swap, F.col("ka")).otherwise(F.col("kb")).alias("b"), "similarity")
 
 
+def _not_too_far(met: DataFrame, first: DataFrame, second: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose bucket counts do not rule the threshold out.
+
+    Sets of the similarity t differ in at most (1 - t) / (1 + t) of the sum of their sizes. A
+    bucket with so many more shingles on one side holds at least as many that differ; counts
+    wrap around, so the shorter way round is taken.
+    """
+    side = lambda df, c: df.select(F.col("id").alias(f"i{c}"), F.col("n").alias(f"n{c}"), F.col("buckets").alias(f"u{c}"))
+    joined = met.join(side(first, "a"), "ia").join(side(second, "b"), "ib")
+    gap = lambda x, y: F.pmod(x.cast("int") - y.cast("int"), F.lit(256))
+    apart = F.aggregate(F.zip_with("ua", "ub", lambda x, y: F.least(gap(x, y), F.lit(256) - gap(x, y))), F.lit(0), lambda n, x: n + x)
+    return joined.where(apart <= (1 - threshold) / (1 + threshold) * (F.col("na") + F.col("nb")) + _EPS).select("ia", "ib")
+
+
 def greedy_removed(pairs: DataFrame) -> DataFrame:
     """Keys that go when documents are taken in the order of their keys.
 

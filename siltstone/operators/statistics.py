@@ -35,11 +35,13 @@ def mcnemar_exact(only_first: int, only_second: int) -> float:
     return min(1.0, 2 * below / 2**n)
 
 
-def upper_median(values: str) -> Column:
-    """The middle value, the upper one of two; null without values. One counter per distinct value."""
-    n = F.count(values)
-    ordered = F.array_sort(F.collect_list(values))
-    return F.when(n > 0, F.element_at(ordered, F.floor(n / 2).cast("int") + 1))
+def upper_median(values: str, kind: str = "bigint") -> Column:
+    """The middle value, the upper one of two; null without values. One counter per distinct value.
+
+    The discrete median of the descending values is the upper one, and Spark's aggregate keeps
+    a count per value, added up before the shuffle. kind: the type of values.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{values}` DESC)").cast(kind)
 
 
 def by_language(documents: DataFrame) -> DataFrame:
@@ -65,7 +67,9 @@ def manifest(organic: DataFrame, synthetic: DataFrame, cohort_per_model: int = 1
     trace = F.lit(2 * cohort_per_model).cast("bigint")
     accepted = F.col("synthetic_documents") - F.col("codetrace_pilot_accepted_documents")
     short = lambda target, have: F.greatest(F.lit(0).cast("bigint"), target - have)
-    return first.join(F.broadcast(second), F.lit(True)).join(F.broadcast(branches), F.lit(True)).select(
+    parts = first.unionByName(second, allowMissingColumns=True).unionByName(branches, allowMissingColumns=True)
+    whole = parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
+    return whole.select(
         "organic_documents",
         "synthetic_documents",
         base.alias("base_synthetic_target_documents"),

@@ -34,18 +34,17 @@ def words_between_blanks(x: str) -> str:
 
 
 UNIQUE = f"""u AS (
-    SELECT *, sha256(content) AS content_hash FROM code_documents WHERE content IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY sha256(content) ORDER BY {ORDER}) = 1)"""
+    SELECT *, sha256(content) AS content_hash, row_number() OVER () AS rid FROM code_documents
+    QUALIFY content IS NULL OR row_number() OVER (PARTITION BY sha256(content) ORDER BY {ORDER}) = 1)"""
 CONTAMINATED = f"""e AS (SELECT DISTINCT {norm("content")} AS e FROM evaluation_documents WHERE {norm("content")} <> ''),
-    un AS (SELECT document_id, {norm("content")} AS t FROM u),
+    un AS (SELECT document_id, {norm("content")} AS t FROM u WHERE content IS NOT NULL),
     dirty AS (SELECT DISTINCT document_id FROM un JOIN e ON t = e OR (length(e) >= 40 AND contains(t, e)))"""
-ORGANIC = f"{UNIQUE}, {CONTAMINATED}, o AS (SELECT * FROM u WHERE document_id NOT IN (SELECT document_id FROM dirty))"
 
 
 def similar(source: str, threshold: float) -> str:
     """CTEs ending in pairs(a, b, similarity) over source(document_id, content)."""
     return f"""
-    tk AS (SELECT document_id, {tokens_of("content")} AS t FROM {source}),
+    tk AS (SELECT document_id, {tokens_of("content")} AS t FROM {source} WHERE content IS NOT NULL),
     sh AS (SELECT document_id, CASE WHEN len(t) < 5 THEN [array_to_string(t, ' ')] ELSE
             list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(list_slice(t, i, i + 4), ' '))) END AS s FROM tk),
     ex AS (SELECT document_id, len(s) AS n, unnest(s) AS g FROM sh),
@@ -90,7 +89,7 @@ def signals(source: str, key: str = "document_id") -> str:
     return f"""
     raw AS (SELECT {key}, content AS c, lower(coalesce(language, '')) AS l, {tokens_of("content")} AS t,
             regexp_extract_all(content, '[\\p{{L}}\\p{{N}}_]+') AS w, string_split_regex(content, {quoted(LINE_END)}) AS p,
-            {lexeme_lists("content", "lower(coalesce(language, ''))")} AS x FROM {source}),
+            {lexeme_lists("content", "lower(coalesce(language, ''))")} AS x FROM {source} WHERE content IS NOT NULL),
     lin AS (SELECT *, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS ln FROM raw),
     cut AS (SELECT *, list_filter(list_transform(ln, lambda q: regexp_replace(q, '^[{WS}]+|[{WS}]+$', '', 'g')), lambda q: q <> '') AS f FROM lin),
     sig AS (SELECT {key}, c, length(c) AS num_characters, strlen(c) AS num_bytes, len(w) AS num_words, len(ln) AS num_lines,
@@ -114,6 +113,10 @@ def malformed(x: str) -> str:
     return f"({x} IS NULL OR NOT regexp_matches({x}, '[^{WS}]') OR contains({x}, chr(0)))"
 
 
+#: Unique documents that are no malformed ones and hold no evaluation text.
+ORGANIC = f"{UNIQUE}, {CONTAMINATED}, o AS (SELECT * FROM u WHERE NOT {malformed('content')} AND document_id NOT IN (SELECT document_id FROM dirty))"
+
+
 VENDOR = "(coalesce(is_vendor, false) OR list_has_any(string_split(replace(lower(coalesce(nullif(file_path, ''), nullif(repo_path, ''), '')), '\\', '/'), '/'), ['vendor', 'node_modules', 'third_party', 'third-party']))"
 
 
@@ -202,26 +205,27 @@ TRACES = """tr AS (SELECT DISTINCT document_id, model, CASE WHEN contains(conten
     ev AS (SELECT *, coalesce(regexp_extract_all(t, '(?m)^TRACE:(IN|OUT|VAR|BRANCH|LOOP|ERR|TRANSFORM):', 1), []) AS events FROM tr)"""
 
 ORACLE: dict[str, str] = {
-    "exact_dedup": f"""WITH {UNIQUE} SELECT document_id, source_shard, content_hash FROM u
-        UNION ALL SELECT document_id, source_shard, NULL FROM code_documents WHERE content IS NULL""",
+    "exact_dedup": f"""WITH {UNIQUE} SELECT document_id, source_shard, content_hash FROM u""",
     "normalize_hash": f"SELECT doc_id, length({norm('text')})::INT AS n_characters, sha256({norm('text')}) AS hash FROM documents",
     "shingle_stats": f"""WITH t AS (SELECT document_id, {tokens_of("content")} AS t FROM evaluation_documents)
         SELECT document_id, len(t) AS n_tokens, len(CASE WHEN len(t) < 5 THEN [array_to_string(t, ' ')] ELSE
             list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(list_slice(t, i, i + 4), ' '))) END) AS n_shingles FROM t""",
     "near_dup_pairs": f"WITH {UNIQUE}, {similar('u', 0.8)} SELECT a, b, round(similarity, 9) AS similarity FROM pairs",
     "near_dedup": f"WITH RECURSIVE {UNIQUE}, {similar('u', 0.8)}, {GREEDY} SELECT document_id FROM u WHERE document_id NOT IN (SELECT k FROM gone)",
+    "near_dedup_generated": f"""WITH RECURSIVE s AS (SELECT document_id, any_value(content) AS content FROM synthetic_documents GROUP BY 1), {similar('s', 0.8)}, {GREEDY}
+        SELECT document_id FROM s WHERE document_id NOT IN (SELECT k FROM gone)""",
     "decontaminate": f"""WITH {UNIQUE}, {CONTAMINATED} SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM dirty) THEN 'evaluation_contamination' END AS rejection_reason FROM u""",
-    "quality_text_signals": f"WITH {UNIQUE}, {signals('u')} SELECT document_id, num_characters, num_bytes, num_words, num_lines, max_line_length, parse_supported FROM sig",
-    "quality_ratio_signals": f"""WITH {UNIQUE}, {signals("u")} SELECT document_id, {
+    "quality_text_signals": f"WITH {UNIQUE}, {signals('u', 'rid')} SELECT document_id, num_characters, num_bytes, num_words, num_lines, max_line_length, coalesce(parse_supported, false) AS parse_supported FROM u LEFT JOIN sig USING (rid)",
+    "quality_ratio_signals": f"""WITH {UNIQUE}, {signals("u", "rid")} SELECT document_id, {
         ", ".join(f"round({c}, 9) AS {c}" for c in ("mean_word_length", "mean_line_length", "replacement_character_fraction", "duplicate_line_fraction", "alphabetic_fraction", "numeric_fraction", "whitespace_fraction", "encoded_data_fraction"))
-    } FROM sig""",
-    "ngram_signals": f"WITH {UNIQUE}, {signals('u')} SELECT document_id, {', '.join(f'round(top_{k}gram_fraction, 9) AS top_{k}gram_fraction' for k in (2, 3, 4))} FROM sig",
-    "lexical_signals": f"WITH {UNIQUE}, {signals('u')} SELECT document_id, round(comment_fraction, 9) AS comment_fraction, round(long_string_fraction, 9) AS long_string_fraction FROM sig",
+    } FROM u LEFT JOIN sig USING (rid)""",
+    "ngram_signals": f"WITH {UNIQUE}, {signals('u', 'rid')} SELECT document_id, {', '.join(f'round(top_{k}gram_fraction, 9) AS top_{k}gram_fraction' for k in (2, 3, 4))} FROM u LEFT JOIN sig USING (rid)",
+    "lexical_signals": f"WITH {UNIQUE}, {signals('u', 'rid')} SELECT document_id, round(comment_fraction, 9) AS comment_fraction, round(long_string_fraction, 9) AS long_string_fraction FROM u LEFT JOIN sig USING (rid)",
     "text_screens": f"SELECT document_id, source_shard, {malformed('content')} AS malformed, {VENDOR} AS vendor, {generated('content')} AS generated, {secret('content')} AS secret FROM code_documents",
-    "quality_rejections": f"""WITH {UNIQUE}, {signals("u")} SELECT document_id, {", ".join(f"{judged(p, RULES)} AS rejection_{p}" for p in ("reason", "signal", "value", "threshold"))}
-        FROM sig JOIN u USING (document_id)""",
+    "quality_rejections": f"""WITH {UNIQUE}, {signals("u", "rid")} SELECT document_id, {", ".join(f"{judged(p, RULES)} AS rejection_{p}" for p in ("reason", "signal", "value", "threshold"))}
+        FROM u LEFT JOIN sig USING (rid)""",
     "rejection_summary": f"""WITH d AS (SELECT doc_id::VARCHAR AS document_id, text AS content, lang AS language FROM documents), {signals("d")}
-        SELECT coalesce({judged("reason", PROSE_RULES, "false")}, 'accepted') AS reason, count(*) AS n_documents FROM sig GROUP BY 1""",
+        SELECT coalesce({judged("reason", PROSE_RULES, "false")}, 'accepted') AS reason, count(*) AS n_documents FROM d LEFT JOIN sig USING (document_id) GROUP BY 1""",
     "curation_summary": f"""WITH RECURSIVE {ORGANIC}, {similar("o", 0.8)}, {GREEDY}, k AS (SELECT * FROM o WHERE document_id NOT IN (SELECT k FROM gone)), {signals("k")}
         SELECT coalesce({judged("reason", RULES)}, 'accepted') AS reason, count(*) AS n_documents FROM sig JOIN k USING (document_id) GROUP BY 1""",
     "branch_quotas": f"WITH {ORGANIC}, {QUOTAS} SELECT branch, model, method, quota FROM q",

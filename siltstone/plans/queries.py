@@ -16,7 +16,7 @@ from siltstone.operators import decontaminate as D
 from siltstone.operators import dedup, filters, generation, quotas, statistics, trace
 from siltstone.operators.rules import PROSE_RULES
 from siltstone.operators.validation import validate_generated
-from siltstone.session import cut, spread
+from siltstone.session import spread, stored
 from siltstone.sources import repositories, sinks
 from siltstone.sources.tables import table
 
@@ -39,17 +39,19 @@ def _evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _unique(spark: SparkSession, folder: str) -> DataFrame:
-    """Code documents with a text, exact duplicates gone: document_id is unique from here on."""
-    return dedup.exact_deduplicate(_code(spark, folder).where("content is not null"), ORDER)
+    """Code documents without exact duplicates; rows without a text all stay, until screening rejects them."""
+    return dedup.exact_deduplicate(_code(spark, folder), ORDER)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
     """Key and text of documents, written once for the stages that read them again."""
-    return cut(documents.select("document_id", "content"))
+    return stored(documents.select("document_id", "content"))
 
 
 def _organic(spark: SparkSession, folder: str) -> DataFrame:
-    return D.drop_evaluation_matches(_unique(spark, folder), _evaluation(spark, folder), "document_id")
+    """Unique documents that are no malformed ones and hold no evaluation text, written once for all that reads them."""
+    whole = _unique(spark, folder).where(~filters.is_malformed(F.col("content")))
+    return stored(D.drop_evaluation_matches(whole, _evaluation(spark, folder), "document_id"))
 
 
 # Deduplication and decontamination
@@ -84,10 +86,17 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.near_deduplicate(_texts(_unique(spark, folder)), "document_id", 0.8).select("document_id")
 
 
+@query
+def near_dedup_generated(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated records without near duplicates: many share a parent, so similar ones form chains and clusters."""
+    made = table(spark, folder, "synthetic_documents").select("document_id", "content").dropDuplicates(["document_id"])
+    return dedup.near_deduplicate(stored(made), "document_id", 0.8).select("document_id")
+
+
 @query
 def cross_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Generated records that repeat a code document or an earlier record."""
-    made = table(spark, folder, "synthetic_documents").where("content is not null").dropDuplicates(["document_id"]).select("document_id", "content")
+    made = table(spark, folder, "synthetic_documents").select("document_id", "content").dropDuplicates(["document_id"])
     judged = dedup.cross_deduplicate(_texts(_unique(spark, folder)), _texts(made), "document_id")
     return judged.select("document_id", "rejection_reason")
 
@@ -103,7 +112,8 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def quality_text_signals(spark: SparkSession, folder: str) -> DataFrame:
     s = with_signals(_unique(spark, folder))
-    return s.select("document_id", *[f"quality_signals.{c}" for c in ("num_characters", "num_bytes", "num_words", "num_lines", "max_line_length", "parse_supported")])
+    counts = [f"quality_signals.{c}" for c in ("num_characters", "num_bytes", "num_words", "num_lines", "max_line_length")]
+    return s.select("document_id", *counts, F.coalesce("quality_signals.parse_supported", F.lit(False)).alias("parse_supported"))
 
 
 @query
@@ -149,7 +159,7 @@ def rejection_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def curation_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated, decontaminated documents by the rule that rejects them."""
-    kept = dedup.near_deduplicate(cut(_organic(spark, folder)), "document_id", 0.8)
+    kept = dedup.near_deduplicate(_organic(spark, folder), "document_id", 0.8)
     judged = filters.quality_filter(kept)
     return judged.groupBy(F.coalesce("rejection_reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n_documents"))
 
@@ -177,13 +187,13 @@ def trace_cohort(spark: SparkSession, folder: str) -> DataFrame:
     return quotas.cohort(_organic(spark, folder), ORDER, 1000).select("place", "document_id")
 
 
-def _mock(spark: SparkSession, folder: str) -> DataFrame:
-    return generation.generate_branches(_organic(spark, folder), ORDER, 1000)
+def _mock(organic: DataFrame) -> DataFrame:
+    return generation.generate_branches(organic, ORDER, 1000)
 
 
 @query
 def mock_branches(spark: SparkSession, folder: str) -> DataFrame:
-    made = _mock(spark, folder)
+    made = _mock(_organic(spark, folder))
     return made.select("document_id", "parent_document_id", "model", "method", "model_version", "token_count", "mock", "synthetic", F.sha2("content", 256).alias("hash"))
 
 
@@ -203,7 +213,7 @@ def validated_records(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Mock records by branch and verdict."""
-    judged = validate_generated(_mock(spark, folder))
+    judged = validate_generated(_mock(_organic(spark, folder)))
     return judged.groupBy("model", "method", "rejection_reason").agg(F.count("*").alias("n_records"))
 
 
@@ -212,13 +222,15 @@ def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def merged_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    both = sinks.merged(_organic(spark, folder), _mock(spark, folder))
+    organic = _organic(spark, folder)
+    both = sinks.merged(organic, _mock(organic))
     return both.groupBy(F.coalesce("synthetic", F.lit(False)).alias("synthetic"), F.lower("language").alias("language")).agg(F.count("*").alias("n_documents"), F.sum("token_count").alias("n_tokens"))
 
 
 @query
 def manifest_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return statistics.manifest(_organic(spark, folder), _mock(spark, folder)).drop("synthetic_by_model_method")
+    organic = _organic(spark, folder)
+    return statistics.manifest(organic, _mock(organic)).drop("synthetic_by_model_method")
 
 
 @query
