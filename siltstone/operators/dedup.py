@@ -18,11 +18,9 @@ from siltstone.session import cut, ensure_importable, spread, stored
 #: Similarity from which texts are near duplicates, and that of the reference for those who ask for it.
 THRESHOLD, REFERENCE_THRESHOLD = 0.8, 0.92
 SALTS = 32
-#: One text in COMMON_SAMPLE, chosen by hash, shows which shingles are common: those in the prefixes of COMMON_FROM of
-#: them or more, at most MOST_COMMON. Only the order of shingles, and so the speed, depends on it, never the result.
-COMMON_SAMPLE, COMMON_FROM, MOST_COMMON = 8, 2, 100_000
-#: Buckets in which the shingles of a text are counted, to tell pairs that cannot be similar without their shingles.
-BUCKETS = 256
+#: One text in COMMON_SAMPLE, chosen by hash, shows which shingles are common: those in COMMON_FROM of them or more, at
+#: most MOST_COMMON. Only the order of shingles, and so the speed, depends on it, never the result.
+COMMON_SAMPLE, COMMON_FROM, MOST_COMMON = 8, 2, 400_000
 _EPS = 1e-9
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -97,53 +95,41 @@ class Hasher:
         return np.unique(h.view(np.int64))
 
 
-def bucket_counts(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes fall in each bucket, in bytes that wrap around."""
-    return np.bincount(hashes.view(np.uint64) & np.uint64(BUCKETS - 1), minlength=BUCKETS).astype(np.uint8).view(np.int8)
-
-
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
     return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts) if parts else np.zeros(0), type=kind))
 
 
-def _hashed(texts: DataFrame, threshold: float | None = None, common: np.ndarray | None = None) -> DataFrame:
-    """id, side, n, s of each text: all its hashes, or with a threshold those of its prefix, common ones last, and its buckets."""
+def _hashed(texts: DataFrame, threshold: float | None = None, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """id, side, n, s of each text: all its hashes, or with a threshold those of its prefix, the more common ones last."""
     ensure_importable(texts.sparkSession)
-    late = np.zeros(0, np.int64) if common is None else np.sort(common)
+    sent = texts.sparkSession.sparkContext.broadcast(common or (np.zeros(0, np.int64), np.zeros(0, np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, (late, times) = Hasher(), sent.value
         for batch in batches:
-            lists, counts, sizes = [], [], []
+            lists, sizes = [], []
             for text in batch.column(2).to_pylist():
                 h = hasher.hashes(text)
                 sizes.append(len(h))
                 if threshold is not None:
-                    counts.append(bucket_counts(h))
                     if len(late):
                         at = np.searchsorted(late, h)
                         at[at == len(late)] = 0
-                        held = late[at] == h
-                        h = np.concatenate([h[~held], h[held]])
+                        h = h[np.argsort(np.where(late[at] == h, times[at], 0), kind="stable")]
                     h = h[: prefix_length(len(h), threshold)]
                 lists.append(h)
-            arrays = [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), _lists(lists, pa.int64())]
-            names = ["id", "side", "n", "s"]
-            if threshold is not None:
-                arrays.append(_lists(counts, pa.int8()))
-                names.append("buckets")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), _lists(lists, pa.int64())], names=["id", "side", "n", "s"])
 
-    more = "" if threshold is None else ", buckets array<tinyint>"
-    return texts.select(F.xxhash64("key").alias("id"), "side", "text").mapInArrow(run, f"id bigint, side int, n int, s array<bigint>{more}")
+    return texts.select(F.xxhash64("key").alias("id"), "side", "text").mapInArrow(run, "id bigint, side int, n int, s array<bigint>")
 
 
-def _common(texts: DataFrame, threshold: float) -> np.ndarray:
-    some = _hashed(texts.where(F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(COMMON_SAMPLE)) == 0), threshold)
+def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles in order of their hashes, and how often each was seen."""
+    some = _hashed(texts.where(F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(COMMON_SAMPLE)) == 0))
     counted = some.select(F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") >= COMMON_FROM)
-    rows = counted.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()
-    return np.array([r["h"] for r in rows], np.int64)
+    found = counted.orderBy(F.desc("df"), "h").limit(MOST_COMMON).toPandas().sort_values("h")
+    return found["h"].to_numpy(np.int64), found["df"].to_numpy(np.int64)
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -164,28 +150,30 @@ def similar_pairs(texts: DataFrame, threshold: float, other: DataFrame | None =
 
     texts: keyed(). Within texts a < b; with other (whose keys differ), a is from texts and b
     from other. In whatever order all shingles are put, pairs that can reach the threshold
-    share one of their first shingles, at places that leave room for the shared part; only
-    those meet. The order is that of the hashes, those seen to be common last, which keeps
-    them out of the join and changes no result. Of pairs that met, the counts of shingles per
-    bucket give a least number of shingles in which they differ; pairs that differ too much
-    by that need no shingles. What is left, as a rule few, is verified on whole sets of
-    hashes, then on the shingles themselves. Between stages only hashes are kept.
+    share some of their first shingles, their prefixes. The order is that of the hashes, those
+    seen to be common last, which keeps them out of the join and changes no result. Where a
+    pair meets it is counted how many it shares, and at which places the first and the last
+    one stand. Nothing is shared before the first; after the last, and behind the prefix that
+    ends first, stands all that can be shared besides. So a pair that shares too little is out
+    before any list of shingles is moved. What is left, as a rule few, is verified on whole
+    sets of hashes, then on the shingles themselves. Between stages only hashes are kept.
     """
     side = texts.withColumn("side", F.lit(0))
     both = side if other is None else side.unionByName(other.withColumn("side", F.lit(1)))
-    prefixes = stored(_hashed(spread(both), threshold, _common(both, threshold)))
-    rows = prefixes.select("id", "side", "n", F.posexplode("s").alias("i", "h"))
+    rows = stored(_hashed(spread(both), threshold, _common(both)).select("id", "side", "n", F.posexplode("s").alias("i", "h")))
     last = 0 if other is None else 1
-    a, b = rows.where("side = 0").drop("side"), rows.where(F.col("side") == last).drop("side")
-    a, b = a.alias("a"), b.alias("b")
+    a, b = rows.where("side = 0").drop("side").alias("a"), rows.where(F.col("side") == last).drop("side").alias("b")
     order = F.col("a.id") < F.col("b.id") if other is None else F.lit(True)
-    na, nb, pa_, pb = (F.col(x) for x in ("a.n", "b.n", "a.i", "b.i"))
+    na, nb = F.col("a.n"), F.col("b.n")
     fits = F.least(na, nb) >= threshold * F.greatest(na, nb) - _EPS
-    room = F.least(na - pa_, nb - pb) >= threshold / (1 + threshold) * (na + nb) - _EPS
-    met = stored(a.join(b, F.col("a.h") == F.col("b.h")).where(order & fits & room).select(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).distinct())
-    close = stored(_not_too_far(met, prefixes.where("side = 0"), prefixes.where(F.col("side") == last), threshold))
-    wanted = stored(_ids(close))
-    hashes = stored(_hashed(both.withColumn("id", F.xxhash64("key")).join(wanted, "id", "left_semi")))
+    places = [f(f"{side}.i").alias(f"{name}_{side}") for name, f in (("first", F.min), ("last", F.max)) for side in ("a", "b")]
+    met = a.join(b, F.col("a.h") == F.col("b.h")).where(order & fits).groupBy(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).agg(F.count("*").alias("shared"), F.max(na).alias("na"), F.max(nb).alias("nb"), *places)
+    needed = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - _EPS)
+    behind = lambda n: F.ceil(n * threshold - _EPS) - 1
+    after = F.least(F.col("na") - F.col("last_a") - 1, F.col("nb") - F.col("last_b") - 1, F.greatest(behind(F.col("na")), behind(F.col("nb"))))
+    can = (F.least(F.col("na") - F.col("first_a"), F.col("nb") - F.col("first_b")) >= needed) & (F.col("shared") + after >= needed)
+    close = stored(met.where(can).select("ia", "ib"))
+    hashes = stored(_hashed(both.withColumn("id", F.xxhash64("key")).join(stored(_ids(close)), "id", "left_semi")))
     close = _scored(close, hashes.where("side = 0"), hashes.where(F.col("side") == last)).where(F.col("similarity") >= threshold - _EPS).select("ia", "ib")
     close = stored(close)
     sets = both.withColumn("id", F.xxhash64("key")).join(stored(_ids(close)), "id", "left_semi").select("id", "key", "side", T.shingles(T.tokens(F.col("text"))).alias("s"))
@@ -196,20 +184,6 @@ def similar_pairs(texts: DataFrame, threshold: float, other: DataFrame | None =
     return found.select(F.when(swap, F.col("kb")).otherwise(F.col("ka")).alias("a"), F.when(swap, F.col("ka")).otherwise(F.col("kb")).alias("b"), "similarity")
 
 
-def _not_too_far(met: DataFrame, first: DataFrame, second: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose bucket counts do not rule the threshold out.
-
-    Sets of the similarity t differ in at most (1 - t) / (1 + t) of the sum of their sizes. A
-    bucket with so many more shingles on one side holds at least as many that differ; counts
-    wrap around, so the shorter way round is taken.
-    """
-    side = lambda df, c: df.select(F.col("id").alias(f"i{c}"), F.col("n").alias(f"n{c}"), F.col("buckets").alias(f"u{c}"))
-    joined = met.join(side(first, "a"), "ia").join(side(second, "b"), "ib")
-    gap = lambda x, y: F.pmod(x.cast("int") - y.cast("int"), F.lit(256))
-    apart = F.aggregate(F.zip_with("ua", "ub", lambda x, y: F.least(gap(x, y), F.lit(256) - gap(x, y))), F.lit(0), lambda n, x: n + x)
-    return joined.where(apart <= (1 - threshold) / (1 + threshold) * (F.col("na") + F.col("nb")) + _EPS).select("ia", "ib")
-
-
 def greedy_removed(pairs: DataFrame) -> DataFrame:
     """Keys that go when documents are taken in the order of their keys.
 
