@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siltstone.batches import map_rows
 from siltstone.functions import text as T
-from siltstone.session import stored
+from siltstone.session import sent_if_small, stored
 
 #: Shortest part that counts, and characters of evaluation texts that travel along with one scan.
 PART_CHARACTERS, BLOCK_CHARACTERS = 40, 8_000_000
@@ -115,7 +115,7 @@ def contaminated_keys(documents: DataFrame, evaluation: DataFrame, key: str, con
         out = found if out is None else out.union(found)
     if out is None:
         out = documents.sparkSession.createDataFrame([], f"key {kind}")
-    return out.distinct().withColumnRenamed("key", key)
+    return sent_if_small(out.distinct().withColumnRenamed("key", key))
 
 
 def decontaminate(documents: DataFrame, evaluation: DataFrame, key: str, content: str = "content") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
-from siltstone.session import cut, ensure_importable, spread, stored
+from siltstone.session import cut, ensure_importable, sent_if_small, spread, stored
 
 #: Similarity from which texts are near duplicates, and that of the reference for those who ask for it.
 THRESHOLD, REFERENCE_THRESHOLD = 0.8, 0.92
@@ -31,8 +31,7 @@ def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "co
 
     order: columns that give the order of input; of rows that agree in them one stays. Only
     hashes and order are shuffled to find the rows that go, and those, as a rule few, are
-    taken out of the documents by a join that Spark turns into a broadcast while they are
-    small. A text that a third of all rows share is no hot group: its rows are ranked within
+    taken out of the documents by a join they are sent to while they are few. A text that a third of all rows share is no hot group: its rows are ranked within
     salted keys first, and only the first of each salt meet.
     """
     key = [F.xxhash64(F.lit(seed), "content_hash", *order).alias(f"_k{seed}") for seed in (1, 2)]
@@ -43,7 +42,7 @@ def exact_deduplicate(documents: DataFrame, order: list[str], content: str = "co
     firsts = Window.partitionBy("content_hash", F.when(F.col("a") == 1, SALTS).otherwise(F.col("salt"))).orderBy("o")
     judged = ranked.withColumn("b", F.row_number().over(firsts)).where("a > 1 OR b > 1").select("content_hash", "_k1", "_k2", "tie")
     losers = stored(judged)
-    gone = losers.where("not tie").select("_k1", "_k2").distinct()
+    gone = sent_if_small(losers.where("not tie").select("_k1", "_k2").distinct())
     kept = hashed.withColumns({"_k1": key[0], "_k2": key[1]}).join(gone, ["_k1", "_k2"], "left_anti")
     tied = losers.where("tie").select("content_hash").distinct()
     if not tied.isEmpty():  # rows that agree in text and order: any one of them
@@ -166,8 +165,10 @@ def similar_pairs(texts: DataFrame, threshold: float, other: DataFrame | None =
     order = F.col("a.id") < F.col("b.id") if other is None else F.lit(True)
     na, nb = F.col("a.n"), F.col("b.n")
     fits = F.least(na, nb) >= threshold * F.greatest(na, nb) - _EPS
+    # a shared shingle at places i and j has at most min(i, j) shared ones before it
+    room = F.least(F.col("a.i"), F.col("b.i")) + F.least(na - F.col("a.i"), nb - F.col("b.i")) >= (na + nb) * (threshold / (1 + threshold)) - _EPS
     places = [f(f"{side}.i").alias(f"{name}_{side}") for name, f in (("first", F.min), ("last", F.max)) for side in ("a", "b")]
-    met = a.join(b, F.col("a.h") == F.col("b.h")).where(order & fits).groupBy(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).agg(F.count("*").alias("shared"), F.max(na).alias("na"), F.max(nb).alias("nb"), *places)
+    met = a.join(b, F.col("a.h") == F.col("b.h")).where(order & fits & room).groupBy(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).agg(F.count("*").alias("shared"), F.max(na).alias("na"), F.max(nb).alias("nb"), *places)
     needed = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - _EPS)
     behind = lambda n: F.ceil(n * threshold - _EPS) - 1
     after = F.least(F.col("na") - F.col("last_a") - 1, F.col("nb") - F.col("last_b") - 1, F.greatest(behind(F.col("na")), behind(F.col("nb"))))
@@ -207,7 +208,7 @@ def greedy_removed(pairs: DataFrame) -> DataFrame:
 def near_deduplicate(documents: DataFrame, key: str, threshold: float = THRESHOLD, content: str = "content") -> DataFrame:
     """documents without those similar to an earlier document that stays; key gives the order and is unique."""
     pairs = similar_pairs(keyed(documents, key, content), threshold)
-    removed = greedy_removed(pairs).select(F.col("key").alias(key))
+    removed = sent_if_small(greedy_removed(pairs).select(F.col("key").alias(key)))
     return documents.join(removed, key, "left_anti")
 
 

@@ -10,6 +10,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -80,6 +81,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of keys (a few numbers each) up to which a table is sent to all tasks.
+SENT_ROWS = 200_000
+
+
+def sent_if_small(keys: DataFrame) -> DataFrame:
+    """A stored table of slim rows, to be broadcast where it holds SENT_ROWS or fewer (they are counted); else as it is."""
+    return F.broadcast(keys) if keys.limit(SENT_ROWS + 1).count() <= SENT_ROWS else keys
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A plain scan over all cores where it has fewer partitions than cores; only a small input has so few."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
