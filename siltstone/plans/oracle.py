@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from siltstone.functions.signals import COMMON_LEXEMES, EXTRA_DIGITS, LEXEMES, PARSED_LANGUAGES
 from siltstone.operators.generation import MOCK_TEXTS, MODEL_VERSIONS, PROMPTS
 from siltstone.operators.quotas import BASE_BRANCHES
 from siltstone.operators.rules import PROSE_RULES, RULES, Rule
@@ -70,11 +69,28 @@ GREEDY = """
     gone AS (SELECT k FROM nodes WHERE k NOT IN (SELECT unnest(kept) FROM (SELECT kept FROM greedy ORDER BY i DESC LIMIT 1)))"""
 
 
+#: Languages whose lexemes are told, and what counts as a digit beside the decimal ones; written down here by themselves.
+LANGUAGES = "c c# c++ dart go java javascript kotlin php python ruby rust scala swift typescript".split()
+DIGITS = r"\p{Nd}\x{b2}\x{b3}\x{b9}\x{1369}-\x{1371}\x{19da}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}\x{2474}-\x{247c}\x{2488}-\x{2490}\x{24ea}\x{24f5}-\x{24fd}\x{24ff}\x{2776}-\x{277e}\x{2780}-\x{2788}\x{278a}-\x{2792}\x{10a40}-\x{10a43}\x{10e60}-\x{10e68}\x{11052}-\x{1105a}\x{1f100}-\x{1f10a}"
+#: Comments and strings: to the line's end, between marks, in quotes with escapes.
+SLASHES, HASH, BETWEEN = r"//[^\n]*", r"#[^\n]*", r"/[*](?:[^*]|[*]+[^*/])*[*]+/"
+IN_QUOTES, IN_TICKS, IN_MARKS = r'"(?:[^"\\\n]|\\.)*"', r"'(?:[^'\\\n]|\\.)*'", r"`[^`]*`"
+LONG = r'"""(?:[^"]|"[^"]|""[^"])*"""' + "|" + r"'''(?:[^']|'[^']|''[^'])*'''"
+LEXEME_PARTS = {
+    "python": [LONG, HASH, IN_QUOTES, IN_TICKS],
+    "ruby": [HASH, IN_QUOTES, IN_TICKS],
+    "php": [SLASHES, HASH, BETWEEN, IN_QUOTES, IN_TICKS],
+    "rust": [SLASHES, BETWEEN, IN_QUOTES],
+    "javascript": [SLASHES, BETWEEN, IN_QUOTES, IN_TICKS, IN_MARKS],
+    "typescript": [SLASHES, BETWEEN, IN_QUOTES, IN_TICKS, IN_MARKS],
+    "go": [SLASHES, BETWEEN, IN_QUOTES, IN_TICKS, IN_MARKS],
+}
+
+
 def lexeme_lists(x: str, label: str) -> str:
-    plain = lambda p: quoted(p.replace(")*+", ")*"))
-    cases = " ".join(f"WHEN {label} = '{k}' THEN regexp_extract_all({x}, {plain(p)})" for k, p in LEXEMES.items())
-    rest = ", ".join(f"'{k}'" for k in PARSED_LANGUAGES if k not in LEXEMES)
-    return f"CASE {cases} WHEN {label} IN ({rest}) THEN regexp_extract_all({x}, {plain(COMMON_LEXEMES)}) ELSE []::VARCHAR[] END"
+    """Comments and strings in the order they are met; none for a language that is not known."""
+    usual = [SLASHES, BETWEEN, IN_QUOTES, IN_TICKS]
+    return "CASE " + " ".join(f"WHEN {label} = '{k}' THEN regexp_extract_all({x}, {quoted('|'.join(LEXEME_PARTS.get(k, usual)))})" for k in LANGUAGES) + " ELSE []::VARCHAR[] END"
 
 
 def ratio(a: str, b: str) -> str:
@@ -100,10 +116,10 @@ def signals(source: str, key: str = "document_id") -> str:
         {ratio("len(f) - len(list_distinct(f))", "len(f)")} AS duplicate_line_fraction,
         {gram(2)} AS top_2gram_fraction, {gram(3)} AS top_3gram_fraction, {gram(4)} AS top_4gram_fraction,
         {ratio(count_of("c", r"\p{L}"), "length(c)")} AS alphabetic_fraction,
-        {ratio(count_of("c", rf"[\p{{Nd}}{EXTRA_DIGITS}]"), "length(c)")} AS numeric_fraction,
+        {ratio(count_of("c", f"[{DIGITS}]"), "length(c)")} AS numeric_fraction,
         {ratio(count_of("c", f"[{WS}]"), "length(c)")} AS whitespace_fraction,
         {ratio(sized("regexp_extract_all(c, '[A-Za-z0-9+/]{100,}={0,2}'), lambda q: length(q)"), "length(c)")} AS encoded_data_fraction,
-        l IN ({", ".join(f"'{k}'" for k in PARSED_LANGUAGES)}) AS parse_supported,
+        l IN ({", ".join(f"'{k}'" for k in LANGUAGES)}) AS parse_supported,
         {ratio(sized("list_filter(x, lambda q: regexp_matches(q, '^(//|/[*]|#)')), lambda q: strlen(q)"), "strlen(c)")} AS comment_fraction,
         {ratio(sized("list_filter(x, lambda q: NOT regexp_matches(q, '^(//|/[*]|#)') AND strlen(q) >= 100), lambda q: strlen(q)"), "strlen(c)")} AS long_string_fraction
         FROM cut)"""
@@ -204,6 +220,24 @@ TRACES = """tr AS (SELECT DISTINCT document_id, model, CASE WHEN contains(conten
     FROM synthetic_documents WHERE method = 'codetrace'),
     ev AS (SELECT *, coalesce(regexp_extract_all(t, '(?m)^TRACE:(IN|OUT|VAR|BRANCH|LOOP|ERR|TRANSFORM):', 1), []) AS events FROM tr)"""
 
+
+
+def stripped(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+def right_stripped(x: str) -> str:
+    return f"regexp_replace({x}, '[{WS}]+$', '')"
+
+
+def fenced(x: str, label: str) -> str:
+    """Inside of the first fenced block of a language or without one, else the text."""
+    pattern = quoted(f"(?s)```(?i:{label})?[{WS}]*(.*?)```")
+    return f"CASE WHEN regexp_matches({x}, {pattern}) THEN regexp_extract({x}, {pattern}, 1) ELSE {x} END"
+
+
+WHOLE_FENCE = quoted(f"(?s)[{WS}]*```[^\\n]*\\n(.*?)\\n```[{WS}]*")
+
 ORACLE: dict[str, str] = {
     "exact_dedup": f"""WITH {UNIQUE} SELECT document_id, source_shard, content_hash FROM u""",
     "normalize_hash": f"SELECT doc_id, length({norm('text')})::INT AS n_characters, sha256({norm('text')}) AS hash FROM documents",
@@ -257,4 +291,22 @@ ORACLE: dict[str, str] = {
         round(coalesce(list_max(map_values(list_histogram(events))), 0)::DOUBLE / greatest(len(events), 1)::DOUBLE, 9) AS largest_event_type_fraction FROM ev WHERE t IS NOT NULL""",
     "median_trace_events": f"WITH {TRACES} SELECT model, list_sort(list(len(events)))[(count(*) // 2 + 1)::INT] AS median_trace_events FROM ev GROUP BY 1",
     "ingest_repositories": """SELECT DISTINCT f.content_id AS content_id, 1::BIGINT AS n FROM (SELECT unnest(files) AS f FROM repositories) WHERE f.content <> '' AND f.content_id <> ''""",
+    "ingest_languages": """SELECT f.language AS language, count(*) AS n_files, count(DISTINCT coalesce(repo_id::VARCHAR, 'None') || ':' || coalesce(f.file_path, 'None') || ':' || f.content_id) AS n_ids,
+        count_if(coalesce(f.is_vendor, false))::BIGINT AS n_vendor, coalesce(sum(coalesce(len(f.detected_licenses), 0)), 0)::BIGINT AS n_licenses, count(*) AS n_named
+        FROM (SELECT repo_id, unnest(files) AS f FROM repositories) WHERE f.content <> '' AND f.content_id <> '' AND f.language IN ('Markdown', 'JSON', 'YAML', 'Text') GROUP BY 1""",
+    "decontaminate_generated": f"""WITH u AS (SELECT document_id, any_value(content) AS content FROM synthetic_documents GROUP BY 1), {CONTAMINATED}
+        SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM dirty) THEN 'evaluation_contamination' END AS rejection_reason FROM u""",
+    "record_blocks": f"""WITH s AS (SELECT document_id, any_value(content) AS c FROM synthetic_documents WHERE content IS NOT NULL GROUP BY 1),
+        b AS (SELECT document_id, c, {stripped(fenced("c", "python"))} AS p, CASE WHEN regexp_full_match(c, {WHOLE_FENCE}) THEN regexp_extract(c, {WHOLE_FENCE}, 1) ELSE c END AS w, {stripped(fenced("c", "bash"))} AS x FROM s)
+        SELECT document_id, sha256(p) AS python, sha256(w) AS unwrapped, sha256(x) AS script,
+            CASE WHEN regexp_matches(x, '(?i)\\b(curl|wget|ssh|scp|nc|sudo|docker|podman|pip|apt|brew)\\b') THEN 'execution script contains a forbidden command'
+                 WHEN NOT (contains(x, 'trace') AND contains(x, 'source.py')) THEN 'execution script must run source.py and create trace files' END AS error FROM b""",
+    "record_texts": f"""WITH s AS (SELECT document_id, any_value(model) AS model, any_value(method) AS method, any_value(content) AS content FROM synthetic_documents
+            WHERE content IS NOT NULL AND model IS NOT NULL AND method IS NOT NULL GROUP BY 1)
+        SELECT document_id, sha256('# MOCK_SYNTHETIC model=' || model || ' method=' || method || chr(10) || '# This output is deterministic test data, not model inference.' || chr(10) || content) AS mock,
+            sha256('User:' || chr(10) || 'You are provided an instrumented source file "source.py" and a bash execution script "run.sh". Trace through the execution and predict the generated trace files.' || chr(10) || chr(10)
+                || 'INPUT FILES:' || chr(10) || chr(10) || '---- FILENAME: source.py ----' || chr(10) || chr(10) || {right_stripped("content")} || chr(10) || chr(10) || '---- FILENAME: run.sh ----' || chr(10) || chr(10)
+                || {right_stripped("model")} || chr(10) || chr(10) || 'Assistant:' || chr(10) || {right_stripped("method")}) AS record FROM s""",
+    "sampling_requirement": """WITH c AS (SELECT count(*) AS n_documents, count(DISTINCT coalesce(nullif(repo_id, ''), repo_path)) + (count_if(coalesce(nullif(repo_id, ''), repo_path) IS NULL) > 0)::BIGINT AS n_repositories FROM code_documents)
+        SELECT n_documents, n_repositories, n_documents >= 1000 AND n_repositories >= 200 AS met FROM c""",
 }

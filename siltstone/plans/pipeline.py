@@ -5,11 +5,12 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions import parsers
 from siltstone.functions.signals import Parser
 from siltstone.operators import decontaminate as D
 from siltstone.operators import filters, statistics
@@ -29,7 +30,7 @@ from siltstone.sources.jsonl import read_evaluation, read_jsonl
 class Options:
     threshold: float = THRESHOLD
     rules: list[Rule] | None = None
-    parser: Parser | None = None
+    parser: Parser | None = field(default_factory=parsers.parser)
     cohort_per_model: int = 1000
     cohort_language: str = "python"
     post_generation_decontamination: bool = False

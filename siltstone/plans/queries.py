@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions import parsers
 from siltstone.functions import text as T
 from siltstone.functions.signals import with_signals
 from siltstone.operators import decontaminate as D
@@ -295,3 +296,51 @@ def capped_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Files per repository row when each row may give two."""
     files = repositories.flatten(table(spark, folder, "repositories"), dataset="crawl")
     return repositories.ingest(files, 2).groupBy("order_repo").agg(F.count("*").alias("n_files"))
+
+
+@query
+def ingest_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of three wanted kinds, by language, with the fields that have to be there."""
+    files = repositories.flatten(table(spark, folder, "repositories"), ["Markdown", "JSON", "YAML", "Text"], "crawl")
+    named = F.count_if(F.col("source_dataset") == "crawl")
+    return files.groupBy("language").agg(F.count("*").alias("n_files"), F.countDistinct("document_id").alias("n_ids"), F.count_if(F.col("is_vendor")).alias("n_vendor"), F.sum(F.size("detected_licenses")).alias("n_licenses"), named.alias("n_named"))
+
+
+@query
+def decontaminate_generated(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated records, with those that hold an evaluation text marked."""
+    made = table(spark, folder, "synthetic_documents").select("document_id", "content").dropDuplicates(["document_id"])
+    return D.decontaminate(made, _evaluation(spark, folder), "document_id").select("document_id", "rejection_reason")
+
+
+@query
+def record_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Fenced blocks and wrappings of the generated records, and whether a script in them may run."""
+    made = table(spark, folder, "synthetic_documents").where("content is not null").select("document_id", "content").dropDuplicates(["document_id"])
+    text = F.col("content")
+    script = trace.execution_script(text)
+    return made.select("document_id", F.sha2(T.fenced_block(text, "python"), 256).alias("python"), F.sha2(T.unwrap_fence(text), 256).alias("unwrapped"), F.sha2(script["script"], 256).alias("script"), script["error"].alias("error"))
+
+
+@query
+def record_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Mock outputs and trace records made of the generated records."""
+    made = table(spark, folder, "synthetic_documents").where("content is not null and model is not null and method is not null").select("document_id", "model", "method", "content").dropDuplicates(["document_id"])
+    text = F.col("content")
+    return made.select("document_id", F.sha2(generation.mock_output(F.col("model"), F.col("method"), text), 256).alias("mock"), F.sha2(trace.format_trace(text, F.col("model"), F.col("method")), 256).alias("record"))
+
+
+@query
+def sampling_requirement(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a sample of the code documents has enough documents and repositories."""
+    code = _code(spark, folder)
+    counted = statistics.unique_repositories(code)
+    enough = (F.col("n_documents") >= statistics.LEAST_DOCUMENTS) & (F.col("n_repositories") >= statistics.LEAST_REPOSITORIES)
+    return counted.select("n_documents", "n_repositories", enough.alias("met"))
+
+
+@query
+def parse_screens(spark: SparkSession, folder: str) -> DataFrame:
+    """Code documents of Python, and whether they parse; other languages are left to a plug-in."""
+    judged = with_signals(_unique(spark, folder).where("lower(language) = 'python' and content is not null"), parsers.parser())
+    return judged.select("document_id", F.col("quality_signals.parse_error").alias("parse_error"))

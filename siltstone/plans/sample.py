@@ -52,8 +52,19 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     documents, used = draw(spark, shards, given.languages, given.min_per_language, given.max_per_repository, given.dataset)
     sinks.write_sample(documents, given.output)
     rows = R.sample_manifest(documents, given.languages, given.min_per_language).orderBy("language").collect()
-    totals = documents.agg(F.count("*").alias("n_documents"))
-    more = {"documents_by_language": {r["language"]: r["n_documents"] for r in rows}, "shortfalls": {r["language"]: r["shortfall"] for r in rows if r["shortfall"]}, "shards": used, "max_per_repository": given.max_per_repository or None}
+    totals = documents.agg(F.count("*").alias("n_documents"), F.countDistinct("content_id").alias("unique_content_ids"))
+    more = {
+        "dataset": given.dataset,
+        "requested_languages": given.languages,
+        "min_per_language": given.min_per_language,
+        "documents_by_language": {r["language"]: r["n_documents"] for r in rows},
+        "shortfalls": {r["language"]: r["shortfall"] for r in rows if r["shortfall"]},
+        "repositories_scanned": spark.read.parquet(*used).count(),
+        "max_per_repository": given.max_per_repository or None,
+        "start_shard": given.start_shard,
+        "max_shards": given.max_shards,
+        "shards": used,
+    }
     sinks.write_manifest(totals, given.manifest, **more)
     return 0
 

@@ -11,7 +11,9 @@ from siltstone.session import cut
 
 
 def select_shards(names: list[str], start: int = 0, most: int | None = None) -> list[str]:
-    """The Parquet files among names, sorted, from start on; an error where none is left."""
+    """The Parquet files among names, sorted, from start on; an error where none is left or the range makes no sense."""
+    if start < 0 or (most is not None and most < 1):
+        raise ValueError("start must not be negative and most must be positive")
     shards = sorted(n for n in names if n.endswith(".parquet"))[start : None if most is None else start + most]
     if not shards:
         raise ValueError("no Parquet shards selected")

@@ -41,6 +41,7 @@ def test_sample_from_shards(spark, tmp_path):
     assert sample.main([*arguments, "--min-per-language", "1"], spark) == 0
     manifest = json.loads((tmp_path / "m.json").read_text())
     assert manifest["n_documents"] == 4 and manifest["documents_by_language"] == {"Ada": 0, "C": 2, "Go": 2} and manifest["shortfalls"] == {"Ada": 1} and len(manifest["shards"]) == 3
+    assert manifest["repositories_scanned"] == 3 and manifest["unique_content_ids"] == 4 and manifest["requested_languages"] == ["Go", "C", "Ada"]
     documents, used = sample.draw(spark, [str(folder / f"s{k}.parquet") for k in range(3)], ["Go", "C"], 1)
     assert len(used) == 1 and documents.count() == 2
 

@@ -74,8 +74,9 @@ def test_cap_against_stepping(spark, cap):
 
 def test_shards_and_manifest(spark, tmp_path):
     assert R.select_shards(["b.parquet", "a.parquet", "x.txt", "c.parquet"], 1, 1) == ["b.parquet"]
-    with pytest.raises(ValueError):
-        R.select_shards(["x.txt"])
+    for names, bounds in ((["x.txt"], ()), (["a.parquet"], (-1,)), (["a.parquet"], (0, 0))):
+        with pytest.raises(ValueError):
+            R.select_shards(names, *bounds)
     assert R.shard_prefix([{"Go": 1}, {"C": 2, "Go": 1}, {"C": 9}], ["Go", "C"], 2) == 2
     df = spark.createDataFrame([("Go",), ("Go",), ("Ada",)], "language string")
     assert [tuple(r) for r in R.sample_manifest(df, ["Go", "C"], 2).orderBy("language").collect()] == [("C", 0, 2), ("Go", 2, 0)]
