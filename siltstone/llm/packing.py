@@ -152,11 +152,10 @@ def _level(frame: DataFrame, level: int, total: int, group_tokens: int) -> DataF
     return frame.groupBy("pack_name", "grp").applyInPandas(run, PLACED)
 
 
-def source_shares(documents: DataFrame) -> DataFrame:
+def source_shares(documents: DataFrame, total: int) -> DataFrame:
     """source ('' for null), share of all tokens."""
-    sums = documents.where("n_tokens > 0").groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("n_tokens").cast("double").alias("n"))
-    total = sums.agg(F.sum("n").alias("total"))
-    return sums.join(F.broadcast(total), F.lit(True)).select("source", (F.col("n") / F.col("total")).alias("share"))
+    sums = documents.where("n_tokens > 0").groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("n_tokens").alias("n"))
+    return sums.select("source", (F.col("n") / F.lit(float(max(1, total)))).alias("share"))
 
 
 def pack(documents: DataFrame, packs: DataFrame, cut, shares: dict[str, float] | None = None, group_tokens: int = GROUP_TOKENS) -> DataFrame:
@@ -178,7 +177,7 @@ def pack(documents: DataFrame, packs: DataFrame, cut, shares: dict[str, float] |
     slim = documents.where("n_tokens > 0").select(F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.col("n_tokens").cast("bigint").alias("n_tokens"))
     slim = cut(slim.withColumn("row", F.monotonically_increasing_id()))
     counted = slim.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("total"), F.countDistinct("source").alias("sources")).first()
-    wanted = source_shares(slim) if shares is None else spark.createDataFrame(list(shares.items()) or [("", 0.0)], "source string, share double")
+    wanted = source_shares(slim, counted["total"]) if shares is None else spark.createDataFrame(list(shares.items()) or [("", 0.0)], "source string, share double")
     if counted["sources"] <= SENT_SOURCES:
         wanted = F.broadcast(wanted)
     slim = slim.join(wanted, "source", "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
@@ -246,6 +245,6 @@ def limits_kept(documents: DataFrame, packed: DataFrame, text: str = "text") ->
     per_piece = packed.groupBy("pack_name", "doc_id", "piece_no").agg(F.count("*").alias("times"), F.sum("n_tokens").alias("n"), F.first("capacity").alias("capacity"))
     per_text = per_piece.groupBy("pack_name", "doc_id").agg(F.count_if(F.col("times") > 1).alias("twice"), F.count("*").alias("n_pieces"), F.sum("n").alias("n"), F.first("capacity").alias("capacity"))
     texts = per_text.groupBy("pack_name").agg(F.count("*").alias("n_documents"), F.sum("twice").alias("twice"), F.count_if((F.col("n_pieces") > 1) & (F.col("n") <= F.col("capacity"))).alias("split_early"))
-    expected = documents.where(F.length(text) > 0).agg(F.countDistinct("doc_id").alias("expected"))
-    joined = texts.join(over, "pack_name").join(F.broadcast(expected), F.lit(True))
-    return joined.select("pack_name", "n_documents", "overfull", "twice", "split_early", (F.col("expected") - F.col("n_documents")).alias("missing"))
+    expected = documents.where(F.length(text) > 0).agg(F.countDistinct("doc_id").alias("n")).first()["n"]
+    joined = texts.join(over, "pack_name")
+    return joined.select("pack_name", "n_documents", "overfull", "twice", "split_early", (F.lit(expected) - F.col("n_documents")).alias("missing"))

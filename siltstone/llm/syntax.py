@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions import parsers
+from siltstone.functions.signals import PARSED_LANGUAGES, Parser
 from siltstone.llm.arrow import map_rows
 from siltstone.llm.grammars import language
 
@@ -27,6 +29,15 @@ def verdict(label: str | None, text: str | None) -> tuple[str, int | None, str |
     return ("valid", None, None) if found is None else (found[0], found[1], found[2][:80])
 
 
+def core_parser() -> Parser:
+    """These grammars as the plug-in of the core's quality filter, for every language it asks a parser for."""
+
+    def check(label: str):
+        return lambda text: verdict(label, text)[0] in ("failing", "truncated")
+
+    return parsers.parser({label: check(label) for label in PARSED_LANGUAGES if label != "python"})
+
+
 def check_files(files: DataFrame, keep: list[str], text: str = "content", label: str = "language") -> DataFrame:
     """The columns of keep with verdict, error_line and error_token of each row."""
     types = dict(files.dtypes)

@@ -207,3 +207,19 @@ def test_yaml_places():
     assert language("yaml").check('a:\n  b: 1\n c: 2\n')[:2] == ("failing", 3)
     assert language("yaml").check('a: {b: 1]\n')[:2] == ("failing", 1)
     assert language("yaml").check('a:\n  - b\n  c: 1\n')[:2] == ("failing", 3)
+
+
+@pytest.mark.parametrize("name", [n for n in VALID if n not in ("yaml", "json", "shell")])
+def test_plug_in_of_the_quality_filter(name):
+    parse = syntax.core_parser()
+    assert parse([name], [VALID[name]]) == [False] and parse([name], [BROKEN[name]]) == [True]
+
+
+def test_rule_of_the_parser_in_the_core(spark):
+    from siltstone.operators import filters
+
+    body = "".join(f"func name{i}(left int, right int) int {{\n\treturn left*{i} + right\n}}\n\n" for i in range(15))
+    rows = [("good", "Go", "package a\n\n" + body), ("bad", "Go", "package a\n\n" + body + "func (\n")]
+    df = spark.createDataFrame(rows, "document_id string, language string, content string")
+    out = {r["document_id"]: r["rejection_reason"] for r in filters.quality_filter(df, syntax.core_parser()).collect()}
+    assert out == {"good": None, "bad": "parse_error"}
