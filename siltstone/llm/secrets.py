@@ -29,6 +29,8 @@ from siltstone.llm.arrow import map_rows
 TRAINING_ROWS, HELD_OUT, THRESHOLD = 20_000, 4, 0.5
 #: Slots that words of the context and of the path are hashed into.
 CONTEXT_SLOTS, PATH_SLOTS = 256, 64
+#: Literals longer than this under a name without any cue are data.
+DATA_LENGTH = 60
 #: What counts as the surroundings of a value: short arguments before it, characters before a note, and those
 #: before a string in which its name is looked for (more where a name or white space goes on).
 CONTEXT_ARGUMENTS, NOTE_BEFORE, NAME_BEFORE = 3, 40, 120
@@ -248,6 +250,8 @@ def weak_label(kind: str, context: str, value: str) -> int | None:
         return 0
     if _PREFIXED.fullmatch(value) and not other:
         return 1
+    if len(value) > DATA_LENGTH and not cue and kind in ("named", "argument"):
+        return 0
     mixed = sum(bool(p.search(value)) for p in _CLASSES)
     if (cue or kind in ("url", "connection", "userpass", "header")) and not other and (mixed >= 3 and len(value) >= 8 or kind in ("url", "connection", "userpass") or _HEX.fullmatch(value)):
         return 1

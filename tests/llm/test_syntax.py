@@ -218,7 +218,8 @@ def test_plug_in_of_the_quality_filter(name):
 def test_rule_of_the_parser_in_the_core(spark):
     from siltstone.operators import filters
 
-    body = "".join(f"func name{i}(left int, right int) int {{\n\treturn left*{i} + right\n}}\n\n" for i in range(15))
+    words = "amber birch cedar delta ember fjord grove heath inlet jetty knoll ledge marsh notch oasis".split()
+    body = "".join(f"func {w}{i}({w} int) string {{\n\tlog.Print(\"{w * 2} {i * 37}\")\n\treturn show{w.title()}({w} + {i * i})\n}}\n\n" for i, w in enumerate(words))
     rows = [("good", "Go", "package a\n\n" + body), ("bad", "Go", "package a\n\n" + body + "func (\n")]
     df = spark.createDataFrame(rows, "document_id string, language string, content string")
     out = {r["document_id"]: r["rejection_reason"] for r in filters.quality_filter(df, syntax.core_parser()).collect()}
