@@ -225,7 +225,8 @@ def cross_deduplicate(organic: DataFrame, made: DataFrame, key: str, threshold:
     against = own.join(known.select("hash").distinct(), "hash", "left_semi").select("key")
     against = cut(against.union(similar_pairs(first, threshold, second).select(F.col("b").alias("key"))).distinct())
     rest = second.join(against, "key", "left_anti")
-    equal = own.join(against, "key", "left_anti").groupBy("hash").agg(F.min("key").alias("a"), F.collect_list("key").alias("keys")).where("size(keys) > 1").select("a", F.explode("keys").alias("b")).where("a < b")
+    left = own.join(against, "key", "left_anti")
+    equal = left.join(left.groupBy("hash").agg(F.min("key").alias("a")), "hash").where("a < key").select("a", F.col("key").alias("b"))
     inside = similar_pairs(rest, threshold).select("a", "b").union(equal)
     gone = against.union(greedy_removed(inside)).select(F.col("key").alias(key)).distinct().withColumn("_gone", F.lit(reason))
     return made.drop("rejection_reason").join(gone, key, "left").withColumnRenamed("_gone", "rejection_reason")

@@ -248,6 +248,14 @@ ORACLE: dict[str, str] = {
     "near_dedup": f"WITH RECURSIVE {UNIQUE}, {similar('u', 0.8)}, {GREEDY} SELECT document_id FROM u WHERE document_id NOT IN (SELECT k FROM gone)",
     "near_dedup_generated": f"""WITH RECURSIVE s AS (SELECT document_id, any_value(content) AS content FROM synthetic_documents GROUP BY 1), {similar('s', 0.8)}, {GREEDY}
         SELECT document_id FROM s WHERE document_id NOT IN (SELECT k FROM gone)""",
+    "cross_dedup": f"""WITH RECURSIVE {UNIQUE}, s AS (SELECT document_id, any_value(content) AS content FROM synthetic_documents GROUP BY 1),
+        src AS (SELECT document_id, content FROM u WHERE content IS NOT NULL UNION ALL SELECT document_id, content FROM s WHERE content IS NOT NULL), {similar("src", 0.8).replace("pairs AS", "close AS")},
+        own AS (SELECT document_id, {norm("coalesce(content, '')")} AS t FROM s),
+        against AS (SELECT document_id FROM own WHERE t IN (SELECT {norm("coalesce(content, '')")} FROM u) UNION SELECT b FROM close WHERE a IN (SELECT document_id FROM u) AND b IN (SELECT document_id FROM s)),
+        rest AS (SELECT * FROM own WHERE document_id NOT IN (SELECT document_id FROM against)),
+        pairs AS (SELECT a, b FROM close WHERE a IN (SELECT document_id FROM rest) AND b IN (SELECT document_id FROM rest)
+            UNION SELECT x.document_id, y.document_id FROM rest x JOIN rest y ON x.t = y.t AND x.document_id < y.document_id), {GREEDY}
+        SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM against) OR document_id IN (SELECT k FROM gone) THEN 'duplicate_against_organic_or_branch' END AS rejection_reason FROM s""",
     "decontaminate": f"""WITH {UNIQUE}, {CONTAMINATED} SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM dirty) THEN 'evaluation_contamination' END AS rejection_reason FROM u""",
     "quality_text_signals": f"WITH {UNIQUE}, {signals('u', 'rid')} SELECT document_id, num_characters, num_bytes, num_words, num_lines, max_line_length, coalesce(parse_supported, false) AS parse_supported FROM u LEFT JOIN sig USING (rid)",
     "quality_ratio_signals": f"""WITH {UNIQUE}, {signals("u", "rid")} SELECT document_id, {
